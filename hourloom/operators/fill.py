@@ -14,45 +14,69 @@ def with_neighbours(
     df: DataFrame, columns: list[str], keys=KEYS, ts: str = TIME, rows: int = layout.BLOCK_ROWS
 ) -> DataFrame:
     """Add ``_prev_c`` and ``_next_c``: the nearest non-null (position, value) at or before /
-    at or after each row.
+    at or after each row, and the row position where it is still missing.
 
-    Inside a block this is a window. Across blocks, each block reports its first and last
-    value per column (one row per block), those are carried along the series, and the
-    result is joined back by (series, block).
+    A series is cut into blocks: of positions if the rows have them, of time otherwise.
+    Inside a block this is a window. Across blocks, each block reports its row count and
+    its first and last value per column (one row per block), which are carried along the
+    series and joined back by (series, block). The rows themselves are shuffled once.
     """
-    if POS not in df.columns:
-        df = layout.with_position(df, keys, ts)
-    df = df.withColumn("_block", layout.block_of(F.col(POS), rows))
+    placed = POS in df.columns
+    if placed:
+        ranked = df.withColumn("_block", layout.block_of(F.col(POS), rows)).withColumn("_rank", F.col(POS))
+    else:
+        cell = F.floor(F.unix_timestamp(ts) / F.lit(layout.CELL_SECONDS))
+        in_cell = Window.partitionBy(*keys, "_block").orderBy(ts)
+        celled = df.where(F.col(ts).isNotNull()).withColumn("_block", cell)
+        ranked = celled.withColumn("_rank", F.row_number().over(in_cell).cast("bigint"))
 
     def known(c):
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(POS).alias("pos"), F.col(c).alias("value")))
-
-    edges = df.groupBy(*keys, "_block").agg(
-        *[F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_last_{c}") for c in columns],
-        *[F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_first_{c}") for c in columns],
+        return F.when(F.col(c).isNotNull(), F.struct(F.col("_rank").alias("pos"), F.col(c).alias("value")))
+
+    def moved(edge):
+        at = F.col(edge)
+        return F.when(
+            at.isNotNull(), F.struct((at["pos"] + F.col("_before")).alias("pos"), at["value"].alias("value"))
+        )
+
+    edges = ranked.groupBy(*keys, "_block").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(f"_last_{c}") for c in columns],
+        *[F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(f"_first_{c}") for c in columns],
+    )
+    # "the first one from here on" runs as "the last one so far" in reverse order: a frame that
+    # is open at its end would be computed anew for every row
+    strictly = (Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(*strictly)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(*strictly)
+    before = F.lit(0) if placed else F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    shifted = edges.withColumn("_before", before.cast("bigint")).withColumns(
+        {f"_{end}_{c}": moved(f"_{end}_{c}") for end in ("last", "first") for c in columns}
     )
-    along = Window.partitionBy(*keys).orderBy("_block")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
-    carried = edges.select(
+    carried = shifted.select(
         *keys,
         "_block",
+        "_before",
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns],
+        *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns],
     )
-    inside = Window.partitionBy(*keys, "_block").orderBy(POS)
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    onward = inside.rowsBetween(0, Window.unboundedFollowing)
-    local = df.select(
+    inside = Window.partitionBy(*keys, "_block")
+    so_far = (Window.unboundedPreceding, 0)
+    upto = inside.orderBy("_rank").rowsBetween(*so_far)
+    onward = inside.orderBy(F.desc("_rank")).rowsBetween(*so_far)
+    local = ranked.select(
         "*",
         *[F.last(known(c), ignorenulls=True).over(upto).alias(f"_lp_{c}") for c in columns],
-        *[F.first(known(c), ignorenulls=True).over(onward).alias(f"_ln_{c}") for c in columns],
+        *[F.last(known(c), ignorenulls=True).over(onward).alias(f"_ln_{c}") for c in columns],
     )
     joined = local.join(carried, [*keys, "_block"])
-    prev = {f"_prev_{c}": F.coalesce(f"_lp_{c}", f"_in_{c}") for c in columns}
-    nxt = {f"_next_{c}": F.coalesce(f"_ln_{c}", f"_out_{c}") for c in columns}
+    near = {f"_prev_{c}": F.coalesce(moved(f"_lp_{c}"), F.col(f"_in_{c}")) for c in columns}
+    near |= {f"_next_{c}": F.coalesce(moved(f"_ln_{c}"), F.col(f"_out_{c}")) for c in columns}
+    if not placed:
+        near |= {POS: F.col("_before") + F.col("_rank"), LEN: F.col("_total")}
     scratch = [f"{p}_{c}" for p in ("_lp", "_ln", "_in", "_out") for c in columns]
-    return joined.withColumns({**prev, **nxt}).drop("_block", *scratch)
+    return joined.withColumns(near).drop("_block", "_rank", "_before", "_total", *scratch)
 
 
 def drop_neighbours(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -110,13 +134,13 @@ def refill_derived(df: DataFrame, ts: str = TIME) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), e) for c, e in source.items() if c in df.columns})
 
 
-def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME) -> DataFrame:
+def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME, skip=()) -> DataFrame:
     """Fill every column by its group; the index itself and its targets stay as they are.
 
     pollutants: forward then backward; weather: linear; precipitation 0; wind speed and pressure: series median; calendar: recomputed;
-    anything else: 0 or ``unknown``.
+    anything else: 0 or ``unknown``. Columns in ``skip`` stay as they are.
     """
-    present = set(df.columns)
+    present = set(df.columns) - set(skip)
     carry = [c for c in fixed.POLLUTANTS if c in present]
     linear = [c for c in fixed.INTERPOLATED if c in present]
     middle = [c for c in fixed.MEDIAN_FILLED if c in present]
@@ -127,10 +151,10 @@ def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME) -> DataFrame:
         out = with_neighbours(out, carry + linear, keys, ts)
         values = {c: filled(c) for c in carry} | {c: interpolated(c) for c in linear}
         out = drop_neighbours(out.withColumns(values), carry + linear)
-        if POS not in present:
+        if POS not in df.columns:
             out = out.drop(POS, LEN)
     out = refill_derived(out, ts)
-    untouched = {*keys, ts, POS, LEN, "numerical_aqi", *fixed.TARGETS, *carry, *linear, *middle}
+    untouched = {*skip, *keys, ts, POS, LEN, "numerical_aqi", *fixed.TARGETS, *carry, *linear, *middle}
     return fill_constant(out, skip=untouched)
 
 

@@ -47,13 +47,16 @@ def nearest_in_time(
         *keys, ts, F.explode(F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)).alias("_b"), "_v"
     )
     merged = asked.unionByName(spread)
-    order = Window.partitionBy(*keys, "_b").orderBy(F.unix_micros(ts))
+    bucketed = Window.partitionBy(*keys, "_b")
+    so_far = (Window.unboundedPreceding, 0)
+    earlier = bucketed.orderBy(F.unix_micros(ts)).rangeBetween(*so_far)
+    later = bucketed.orderBy(F.unix_micros(ts).desc()).rangeBetween(*so_far)
     near = merged.select(
         *keys,
         ts,
         F.col("_v").isNull().alias("_asked"),
-        F.last("_v", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)).alias("_p"),
-        F.first("_v", ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)).alias("_n"),
+        F.last("_v", ignorenulls=True).over(earlier).alias("_p"),
+        F.last("_v", ignorenulls=True).over(later).alias("_n"),
     ).where("_asked")
     before = F.unix_micros(ts) - F.unix_micros("_p.at")
     after = F.unix_micros("_n.at") - F.unix_micros(ts)

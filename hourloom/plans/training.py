@@ -13,6 +13,27 @@ from hourloom.session import cut_lineage
 CLIP_LIMITS = {"temperature": (-10.0, 50.0), "numerical_aqi": (0.0, 500.0)}
 
 
+def clean_sources(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> DataFrame:
+    """Positioned source rows with, beside each raw column c, its filled form ``_clean_c``.
+
+    Written once: the quartile passes and the feature pass all read this narrow table, so
+    the several hundred feature columns never have to be stored in between.
+    """
+    placed = layout.with_position(df, keys, ts)
+    sources = [c for c in df.columns if c not in (*keys, ts)]
+    raw = {f"_raw_{c}": F.col(c) for c in sources}
+    filled = fill.gap_fill_policy(placed.withColumns(raw), keys, ts, skip=tuple(raw))
+    narrow = filled.select(
+        *keys,
+        ts,
+        layout.POS,
+        layout.LEN,
+        *[F.col(f"_raw_{c}").alias(c) for c in sources],
+        *[F.col(c).alias(f"_clean_{c}") for c in sources],
+    )
+    return cut_lineage(narrow, "sources")
+
+
 def featured_with_index(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> DataFrame:
     """Index, targets and features from a single block layout.
 
@@ -36,19 +57,20 @@ def featured_with_index(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> Data
 def training_table(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, trim: bool = True) -> DataFrame:
     """Features of past and present, targets of the future, gaps filled, outliers clipped.
 
-    Features are computed before filling and clipping, as lags and means describe the raw
-    series. ``trim=False`` keeps the newest rows, whose targets are still unknown: the table
-    to forecast from.
+    Features are computed from the raw columns, as lags and means describe the raw series;
+    the columns themselves end up filled and clipped. ``trim=False`` keeps the newest rows,
+    whose targets are still unknown: the table to forecast from.
     """
-    wide = featured_with_index(df, keys, ts)
-    # two statistics passes (medians, quartiles) and one output pass read this table
-    wide = cut_lineage(wide)
-    filled = fill.gap_fill_policy(wide, keys, ts)
-    pollutants = [c for c in fixed.POLLUTANTS if c in wide.columns]
-    clipped = stats.fixed_clip(stats.iqr_clip(filled, pollutants, keys), CLIP_LIMITS)
+    sources = [c for c in df.columns if c not in (*keys, ts)]
+    pollutants = [f"_clean_{c}" for c in fixed.POLLUTANTS if c in sources]
+    narrow = stats.iqr_clip(clean_sources(df, keys, ts), pollutants, keys)
+    wide = featured_with_index(narrow, keys, ts)
+    settled = wide.withColumns({c: F.col(f"_clean_{c}") for c in sources}).drop(*[f"_clean_{c}" for c in sources])
+    untouched = (*keys, ts, layout.POS, layout.LEN, "numerical_aqi", *fixed.TARGETS, *sources)
+    out = stats.fixed_clip(fill.fill_constant(settled, skip=untouched), CLIP_LIMITS)
     if trim:
-        clipped = splits.trim_tail(clipped, keys=keys, ts=ts).na.drop(subset=list(fixed.TARGETS))
-    out = clipped.drop("numerical_aqi", layout.POS, layout.LEN)
+        out = splits.trim_tail(out, keys=keys, ts=ts).na.drop(subset=list(fixed.TARGETS))
+    out = out.drop("numerical_aqi", layout.POS, layout.LEN)
     guards.check_names(guards.feature_columns(out, keys, ts))
     return out
 

@@ -52,9 +52,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "hourloom", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives lost executors and is computed once."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write to the shared folder and read back.
+
+    The result is computed once, survives lost executors, and being columnar, later passes
+    read only the columns they use.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
