@@ -1 +1,316 @@
-"""Queries."""
+"""Queries of scaling, training, searching, forecasting and the champion gate."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hourloom.catalog.base import query
+from hourloom.catalog.sql import r, rounded, using
+from hourloom.functions import fixed
+from hourloom.models import baseline, forecast, neighbours, regressors, selection
+from hourloom.operators import layout, metrics, profiles, splits, stats
+from hourloom.plans import daily, training
+from hourloom.session import fresh_path
+from hourloom.sources import frames, sinks
+
+KEY = ["station_id", "ts"]
+BY = "(PARTITION BY station_id ORDER BY ts)"
+FEATURES = ["pm2_5", "pm10", "o3", "co", "no2", "temperature", "pressure", "hour_sin", "hour_cos", "pm2_5_lag_24h", "pm10_24h_mean", "o3_72h_mean"]
+TARGETS = dict(zip(fixed.HORIZONS, fixed.TARGETS))
+LABEL = fixed.TARGETS[0]
+
+
+def table(spark, sf, trim=True):
+    return daily.learning_table(frames.dense_hourly(spark, sf), FEATURES, trim=trim)
+
+
+def small_boost(label, rounds=5, depth=3):
+    return regressors.boosted(label, rounds=rounds, depth=depth)
+
+
+SCALED = ["pm2_5", "pm10", "pressure"]
+
+
+@query(
+    "standardise",
+    using(
+        "dense",
+        "SELECT station_id, ts, " + ", ".join(f"{r(f'({c} - m_{c}) / s_{c}')} AS {c}" for c in SCALED) + ", 0.0::DOUBLE AS constant FROM dense, fit",
+        fit="SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALED) + " FROM dense",
+    ),
+)
+def _(spark, sf):
+    rows = frames.dense_hourly(spark, sf).select(*KEY, *SCALED, F.lit(3.0).alias("constant"))
+    return stats.standardise(rows, [*SCALED, "constant"])
+
+
+SPLIT = """CASE WHEN pos <= floor(len * 0.6::DOUBLE) THEN 'train' WHEN pos <= floor(len * 0.6::DOUBLE)
+  + floor(len * 0.2::DOUBLE) THEN 'validation' ELSE 'test' END"""
+PLACED = "SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY ts) AS pos, count(*) OVER (PARTITION BY station_id) AS len FROM dense"
+
+
+@query(
+    "standardise_target",
+    using(
+        "dense",
+        f"SELECT station_id, ts, split, {r('(pm10 - m) / (s + 1e-8)')} AS scaled, {r('pm10')} AS restored FROM parts, fit",
+        placed=PLACED,
+        parts=f"SELECT *, {SPLIT} AS split FROM placed",
+        fit="SELECT avg(pm10) AS m, stddev_pop(pm10) AS s FROM parts WHERE split = 'train'",
+    ),
+)
+def _(spark, sf):
+    """Scaled with the mean and deviation of the train rows, and back."""
+    rows = splits.temporal_split(frames.dense_hourly(spark, sf).select(*KEY, "pm10"))
+    fit = stats.moments(rows.where("split = 'train'"), ["pm10"])
+    out = stats.with_one_row(rows, fit)
+    scale = F.col("_s.pm10_std") + F.lit(1e-8)
+    scaled = (F.col("pm10") - F.col("_s.pm10_mean")) / scale
+    return out.select(*KEY, "split", scaled.alias("scaled"), (scaled * scale + F.col("_s.pm10_mean")).alias("restored"))
+
+
+@query("assemble_features")
+def _(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    rows = regressors.prepared(frames.dense_hourly(spark, sf), ["pm2_5", "pm10", "o3"])
+    out = regressors.assemble(["pm2_5", "pm10", "o3"]).transform(rows)
+    return out.select(*KEY, vector_to_array("features").alias("features"))
+
+
+@query(
+    "linear_one_feature",
+    using("dense", f"SELECT {r('regr_slope(pm10, pm2_5)')} AS slope, {r('regr_intercept(pm10, pm2_5)')} AS intercept FROM dense"),
+)
+def _(spark, sf):
+    """Least squares by Spark ML on one feature."""
+    rows = regressors.prepared(frames.dense_hourly(spark, sf), ["pm2_5"])
+    fitted = regressors.fit(regressors.linear("pm10"), rows, ["pm2_5"]).stages[-1]
+    one = [(float(fitted.coefficients[0]), float(fitted.intercept))]
+    return spark.createDataFrame(one, "slope double, intercept double")
+
+
+def scored(spark, sf, estimators, targets=None):
+    rows = table(spark, sf)
+    _, predictions = regressors.train_all(rows, FEATURES, targets or {24: LABEL}, estimators)
+    return metrics.regression_metrics(predictions)
+
+
+@query("linear_family")
+def _(spark, sf):
+    rows = table(spark, sf)
+    train = rows.where("split = 'train'")
+    _, predictions = regressors.train_all(rows, FEATURES, {24: LABEL}, lambda t: regressors.linear_family(train, t))
+    return metrics.regression_metrics(predictions)
+
+
+@query("tree_family")
+def _(spark, sf):
+    return scored(spark, sf, lambda t: regressors.tree_family(t, trees=8, depth=5))
+
+
+@query("boosted_trees")
+def _(spark, sf):
+    return scored(spark, sf, lambda t: {"boosted": small_boost(t)})
+
+
+NEAR = ["temperature", "relative_humidity", "pressure"]
+
+
+@query(
+    "knn_regress",
+    using(
+        "dense",
+        f"""SELECT station_id, ts, {r('CASE WHEN count(*) FILTER (d = 0) > 0 THEN avg(y) FILTER (d = 0) ELSE sum(y / d) FILTER (d > 0) / sum(1 / d) FILTER (d > 0) END')} AS prediction
+        FROM near WHERE n <= 15 GROUP BY 1, 2""",
+        placed=PLACED,
+        parts=f"SELECT *, {SPLIT} AS split FROM placed",
+        pairs="""SELECT q.station_id, q.ts, t.pm10 AS y, t.station_id || '|' || strftime(t.ts, '%Y-%m-%d %H:%M:%S') AS t,
+        sqrt((q.temperature - t.temperature) ** 2 + (q.relative_humidity - t.relative_humidity) ** 2
+        + (q.pressure - t.pressure) ** 2) AS d FROM parts q, parts t WHERE q.split = 'test' AND t.split = 'train'""",
+        near="SELECT *, row_number() OVER (PARTITION BY station_id, ts ORDER BY d, t) AS n FROM pairs",
+    ),
+)
+def _(spark, sf):
+    rows = splits.temporal_split(frames.dense_hourly(spark, sf).select(*KEY, *NEAR, "pm10"))
+    return neighbours.knn_regress(rows.where("split = 'train'"), rows.where("split = 'test'"), NEAR, "pm10", KEY)
+
+
+@query("param_search")
+def _(spark, sf):
+    settings = regressors.random_draws({"rounds": [2, 4], "depth": [2, 3]}, 2)
+    return regressors.param_search(table(spark, sf), FEATURES, LABEL, small_boost, settings)[2]
+
+
+@query("contiguous_cv")
+def _(spark, sf):
+    rows = splits.contiguous_folds(table(spark, sf), 2)
+    return regressors.contiguous_cv(
+        rows, FEATURES, LABEL, regressors.linear(LABEL), {"regParam": [0.0, 0.1], "elasticNetParam": [0.0]}
+    )[1]
+
+
+@query("train_all_leaderboard")
+def _(spark, sf):
+    rows = table(spark, sf)
+    _, predictions = regressors.train_all(
+        rows, FEATURES, TARGETS, lambda t: {"ols": regressors.linear(t), "tree": regressors.tree_family(t, depth=4)["tree"]}
+    )
+    return regressors.leaderboard(predictions)
+
+
+def _trials(spark, sf):
+    """Three cheap models of one horizon, with their predictions."""
+    rows = table(spark, sf)
+    make = lambda t: {
+        "ols": regressors.linear(t),
+        "lasso": regressors.linear(t, regParam=0.5, elasticNetParam=1.0),
+        "tree": regressors.tree_family(t, depth=4)["tree"],
+    }
+    return rows, regressors.train_all(rows, FEATURES, {24: LABEL}, make)[1]
+
+
+@query("tune_top_k")
+def _(spark, sf):
+    """The best tree-like and linear candidates are refitted over a small grid each."""
+    rows, predictions = _trials(spark, sf)
+    best = metrics.top_models(regressors.leaderboard(predictions), 2).select("model").collect()
+    spaces = {
+        "ols": (lambda t, **o: regressors.linear(t, **o), {"regParam": [0.0, 0.01]}),
+        "lasso": (lambda t, **o: regressors.linear(t, elasticNetParam=1.0, **o), {"regParam": [0.1, 0.5]}),
+        "tree": (lambda t, **o: regressors.tree_family(t, **o)["tree"], {"depth": [3, 5]}),
+    }
+    out = None
+    for row in best:
+        make, space = spaces[row.model]
+        part = regressors.param_search(rows, FEATURES, LABEL, make, regressors.grid(space))[2]
+        part = part.withColumn("model", F.lit(row.model))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("linear_blend")
+def _(spark, sf):
+    _, predictions = _trials(spark, sf)
+    return metrics.regression_metrics(regressors.linear_blend(predictions, ["ols", "lasso", "tree"])[2])
+
+
+@query("feature_importance")
+def _(spark, sf):
+    rows = table(spark, sf)
+    model = regressors.train_one(small_boost(LABEL), rows, FEATURES)
+    gain = selection.model_importance(model, FEATURES, spark).withColumnRenamed("importance", "gain")
+    return selection.permutation_importance(model, rows, FEATURES, LABEL).join(F.broadcast(gain), "feature")
+
+
+@query("select_features")
+def _(spark, sf):
+    rows = table(spark, sf)
+    chosen = selection.select_features(rows, FEATURES, LABEL, k=5, rounds=3)
+    return training.final_table(rows, chosen, fit_on=rows.where("split = 'train'"))
+
+
+@query("forecast_latest")
+def _(spark, sf):
+    everything = table(spark, sf, trim=False)
+    known = everything.na.drop(subset=list(fixed.TARGETS))
+    models = regressors.per_horizon(known, FEATURES, regressors.linear)
+    return forecast.forecast_latest(everything, FEATURES, models)
+
+
+@query("write_forecast")
+def _(spark, sf):
+    everything = table(spark, sf, trim=False)
+    known = everything.na.drop(subset=list(fixed.TARGETS))
+    models = {24: regressors.train_one(regressors.linear(LABEL), known, FEATURES)}
+    rows = forecast.forecast_latest(everything, FEATURES, models)
+    as_json, _ = sinks.write_forecast(rows, everything, FEATURES, fresh_path(spark, "forecast"))
+    schema = "station_id STRING, base_timestamp TIMESTAMP, target_timestamp TIMESTAMP, horizon INT, prediction DOUBLE, snapshot STRING"
+    return spark.read.schema(schema).json(as_json)
+
+
+@query("backtest")
+def _(spark, sf):
+    rows = table(spark, sf)
+    models = regressors.per_horizon(rows, FEATURES, regressors.linear)
+    return forecast.backtest_metrics(forecast.backtest(rows, FEATURES, models))
+
+
+@query("persistence_baseline", using("predictions", f"SELECT station_id, ts, split, model, horizon, {r('y')} AS y, {r('p')} AS p FROM predictions"))
+def _(spark, sf):
+    return frames.naive_predictions(spark, sf)
+
+
+@query(
+    "backtest_persistence",
+    using(
+        "numbered",
+        f"""SELECT horizon, count(*) AS n, {r('sqrt(avg((y - p) ** 2))')} AS rmse, {r('1 - sum((y - p) ** 2) / (var_pop(y) * count(*))')} AS r2
+        FROM (SELECT unnest([24, 48, 72]) AS horizon, unnest([y24, y48, y72]) AS y, numerical_aqi AS p FROM led
+        WHERE len >= 6 AND pos % (len // 6) = 0 AND pos // (len // 6) <= 5) WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY 1""",
+        led=f"SELECT *, lead(numerical_aqi, 24) OVER {BY} AS y24, lead(numerical_aqi, 48) OVER {BY} AS y48, lead(numerical_aqi, 72) OVER {BY} AS y72 FROM numbered",
+    ),
+)
+def _(spark, sf):
+    return forecast.backtest_metrics(baseline.persistence_backtest(frames.indexed(spark, sf)))
+
+
+@query(
+    "champion_gate",
+    using(
+        "scored",
+        f"""SELECT horizon, {r('cand')} AS cand_rmse, {r('champ')} AS champ_rmse, {r('gain')} AS rel_gain,
+        gain >= 0.02 AND (SELECT count(*) >= 500 FROM dense) AS promoted,
+        {r('CASE WHEN gain >= 0.02 AND (SELECT count(*) >= 500 FROM dense) THEN cand ELSE champ END')} AS rmse,
+        {r('CASE WHEN gain >= 0.02 AND (SELECT count(*) >= 500 FROM dense) THEN cand_r2 ELSE champ_r2 END')} AS r2 FROM (
+        SELECT a.horizon, b.rmse AS cand, b.r2 AS cand_r2, a.rmse AS champ, a.r2 AS champ_r2,
+        (a.rmse - b.rmse) / greatest(1e-9, a.rmse) AS gain FROM
+        (SELECT * FROM scored WHERE split = 'validation' AND model = 'carry_day') a JOIN
+        (SELECT * FROM scored WHERE split = 'validation' AND model = 'carry') b ON a.horizon = b.horizon)""",
+    ),
+)
+def _(spark, sf):
+    scores = metrics.regression_metrics(frames.naive_predictions(spark, sf)).where("split = 'validation'")
+    return forecast.champion_gate(
+        scores.where("model = 'carry'"), scores.where("model = 'carry_day'"), frames.dense_hourly(spark, sf)
+    )
+
+
+@query("per_horizon_train")
+def _(spark, sf):
+    rows = table(spark, sf)
+    models = regressors.per_horizon(rows, FEATURES, small_boost)
+    out = None
+    for h, label in TARGETS.items():
+        part = regressors.predict(models[h], rows, f"boosted_{h}", label, h)
+        out = part if out is None else out.unionByName(part)
+    return metrics.regression_metrics(out)
+
+
+@query(
+    "sequence_model_input",
+    using(
+        "users",
+        f"""SELECT station_id, ts, {', '.join(r(f'lag(pm10, {k}) OVER {BY}') + f' AS pm10_t{k}' for k in range(6))}, {r('pm2_5')} AS label
+        FROM users QUALIFY row_number() OVER {BY} >= 6""",
+    ),
+)
+def _(spark, sf):
+    rows = frames.user_hourly(spark, sf).select(*KEY, "pm10", "pm2_5")
+    return forecast.flattened_sequences(rows, ["pm10"], "pm2_5", 6)
+
+
+@query("persist_model_and_features")
+def _(spark, sf):
+    """A stored pipeline scores like the one in memory."""
+    rows = table(spark, sf)
+    model = regressors.train_one(regressors.linear(LABEL), rows, FEATURES)
+    path = sinks.persist_model(model, FEATURES, fresh_path(spark, "model"), spark)
+    loaded, names = sinks.load_model(path, spark)
+    return metrics.regression_metrics(regressors.predict(loaded, rows, ",".join(names[:1]), LABEL, 24))
+
+
+@query("daily_run")
+def _(spark, sf):
+    run = daily.daily_run(frames.dense_hourly(spark, sf), FEATURES, regressors.linear)
+    return run.forecast

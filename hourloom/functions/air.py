@@ -54,16 +54,26 @@ def select_ozone(conc_1h: Column, index_1h: Column, index_8h: Column) -> Column:
     return F.when(hourly_wins, index_1h).otherwise(index_8h)
 
 
-def overall_index(sub_indices: list[Column]) -> Column:
-    """Largest sub-index; missing ones are skipped."""
-    return F.greatest(*sub_indices) if len(sub_indices) > 1 else sub_indices[0]
+def dominant(sub_indices: dict[str, Column]) -> Column:
+    """Struct (index, name) of the largest sub-index; missing ones are skipped.
 
-
-def primary_pollutant(sub_indices: dict[str, Column]) -> Column:
-    """Name of the largest sub-index; the first in dominance order wins a tie."""
+    The first in dominance order wins a tie. Each sub-index enters once: a plan that filters
+    on the result inlines it, and repeated sub-indices would outgrow generated code.
+    """
     ordered = [p for p in fixed.DOMINANCE_ORDER if p in sub_indices]
-    peak = overall_index([sub_indices[p] for p in ordered])
-    return F.coalesce(*[F.when(sub_indices[p] == peak, F.lit(p)) for p in ordered])
+    ranked = [
+        F.struct(sub_indices[p].alias("index"), F.lit(-place).alias("place"), F.lit(p).alias("name"))
+        for place, p in enumerate(ordered)
+    ]
+    return F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
+
+
+def overall_index(top: Column) -> Column:
+    return top["index"]
+
+
+def primary_pollutant(top: Column) -> Column:
+    return F.when(top["index"].isNotNull(), top["name"])
 
 
 def _piecewise(c: Column, knots: tuple) -> Column:

@@ -2,10 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourloom.models import regressors
+from hourloom.operators import profiles
+
+SAMPLE_ROWS = 1000
+
 
 def top_features(importance: DataFrame, k: int = 50) -> DataFrame:
     """The k highest ranked features; the name decides a tie."""
     return importance.orderBy(F.desc("importance"), "feature").limit(k)
+
+
+def model_importance(model, features: list[str], spark) -> DataFrame:
+    """Gain importance of a fitted tree model."""
+    scores = model.stages[-1].featureImportances.toArray()
+    return spark.createDataFrame([(f, float(s)) for f, s in zip(features, scores)], "feature string, importance double")
+
+
+def permutation_importance(
+    model, df: DataFrame, features: list[str], label: str, rows: int = SAMPLE_ROWS, seed: int = 42
+) -> DataFrame:
+    """Rise of the squared error when one column is shuffled, on a seeded validation sample.
+
+    The sample has at most ``rows`` rows by definition, so numbering it is bounded. Every row
+    is copied once per feature, with that feature taken from another row of the sample, and
+    all copies are scored in a single pass.
+    """
+    sample = profiles.seeded_sample(df.where("split = 'validation'"), rows, seed=seed)
+    sample = sample.select(label, *features)
+    mixed = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in features]))
+    everything = Window.orderBy(mixed)
+    donor = F.lead(F.struct(*features), 1).over(everything)
+    first = F.first(F.struct(*features)).over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    given = sample.withColumn("_d", F.coalesce(donor, first))
+    names = F.array(F.lit(""), *[F.lit(f) for f in features])
+    copies = given.withColumn("feature", F.explode(names))
+    shuffled = copies.withColumns(
+        {f: F.when(F.col("feature") == f, F.col("_d")[f]).otherwise(F.col(f)) for f in features}
+    )
+    scored = model.transform(shuffled)
+    error = scored.groupBy("feature").agg(F.sqrt(F.avg((F.col(label) - F.col("prediction")) ** 2)).alias("rmse"))
+    base = error.where("feature = ''").select("rmse").scalar()
+    return error.where("feature <> ''").select("feature", (F.col("rmse") - base).alias("importance"))
+
+
+def select_features(df: DataFrame, features: list[str], label: str, k: int = 50, rounds: int = 20) -> list[str]:
+    """Rank with a boosted model and keep the k best names (at most ``len(features)`` strings)."""
+    from hourloom.operators.guards import check_names
+
+    check_names(features)
+    model = regressors.train_one(regressors.boosted(label, rounds=rounds), df, features)
+    ranked = permutation_importance(model, df, features, label)
+    return [row.feature for row in top_features(ranked, k).collect()]

@@ -116,3 +116,14 @@ def over_series(
     blocks = in_blocks(df, back, ahead, keys, ts, rows)
     out = blocks.native(blocks.df.withColumns(columns(blocks.window)))
     return out if keep_position else out.drop(POS, LEN)
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns as a one-row ``inline``.
+
+    Spark copies a projected expression into every filter and aggregate above that mentions
+    it. For long expressions used many times the copies outgrow generated code; across a
+    generator nothing is copied, so these are evaluated once per row.
+    """
+    row = F.struct(*[e.alias(name) for name, e in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

@@ -29,42 +29,31 @@ def averages(columns: list[str], w: WindowSpec) -> dict[str, Column]:
     return out
 
 
-def sub_indices(df: DataFrame) -> dict[str, Column]:
-    """Index per pollutant for the averages present, as ``{pollutant}_aqi`` expressions."""
-
-    def index(average, pollutant, table=None):
-        cut = air.truncate_concentration(F.col(average), pollutant)
-        return air.breakpoint_index(cut, table or pollutant)
-
-    out = {}
-    if {"o3_8h_avg", "o3_1h_avg"} <= set(df.columns):
-        hourly = air.truncate_concentration(F.col("o3_1h_avg"), "o3")
-        out["o3"] = air.select_ozone(
-            hourly, air.breakpoint_index(hourly, "o3_1h"), index("o3_8h_avg", "o3", "o3_8h")
-        )
-    for average, pollutant in (
-        ("pm2_5_24h_avg", "pm2_5"),
-        ("pm10_24h_avg", "pm10"),
-        ("co_8h_avg", "co"),
-        ("so2_1h_avg", "so2"),
-        ("no2_1h_avg", "no2"),
-    ):
-        if average in df.columns:
-            out[pollutant] = index(average, pollutant)
-    return {p: out[p] for p in fixed.DOMINANCE_ORDER if p in out}
+# truncated column: (averaged column, pollutant whose precision applies, breakpoint table)
+CUTS = {
+    "pm2_5": ("pm2_5_24h_avg", "pm2_5", "pm2_5"),
+    "pm10": ("pm10_24h_avg", "pm10", "pm10"),
+    "o3_8h": ("o3_8h_avg", "o3", "o3_8h"),
+    "o3_1h": ("o3_1h_avg", "o3", "o3_1h"),
+    "co": ("co_8h_avg", "co", "co"),
+    "so2": ("so2_1h_avg", "so2", "so2"),
+    "no2": ("no2_1h_avg", "no2", "no2"),
+}
 
 
 def add_index(averaged: DataFrame) -> DataFrame:
     """Sub-indices, overall index and dominant pollutant on a frame that has its averages."""
-    subs = sub_indices(averaged)
-    out = averaged.withColumns({f"{p}_aqi": e for p, e in subs.items()})
-    refs = {p: F.col(f"{p}_aqi") for p in subs}
-    return out.withColumns(
-        {
-            "numerical_aqi": air.overall_index(list(refs.values())),
-            "primary_pollutant": air.primary_pollutant(refs),
-        }
-    ).drop("aqi_category")
+    used = {n: spec for n, spec in CUTS.items() if spec[0] in averaged.columns}
+    cut = averaged.withColumns(
+        {f"_c_{n}": air.truncate_concentration(F.col(avg), p) for n, (avg, p, _) in used.items()}
+    )
+    indices = {n: air.breakpoint_index(F.col(f"_c_{n}"), t) for n, (_, _, t) in used.items()}
+    sub = layout.computed_once(cut, {f"{n}_aqi": e for n, e in indices.items()})
+    if "o3_8h" in used:
+        sub = sub.withColumn("o3_aqi", air.select_ozone(F.col("_c_o3_1h"), F.col("o3_1h_aqi"), F.col("o3_8h_aqi")))
+    top = air.dominant({p: F.col(f"{p}_aqi") for p in fixed.DOMINANCE_ORDER if f"{p}_aqi" in sub.columns})
+    out = sub.withColumns({"numerical_aqi": air.overall_index(top), "primary_pollutant": air.primary_pollutant(top)})
+    return out.drop("aqi_category", "o3_8h_aqi", "o3_1h_aqi", *[f"_c_{n}" for n in used])
 
 
 def compute_index(df: DataFrame, keep_position: bool = False, keys=layout.KEYS, ts=layout.TIME) -> DataFrame:
