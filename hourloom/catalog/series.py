@@ -64,6 +64,32 @@ windowed(
     lambda w: {f"wind_{n}": rolling.rolling_max("wind_speed", n, w) for n in SIZES},
     {f"wind_{n}": f"max(wind_speed) OVER {frame(n)}" for n in SIZES},
 )
+windowed(
+    "rolling_with_gaps",
+    11,
+    lambda w: {
+        f"{n}_{k}": f("pm2_5", k, w)
+        for n, f in (
+            ("mean", rolling.rolling_mean),
+            ("std", rolling.rolling_std),
+            ("trend", rolling.rolling_trend),
+            ("max", rolling.rolling_max),
+        )
+        for k in (2, 12)
+    },
+    {
+        f"{n}_{k}": f
+        for k in (2, 12)
+        for n, f in (
+            ("mean", f"avg(pm2_5) OVER {frame(k)}"),
+            ("std", f"stddev_samp(pm2_5) OVER {frame(k)}"),
+            ("trend", trend("pm2_5", k)),
+            ("max", f"max(pm2_5) OVER {frame(k)}"),
+        )
+    },
+    source=frames.sparse_hourly,
+    table="sparse",
+)
 windowed(
     "lag_features",
     72,

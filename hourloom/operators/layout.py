@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 KEYS = ("station_id",)
 TIME = "ts"
 POS, LEN = "_pos", "_len"
+REL = "_rel"  # position counted from the block start: small, so products with it stay exact
 BLOCK_ROWS = 2048
 CELL_SECONDS = 30 * 24 * 3600
 
@@ -69,7 +70,7 @@ class Blocks:
 
     def native(self, df: DataFrame) -> DataFrame:
         """Drop the halo copies and the layout columns once the windows are computed."""
-        return df.where("_native").drop("_block", "_native")
+        return df.where("_native").drop("_block", "_native", REL)
 
 
 def block_of(pos: Column, rows: int = BLOCK_ROWS) -> Column:
@@ -95,7 +96,12 @@ def in_blocks(
     spread = df.withColumn("_own", own).withColumn(
         "_block", F.explode(F.array_compact(F.array(F.col("_own"), to_next, to_previous)))
     )
-    laid_out = spread.withColumn("_native", F.col("_block") == F.col("_own")).drop("_own")
+    laid_out = spread.withColumns(
+        {
+            "_native": F.col("_block") == F.col("_own"),
+            REL: (F.col(POS) - F.col("_block") * rows).cast("double"),
+        }
+    ).drop("_own")
     return Blocks(laid_out, Window.partitionBy(*keys, "_block").orderBy(POS))
 
 

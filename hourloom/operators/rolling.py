@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-from hourloom.operators.layout import POS
+from hourloom.operators.layout import POS, REL
 
 
 def last_rows(w: WindowSpec, n: int) -> WindowSpec:
@@ -36,12 +36,18 @@ def rolling_max(name: str, n: int, w: WindowSpec) -> Column:
 
 
 def rolling_trend(name: str, n: int, w: WindowSpec) -> Column:
-    """Least-squares slope per row; NULL for one row or when the frame has a missing value."""
+    """Least-squares slope per row; NULL for one row or when the frame has a missing value.
+
+    Without gaps the positions in a frame are consecutive, so their mean and spread are known
+    and one sum of products is all the frame has to gather.
+    """
     frame = last_rows(w, n)
-    present = F.count(name).over(frame)
-    whole = (present >= 2) & (present == F.count(POS).over(frame))
-    slope = F.regr_slope(F.col(name), F.col(POS).cast("double")).over(frame)
-    return F.when(whole, slope)
+    value = F.col(name)
+    rows = F.least(F.col(POS), F.lit(n)).cast("double")
+    whole = (rows >= 2) & (F.count(value).over(frame) == rows)
+    centre = F.col(REL) - (rows - 1) / 2
+    products = F.sum(F.col(REL) * value).over(frame) - centre * F.sum(value).over(frame)
+    return F.when(whole, products * 12 / (rows * (rows * rows - 1)))
 
 
 def lag(name: str, k: int, w: WindowSpec) -> Column:
