@@ -104,22 +104,16 @@ def knn_regress(
             return pd.DataFrame({"q": [], "t": [], "d": [], "y": []})
         near = near.sort_values("t", kind="stable")
         points, names, labels = _matrix(near["v"]), near["t"].to_numpy(), near["y"].to_numpy()
-        found = []
+        asked_names, vectors = ask["q"].to_numpy(), _matrix(ask["v"])
+        found = {"q": [], "t": [], "d": [], "y": []}
         for start in range(0, len(ask), 256):
-            some = ask.iloc[start : start + 256]
-            d = _distances(_matrix(some["v"]), points)
+            d = _distances(vectors[start : start + 256], points)
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "q": np.repeat(some["q"].to_numpy(), best.shape[1]),
-                        "t": names[best].ravel(),
-                        "d": np.take_along_axis(d, best, axis=1).ravel(),
-                        "y": labels[best].ravel(),
-                    }
-                )
-            )
-        return pd.concat(found, ignore_index=True)
+            found["q"].append(np.repeat(asked_names[start : start + 256], best.shape[1]))
+            found["t"].append(names[best].ravel())
+            found["d"].append(np.take_along_axis(d, best, axis=1).ravel())
+            found["y"].append(labels[best].ravel())
+        return pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
 
     by = ["cell", "chunk", "slice"]
     local = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "q string, t string, d double, y double")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from hourloom.operators.layout import POS, REL
 
 
+@lru_cache(maxsize=64)
 def last_rows(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), 0)
 
