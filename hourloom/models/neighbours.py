@@ -101,7 +101,7 @@ def knn_regress(
 
     def search(near: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         if not len(near) or not len(ask):
-            return pd.DataFrame({"q": [], "t": [], "d": [], "y": []})
+            return pd.DataFrame({"q": [""], "t": [""], "d": [0.0], "y": [0.0]}).iloc[:0]
         near = near.sort_values("t", kind="stable")
         points, names, labels = _matrix(near["v"]), near["t"].to_numpy(), near["y"].to_numpy()
         asked_names, vectors = ask["q"].to_numpy(), _matrix(ask["v"])
