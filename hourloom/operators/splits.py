@@ -41,13 +41,22 @@ def future_targets(df: DataFrame, index: str = "numerical_aqi", horizons=fixed.H
     return out.drop(index)
 
 
-def trim_tail(df: DataFrame, targets=fixed.TARGETS, keys=KEYS, ts=TIME) -> DataFrame:
-    """Cut each series after the last row at which every target still has a later value."""
-    placed = _placed(df, keys, ts)
+def tail_cuts(placed: DataFrame, targets=fixed.TARGETS, keys=KEYS) -> DataFrame:
+    """Per series the position of the last row at which every target still has a later value.
+
+    A target that never occurs gives position 1; nothing is cut then.
+    """
     last = [F.coalesce(F.max(F.when(F.col(t).isNotNull(), F.col(POS))), F.lit(1)) for t in targets]
-    # a target that never occurs gives position 1, i.e. row index 0: nothing is cut then
-    cut = placed.groupBy(*keys).agg((F.least(*last) if len(last) > 1 else last[0]).alias("_cut"))
-    return placed.join(cut, list(keys)).where((F.col("_cut") <= 1) | (F.col(POS) <= F.col("_cut"))).drop("_cut")
+    return placed.groupBy(*keys).agg((F.least(*last) if len(last) > 1 else last[0]).alias("_cut"))
+
+
+def trim_tail(
+    df: DataFrame, targets=fixed.TARGETS, keys=KEYS, ts=TIME, cuts: DataFrame | None = None
+) -> DataFrame:
+    """Cut each series after its ``tail_cuts`` position."""
+    placed = _placed(df, keys, ts)
+    cuts = cuts if cuts is not None else tail_cuts(placed, targets, keys)
+    return placed.join(cuts, list(keys)).where((F.col("_cut") <= 1) | (F.col(POS) <= F.col("_cut"))).drop("_cut")
 
 
 def rolling_origin_folds(df: DataFrame, folds: int, min_rows: int = 0, keys=KEYS, ts=TIME) -> DataFrame:

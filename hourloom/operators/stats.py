@@ -131,9 +131,13 @@ def fill_median(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
     return out.withColumns({c: F.coalesce(F.col(c), F.col("_s")[f"{c}_q50"]) for c in columns}).drop("_s")
 
 
-def iqr_clip(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
-    """Clip to 1.5 interquartile ranges beyond the quartiles."""
-    out = with_stats(df, quantiles_wide(df, columns, [0.25, 0.75], keys), keys)
+def quartiles(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
+    return quantiles_wide(df, columns, [0.25, 0.75], keys)
+
+
+def iqr_clip(df: DataFrame, columns: list[str], keys=(), fences: DataFrame | None = None) -> DataFrame:
+    """Clip to 1.5 interquartile ranges beyond the quartiles (``fences`` if known already)."""
+    out = with_stats(df, fences if fences is not None else quartiles(df, columns, keys), keys)
     return out.withColumns({c: air.clip(F.col(c), *_fences(c)) for c in columns}).drop("_s")
 
 
@@ -144,7 +148,7 @@ def _fences(c: str) -> tuple[Column, Column]:
 
 def outlier_counts(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
     """Rows outside the fences, per column."""
-    out = with_stats(df, quantiles_wide(df, columns, [0.25, 0.75], keys), keys)
+    out = with_stats(df, quartiles(df, columns, keys), keys)
     counts = {}
     for c in columns:
         low, high = _fences(c)

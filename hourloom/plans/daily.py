@@ -23,7 +23,7 @@ class DailyRun:
 
 def learning_table(df: DataFrame, features: list[str], keys=layout.KEYS, ts=layout.TIME, trim: bool = True) -> DataFrame:
     """The chosen features with targets and split, stored once for the many passes of training."""
-    table = training.training_table(df, keys, ts, trim).select(*keys, ts, *features, *fixed.TARGETS)
+    table = training.training_table(df, keys, ts, trim, only=features).select(*keys, ts, *features, *fixed.TARGETS)
     return cut_lineage(splits.temporal_split(regressors.prepared(table, features), keys=keys, ts=ts), "learning")
 
 

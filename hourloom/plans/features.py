@@ -34,30 +34,37 @@ def row_features(df: DataFrame, ts: str = layout.TIME) -> dict[str, Column]:
     return out
 
 
-def window_features(columns: list[str], w: WindowSpec) -> dict[str, Column]:
-    """The 338 lag, rolling, trend, change and momentum features (for the columns present)."""
-    out: dict[str, Column] = {}
+WEATHER = {
+    "temperature": ("temp", {"mean": rolling.rolling_mean, "trend": rolling.rolling_trend}),
+    "relative_humidity": ("humidity", {"mean": rolling.rolling_mean}),
+    "pressure": ("pressure", {"mean": rolling.rolling_mean, "trend": rolling.rolling_trend}),
+    "wind_speed": ("wind_speed", {"mean": rolling.rolling_mean, "max": rolling.rolling_max}),
+}
+POLLUTANT_STATS = {"mean": rolling.rolling_mean, "std": rolling.rolling_std, "trend": rolling.rolling_trend}
+
+
+def window_feature_specs(columns: list[str]) -> dict[str, tuple]:
+    """Feature name -> (expression builder, source column, rows) for the columns present."""
+    out: dict[str, tuple] = {}
     for p in [c for c in fixed.MODELLED if c in columns]:
-        out |= {f"{p}_lag_{k}h": rolling.lag(p, k, w) for k in fixed.LAGS}
-        for n in fixed.WINDOWS:
-            out[f"{p}_{n}h_mean"] = rolling.rolling_mean(p, n, w)
-            out[f"{p}_{n}h_std"] = rolling.rolling_std(p, n, w)
-            out[f"{p}_{n}h_trend"] = rolling.rolling_trend(p, n, w)
-        out |= {f"{p}_change_{k}h": rolling.change(p, k, w) for k in fixed.CHANGES}
-        out |= {f"{p}_momentum_{k}h": rolling.change(p, k, w) for k in fixed.MOMENTA}
-    weather = {
-        "temperature": ("temp", {"mean": rolling.rolling_mean, "trend": rolling.rolling_trend}),
-        "relative_humidity": ("humidity", {"mean": rolling.rolling_mean}),
-        "pressure": ("pressure", {"mean": rolling.rolling_mean, "trend": rolling.rolling_trend}),
-        "wind_speed": ("wind_speed", {"mean": rolling.rolling_mean, "max": rolling.rolling_max}),
-    }
-    for column, (prefix, kinds) in weather.items():
+        out |= {f"{p}_lag_{k}h": (rolling.lag, p, k) for k in fixed.LAGS}
+        out |= {f"{p}_{n}h_{kind}": (make, p, n) for n in fixed.WINDOWS for kind, make in POLLUTANT_STATS.items()}
+        out |= {f"{p}_change_{k}h": (rolling.change, p, k) for k in fixed.CHANGES}
+        out |= {f"{p}_momentum_{k}h": (rolling.change, p, k) for k in fixed.MOMENTA}
+    for column, (prefix, kinds) in WEATHER.items():
         if column in columns:
-            for n in fixed.WINDOWS:
-                out |= {f"{prefix}_{n}h_{kind}": make(column, n, w) for kind, make in kinds.items()}
+            out |= {f"{prefix}_{n}h_{kind}": (make, column, n) for n in fixed.WINDOWS for kind, make in kinds.items()}
     return out
 
 
+def window_features(columns: list[str], w: WindowSpec, only=None) -> dict[str, Column]:
+    """The 338 lag, rolling, trend, change and momentum features, or those named in ``only``."""
+    specs = window_feature_specs(columns)
+    return {
+        name: make(column, n, w) for name, (make, column, n) in specs.items() if only is None or name in only
+    }
+
+
 def build_features(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, keep_position=False) -> DataFrame:
     """All features in one pass over the block layout: one exchange, one sort."""
     clean = guards.drop_leakage(df)

@@ -16,10 +16,11 @@ CLIP_LIMITS = {"temperature": (-10.0, 50.0), "numerical_aqi": (0.0, 500.0)}
 def clean_sources(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> DataFrame:
     """Positioned source rows with, beside each raw column c, its filled form ``_clean_c``.
 
-    Written once: the quartile passes and the feature pass all read this narrow table, so
-    the several hundred feature columns never have to be stored in between.
+    Written twice, both narrow: the positioned rows, which the medians and the fills read, and
+    the result, which the quartile passes and the feature pass read. The several
+    hundred feature columns never have to be stored in between.
     """
-    placed = layout.with_position(df, keys, ts)
+    placed = cut_lineage(layout.with_position(df, keys, ts), "placed")
     sources = [c for c in df.columns if c not in (*keys, ts)]
     raw = {f"_raw_{c}": F.col(c) for c in sources}
     filled = fill.gap_fill_policy(placed.withColumns(raw), keys, ts, skip=tuple(raw))
@@ -34,7 +35,7 @@ def clean_sources(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> DataFrame:
     return cut_lineage(narrow, "sources")
 
 
-def featured_with_index(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> DataFrame:
+def featured_with_index(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, only=None) -> DataFrame:
     """Index, targets and features from a single block layout.
 
     The halo holds 72 rows back for the features and 72 ahead for the targets; the averages
@@ -50,26 +51,30 @@ def featured_with_index(df: DataFrame, keys=layout.KEYS, ts=layout.TIME) -> Data
     clean = guards.drop_leakage(with_index).drop(*subs)
     rowwise = clean.withColumns(features.row_features(clean, ts))
     targets = {f"target_aqi_{h}h": F.lead("numerical_aqi", h).over(blocks.window) for h in fixed.HORIZONS}
-    wide = rowwise.withColumns(features.window_features(sources, blocks.window) | targets)
+    wide = rowwise.withColumns(features.window_features(sources, blocks.window, only) | targets)
     return blocks.native(wide)
 
 
-def training_table(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, trim: bool = True) -> DataFrame:
+def training_table(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, trim: bool = True, only=None) -> DataFrame:
     """Features of past and present, targets of the future, gaps filled, outliers clipped.
 
     Features are computed from the raw columns, as lags and means describe the raw series;
     the columns themselves end up filled and clipped. ``trim=False`` keeps the newest rows,
-    whose targets are still unknown: the table to forecast from.
+    whose targets are still unknown: the table to forecast from. ``only`` names the window
+    features to build when not all of them are wanted.
     """
     sources = [c for c in df.columns if c not in (*keys, ts)]
     pollutants = [f"_clean_{c}" for c in fixed.POLLUTANTS if c in sources]
-    narrow = stats.iqr_clip(clean_sources(df, keys, ts), pollutants, keys)
-    wide = featured_with_index(narrow, keys, ts)
+    base = clean_sources(df, keys, ts)
+    # one small row per series each: stored, their size is known when the wide plan is made
+    fences = cut_lineage(stats.quartiles(base, pollutants, keys), "fences")
+    wide = featured_with_index(stats.iqr_clip(base, pollutants, keys, fences), keys, ts, only)
     settled = wide.withColumns({c: F.col(f"_clean_{c}") for c in sources}).drop(*[f"_clean_{c}" for c in sources])
     untouched = (*keys, ts, layout.POS, layout.LEN, "numerical_aqi", *fixed.TARGETS, *sources)
     out = stats.fixed_clip(fill.fill_constant(settled, skip=untouched), CLIP_LIMITS)
     if trim:
-        out = splits.trim_tail(out, keys=keys, ts=ts).na.drop(subset=list(fixed.TARGETS))
+        ends = splits.tail_cuts(featured_with_index(base.select(*keys, ts, layout.POS, layout.LEN, *sources), keys, ts, ()), keys=keys)
+        out = splits.trim_tail(out, keys=keys, ts=ts, cuts=cut_lineage(ends, "cuts")).na.drop(subset=list(fixed.TARGETS))
     out = out.drop("numerical_aqi", layout.POS, layout.LEN)
     guards.check_names(guards.feature_columns(out, keys, ts))
     return out
