@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +32,36 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return packing.pack(pieces)
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import ngram_join
+
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    model = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.with_scores(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import quality_rules
+    from hourloom.llm.storage import stored
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    features = stored(quality_rules.with_features(docs).drop("text"), "features")
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return quality_rules.judged(features, table(spark, sf_dir, "labels")).select(
+        "doc_id", *(f"_q.{c}" for c in base), F.col("_kept").alias("kept")
+    )
