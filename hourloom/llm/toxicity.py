@@ -30,9 +30,9 @@ SHAPES = ((0,), (0, 1), (0, 2), (0, 3))
 MAX_ROWS = 12_000
 MAX_COORDINATES = 1 << 20
 #: Training rows that must have a feature.
-LEAST_ROWS = 5
+LEAST_ROWS = 3
 SHARDS, ROUNDS = 8, 5
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 4.0, 1.0, 1.0, 0.1
 GATE_BITS = 22
 
 
