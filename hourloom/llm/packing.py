@@ -35,14 +35,14 @@ STEPS = 300
 #: Words whose ids a worker remembers.
 REMEMBER = 300_000
 
-#: A word of these classes is tokenised alike wherever it stands: the tokenizer drops white space and always
+#: A word of this scheme is tokenised alike wherever it stands: the tokenizer drops white space and always
 #: cuts between an ASCII letter and ASCII punctuation, but for contractions and special tokens.
-CLASSES = np.array(words.SPACES)
-for _b in range(33, 127):
-    if chr(_b).isalpha():
-        CLASSES[_b] = 1
-    elif not chr(_b).isdigit() and chr(_b) not in "'<>|":
-        CLASSES[_b] = 2
+CHUNKS = words.Scheme.of(
+    dict.fromkeys(words.BLANKS, 0)
+    | {b: 1 for b in range(128) if chr(b).isalpha()}
+    | {b: 2 for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "'<>|"},
+    {(1, 2), (2, 1)},
+)
 
 
 class Lexicon:
@@ -98,7 +98,7 @@ class Lexicon:
 def piece_rows(batches: Iterable[pa.RecordBatch], path: str, capacity: int, end: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     lexicon = Lexicon(path)
     for batch in batches:
-        for block in words.blocks(batch.column("text"), CLASSES):
+        for block in words.blocks(batch.column("text"), CHUNKS):
             ids, counts = lexicon.ids(block)
             row, piece, length, check, kept = [], [], [], [], []
             at = 0

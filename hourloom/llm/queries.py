@@ -65,3 +65,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(features, table(spark, sf_dir, "labels")).select(
         "doc_id", *(f"_q.{c}" for c in base), F.col("_kept").alias("kept")
     )
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import token_counts
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))

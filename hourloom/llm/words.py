@@ -39,13 +39,35 @@ BASE = int(scrambled(1, 2)[0]) | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: Classes of bytes: 0 separates words; between classes 1 and 2 a word ends too.
+
+@dataclass(frozen=True)
+class Scheme:
+    """How bytes form words: each byte has a kind (0 to 3), kind 0 belongs to no word, and a word ends between two
+    bytes whose kinds are in ``cut``."""
+
+    kinds: np.ndarray
+    cut: np.ndarray
+
+    @classmethod
+    def of(cls, kinds: dict[int, int], cut: set[tuple[int, int]]):
+        """Bytes not named are of kind 3; kind 0 is cut from every other."""
+        of_byte = np.full(256, 3, dtype=np.uint8)
+        for byte, kind in kinds.items():
+            of_byte[byte] = kind
+        table = np.array([a == 0 or b == 0 or (a, b) in cut for a in range(4) for b in range(4)])
+        return cls(of_byte, table)
+
+    def edges(self, view: np.ndarray) -> np.ndarray:
+        """Whether a word ends before each byte but the first."""
+        kind = self.kinds[view]
+        return self.cut[kind[:-1] * 4 + kind[1:]]
+
+
+BLANKS = (0x20, *range(0x09, 0x0E))
 #: Words end at space and the control characters 9 to 13.
-SPACES = np.full(256, 3, dtype=np.uint8)
-SPACES[[0x20, *range(0x09, 0x0E)]] = 0
-#: Words are runs of ASCII letters and digits and of all other characters beyond ASCII.
-LETTERS = np.full(256, 3, dtype=np.uint8)
-LETTERS[[b for b in range(128) if not chr(b).isalnum()]] = 0
+SPACES = Scheme.of(dict.fromkeys(BLANKS, 0), set())
+#: Words are runs of ASCII letters and digits and of all characters beyond ASCII.
+LETTERS = Scheme.of({b: 0 for b in range(128) if not chr(b).isalnum()}, set())
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -93,15 +115,13 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
-def hash_part(data, lo, hi, breaks, classes, lower):
+def hash_part(data, lo, hi, breaks, scheme, lower):
     """Word hashes, starts and ends of data[lo:hi]; no word goes past a position in ``breaks``."""
     view = data[lo:hi]
-    kind = classes[view]
-    solid = kind > 0
-    edge = np.zeros(len(view) + 1, dtype=bool)
-    edge[0] = edge[-1] = True
-    edge[1:-1] = (kind[1:] == 0) | (kind[:-1] == 0) | (kind[1:] + kind[:-1] == 3)
+    edge = np.ones(len(view) + 1, dtype=bool)
+    edge[1:-1] = scheme.edges(view)
     edge[breaks - lo] = True
+    solid = scheme.kinds[view] > 0
     starts = np.flatnonzero(solid & edge[:-1])
     ends = np.flatnonzero(solid & edge[1:]) + 1
     sums = np.zeros(len(view) + 1, dtype=np.uint64)
@@ -110,34 +130,32 @@ def hash_part(data, lo, hi, breaks, classes, lower):
     return mix(value + (ends - starts).astype(np.uint64) * ODD), starts + lo, ends + lo
 
 
-def cuts(data, lo, hi, classes):
-    """Part limits inside one long text, each just before a separator."""
+def cuts(data, lo, hi, scheme):
+    """Part limits inside one long text, each where a word ends."""
     at = [lo]
     while hi - at[-1] > PART:
         end = at[-1] + PART
-        gaps = np.flatnonzero(classes[data[at[-1] + 1 : end]] == 0)
-        if len(gaps):
-            end = at[-1] + 1 + int(gaps[-1])
-        else:  # one word longer than a part
-            while end < hi and classes[data[end]]:
-                end += 1
-        at.append(end)
-    return [*at, hi]
+        gaps = np.flatnonzero(scheme.edges(data[at[-1] : end]))
+        while not len(gaps) and end < hi:  # one word longer than a part
+            end = min(end + PART, hi)
+            gaps = np.flatnonzero(scheme.edges(data[end - PART - 1 : end])) + (end - PART - 1 - at[-1])
+        at.append(at[-1] + 1 + int(gaps[-1]) if len(gaps) else end)
+    return [*at, hi] if at[-1] < hi else at
 
 
-def blocks(column, classes: np.ndarray = SPACES, lower: bool = False) -> Iterator[Block]:
+def blocks(column, scheme: Scheme = SPACES, lower: bool = False) -> Iterator[Block]:
     """Blocks of whole rows, about ``PART`` bytes each."""
     offsets, data = text_buffers(column)
     n, lo = len(offsets) - 1, 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PART, side="right")) - 1)
         hi = min(hi, n)
-        at = cuts(data, int(offsets[lo]), int(offsets[hi]), classes) if hi == lo + 1 else [int(offsets[lo]), int(offsets[hi])]
+        at = cuts(data, int(offsets[lo]), int(offsets[hi]), scheme) if hi == lo + 1 else [int(offsets[lo]), int(offsets[hi])]
         got = []
         for a, b in zip(at, at[1:]):
             if b > a:
                 inside = offsets[lo:hi][(offsets[lo:hi] >= a) & (offsets[lo:hi] < b)]
-                got.append(hash_part(data, a, b, inside, classes, lower))
+                got.append(hash_part(data, a, b, inside, scheme, lower))
         if got:
             hashes, starts, ends = (np.concatenate(x) if len(got) > 1 else x[0] for x in zip(*got))
         else:
