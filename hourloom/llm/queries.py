@@ -72,3 +72,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourloom.llm import token_counts
 
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op6_segment_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import segment_sampling
+
+    return segment_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
