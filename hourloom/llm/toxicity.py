@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from hourloom.llm import words
-from hourloom.llm.storage import stored
+from hourloom.llm.storage import discard, stored
 
 #: Distances of the words of a feature: words, pairs, pairs with a gap.
 SHAPES = ((0,), (0, 1), (0, 2), (0, 3))
@@ -45,20 +45,36 @@ class Model:
     intercept: float
 
 
-def block_features(block: words.Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row number within the block and hash of every feature, shape by shape."""
+def block_features(block: words.Block, usual: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row number within the block and hash of every feature, shape by shape; pairs of ``usual`` words only."""
     row = np.repeat(np.arange(len(block.counts)), block.counts)
+    known = None
     for shape in SHAPES:
         found = words.grams(block.hashes, shape)
         inside = row[: len(found)] == row[shape[-1] : shape[-1] + len(found)]
+        if usual is not None and known is None:
+            known = among(found, usual) >= 0
+        if known is not None:
+            for p in shape:
+                inside = inside & known[p : p + len(found)]
         yield row[: len(found)][inside], found[inside]
 
 
-def example_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each value in the sorted keys, or -1."""
+    if not len(keys):
+        return np.full(len(values), -1)
+    at = np.searchsorted(keys, values)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == values, at, -1)
+
+
+def example_rows(batches: Iterable[pa.RecordBatch], usual: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The features of each row; its words alone while the usual words are not known."""
     for batch in batches:
         for block in words.blocks(batch.column("text"), words.LETTERS, lower=True):
-            parts = list(block_features(block))
-            row, found = (np.concatenate(x) for x in zip(*parts))
+            shapes = block_features(block, usual)
+            row, found = (np.concatenate(x) for x in zip(*([next(shapes)] if usual is None else shapes)))
             order = np.argsort(row, kind="stable")
             edges = np.searchsorted(row[order], np.arange(len(block.counts) + 1))
             own = [np.unique(found[order[a:b]]) for a, b in zip(edges, edges[1:])]
@@ -71,6 +87,13 @@ def example_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def frequent(examples: DataFrame) -> np.ndarray:
+    """Sorted features of at least ``LEAST_ROWS`` rows, the most frequent ``MAX_COORDINATES`` if there are more."""
+    known = examples.select(F.explode("features").alias("key")).groupBy("key").count().where(f"count >= {LEAST_ROWS}")
+    known = known.orderBy(F.desc("count"), "key").limit(MAX_COORDINATES).select("key").toArrow()
+    return np.sort(known["key"].to_numpy().astype(np.int64).view(np.uint64))
+
+
 def labelled_sample(labels: DataFrame, max_rows: int) -> tuple[DataFrame, dict[int, tuple[int, float]]]:
     """At most about max_rows labelled ids, and for each label its rows and the share that is taken."""
     one = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -109,10 +132,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     # the sample has max_rows short rows at most
     texts = texts.join(F.broadcast(stored(sample, "sample")), "doc_id").select("text", "toxic", "deal")
-    examples = stored(texts.mapInArrow(example_rows, "toxic int, deal long, features array<long>"), "examples")
-    known = examples.select(F.explode("features").alias("key")).groupBy("key").count().where(f"count >= {LEAST_ROWS}")
-    known = known.orderBy(F.desc("count"), "key").limit(MAX_COORDINATES).select("key").toArrow()
-    keys = np.sort(known["key"].to_numpy().astype(np.int64).view(np.uint64))
+    schema = "toxic int, deal long, features array<long>"
+    # a pair of words is no more frequent than either, so pairs are looked for among frequent words only
+    usual = spark.sparkContext.broadcast(frequent(texts.mapInArrow(lambda it: example_rows(it, None), schema)))
+    examples = stored(texts.mapInArrow(lambda it: example_rows(it, usual.value), schema), "examples")
+    keys = frequent(examples)
     shared = spark.sparkContext.broadcast(keys)
 
     def coordinates(batches):
@@ -120,15 +144,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
             lists = []
             for f in batch.column("features"):
                 f = np.asarray(f.values.to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64)
-                at = np.searchsorted(shared.value, f)
-                at[at == len(shared.value)] = 0
-                lists.append(at[shared.value[at] == f] if len(shared.value) else at[:0])
+                at = among(f, shared.value)
+                lists.append(at[at >= 0])
             yield pa.RecordBatch.from_pydict(
                 {"toxic": batch.column("toxic"), "deal": batch.column("deal"), "at": pa.array(lists, pa.list_(pa.int64()))}
             )
 
     rows = examples.mapInArrow(coordinates, "toxic int, deal long, at array<long>")
     rows = stored(rows.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(SHARDS))), "rows")
+    discard(examples)
 
     z, n, bias = np.zeros(len(keys)), np.zeros(len(keys)), [0.0, 0.0]
     for _ in range(ROUNDS):
@@ -170,11 +194,9 @@ def score_batch(text, model: Model, gate: np.ndarray) -> np.ndarray:
         rows, found = [], []
         for row, feature in block_features(block):
             hit = np.flatnonzero(gate[(feature & low).astype(np.int64)])
-            at = np.searchsorted(model.keys, feature[hit])
-            at[at == len(model.keys)] = 0
-            same = model.keys[at] == feature[hit] if len(model.keys) else np.zeros(0, bool)
-            rows.append(row[hit][same])
-            found.append(at[same])
+            at = among(feature[hit], model.keys)
+            rows.append(row[hit][at >= 0])
+            found.append(at[at >= 0])
         pairs = np.unique(np.stack([np.concatenate(rows), np.concatenate(found)], axis=1), axis=0)
         np.add.at(total, pairs[:, 0], model.weights[pairs[:, 1]])
         out.append(total)
