@@ -4,7 +4,8 @@ Two texts link when their sets of n-word shingles have at least ``percent`` % Ja
 global order, rare first, from a count sketch of fixed size. If two sets link, then for every k their prefixes of
 ``size - ceil(percent * size) + k`` shingles share k of them. Every text picks the k, and so the length of its
 prefix, that costs least by the estimated number of candidates; a pair is verified if it shares the smaller k of the
-two in its prefixes, and verification compares the whole sets.
+two in its prefixes. Verification first bounds the overlap by the sets' counts per hash bucket, a byte for each, and
+compares the whole sets of the pairs that may still link.
 
 Only classes are asked for, so a pair inside one known component needs no verification. Texts with equal sets become
 one vertex first. Rounds then compare each vertex with a random leader of its prefix lists, which joins large groups
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from hourloom.llm import words
 from hourloom.llm.components import components
-from hourloom.llm.storage import stored
+from hourloom.llm.storage import discard, stored
 
 #: Counters of the sketch of shingle frequencies (4 bytes each): the size of what is broadcast, whatever the input.
 SKETCH_BITS = 22
@@ -38,8 +39,11 @@ CHUNK_BITS = 16
 DEEPEST = 6
 #: Bits of the filter that tells which texts a verification reads.
 FILTER_BITS = 22
-#: Rounds of leaders at most, and the share of linked pairs below which they end.
-ROUNDS, WORTH = 6, 0.05
+#: Rounds of leaders at most; they end when one links less than this share of what the first did.
+ROUNDS, WORTH = 6, 0.1
+
+#: A pair of vertices: the smallest id of equal texts, and a fingerprint of their set.
+PAIR = ("id", "f1", "n", "id_b", "f1_b", "n_b")
 
 _SEED_1, _SEED_2 = words.scrambled(2, 40)
 
@@ -163,26 +167,79 @@ def shared_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep))
 
 
+def vertex_slots(ids: np.ndarray, f1: np.ndarray) -> np.ndarray:
+    """1 .. 2**FILTER_BITS, as bitmap positions begin at 1."""
+    hashed = words.mix(ids.view(np.uint64) * words.ODD ^ f1.view(np.uint64))
+    return (hashed & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) + 1
+
+
+def bucket_counts(s: np.ndarray) -> bytes:
+    """How many shingles fall into each bucket, for at least as many buckets as shingles; 255 counts as unbounded."""
+    bits = max(3, int(len(s) - 1).bit_length())
+    return np.minimum(np.bincount((s & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """No two sets with these bucket counts share more."""
+    x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (a, b))
+    for v in (x, y):
+        v[v == 255] = 1 << 40
+    while len(x) > len(y):
+        x = x[: len(x) // 2] + x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] + y[len(y) // 2 :]
+    return int(np.minimum(x, y).sum())
+
+
 def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int) -> Iterator[pa.RecordBatch]:
     bits = np.unpackbits(wanted.value, bitorder="little").view(bool)
     for batch in batches:
-        hit = bits[batch.column("slot").to_numpy() - 1]
-        batch = batch.filter(pa.array(hit))
-        for lo in range(0, batch.num_rows, 256):
-            part = batch.slice(lo, 256)
-            got = list(text_sets(part, n))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": part.column("doc_id"),
-                    "f1": pa.array([fingerprint(s)[0] for _, s in got], pa.int64()),
-                    "shingles": pa.array([words.as_signed(s) for _, s in got], pa.list_(pa.int64())),
-                }
-            )
-
-
-def filter_bits(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` hashed ids, put together on the executors."""
-    slot = ids.select(slot_of(column).alias("slot"))
+        ids = batch.column("doc_id").to_numpy()
+        rows, f1, counts, shingles = [], [], [], []
+        for row, s in text_sets(batch, n):
+            if not len(s):
+                continue
+            f = fingerprint(s)[0]
+            if bits[vertex_slots(ids[row : row + 1], np.array([f]))[0] - 1]:
+                rows.append(row)
+                f1.append(f)
+                counts.append(bucket_counts(s))
+                shingles.append(words.as_signed(s))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "id": pa.array(ids[rows], pa.int64()),
+                "f1": pa.array(f1, pa.int64()),
+                "counts": pa.array(counts, pa.binary()),
+                "shingles": pa.array(shingles, pa.list_(pa.int64())),
+            }
+        )
+
+
+def slot_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        got = vertex_slots(batch.column("id").to_numpy(), batch.column("f1").to_numpy())
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(got, pa.int64())})
+
+
+def hit_rows(batches: Iterable[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
+    bits = np.unpackbits(wanted.value, bitorder="little").view(bool)
+    for batch in batches:
+        slots = vertex_slots(batch.column("id").to_numpy(), batch.column("f1").to_numpy())
+        yield batch.filter(pa.array(bits[slots - 1]))
+
+
+def possible_rows(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, m = batch.column("n").to_numpy(), batch.column("n_b").to_numpy()
+        pairs = zip(batch.column("a"), batch.column("b"))
+        most = np.array([overlap_bound(a.as_py(), b.as_py()) for a, b in pairs], dtype=np.int64)
+        keep = pa.array(100 * most >= percent * (n + m - np.minimum(most, n + m)), pa.bool_())
+        yield batch.select(["id", "f1", "id_b", "f1_b"]).filter(keep)
+
+
+def filter_bits(vertices: DataFrame) -> np.ndarray:
+    """A bitmap of the hashed vertices, of fixed size, put together on the executors."""
+    slot = vertices.select("id", "f1").mapInArrow(slot_rows, "slot long")
     rows = slot.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
@@ -193,11 +250,6 @@ def filter_bits(ids: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def slot_of(column: str):
-    """1 .. 2**FILTER_BITS, as bitmap positions begin at 1."""
-    return F.xxhash64(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
-
-
 class Join:
     """One run of the join: the stage tables and what is linked so far."""
 
@@ -210,13 +262,21 @@ class Join:
             lambda it: prefix_rows(it, sketch, n, percent),
             "doc_id long, n long, f1 long, f2 long, k int, prefix array<long>",
         )
-        self.signed = stored(rows, "signed")
-        sets = self.signed.where("n > 0").groupBy("f1", "f2", "n")
-        sets = sets.agg(F.min("doc_id").alias("id"), F.first("k").alias("k"), F.first("prefix").alias("prefix"))
-        self.vertices = stored(sets.where("id is not null"), "vertices")
-        entries = self.vertices.select("id", "n", "k", F.explode("prefix").alias("token"))
+        prefixes = stored(rows, "prefixes")
+        self.signed = stored(prefixes.drop("k", "prefix"), "signed")
+        sets = prefixes.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n")
+        least = sets.agg(F.min("doc_id").alias("id"), F.first("k").alias("k"))
+        self.vertices = stored(least, "vertices")
+        entries = sets.agg(F.min("doc_id").alias("id"), F.first("prefix").alias("prefix"))
+        entries = entries.select("id", "f1", F.explode("prefix").alias("token"))
         entries = entries.repartition("token").sortWithinPartitions("token")
-        self.lists = stored(entries.mapInArrow(shared_lists, entries.schema), "lists")
+        shared = stored(entries.mapInArrow(shared_lists, entries.schema), "shared")
+        self.lists = stored(shared.join(self.vertices.select("id", "f1", "n", "k"), ["id", "f1"]), "lists")
+        discard(prefixes, shared)
+        wanted = spark.sparkContext.broadcast(filter_bits(self.lists))
+        texts = self.docs.where("doc_id is not null")
+        sets = texts.mapInArrow(lambda it: set_rows(it, wanted, n), "id long, f1 long, counts binary, shingles array<long>")
+        self.sets = stored(sets, "sets")
         self.links: list[DataFrame] = []
         self.classes: DataFrame | None = None
 
@@ -238,11 +298,12 @@ class Join:
     def leader_pairs(self, seed: int) -> DataFrame:
         """Each vertex with the two leaders of other components that it shares most lists with."""
         rows = self.open_lists()
-        first = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(seed)), "id", "n", "component")).alias("l"))
+        first = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(seed)), "id", "f1", "n", "component")).alias("l"))
         pairs = rows.join(first, "token").where("component <> l.component").where(self.size_fits("n", "l.n"))
-        pairs = pairs.groupBy("id", F.col("l.id").alias("other")).agg(F.count("*").alias("shared"))
-        best = Window.partitionBy("id").orderBy(F.desc("shared"), "other")
-        return pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 2").select("id", "other")
+        leader = [F.col(f"l.{c}").alias(f"{c}_b") for c in ("id", "f1", "n")]
+        pairs = pairs.groupBy("id", "f1", "n", *leader).agg(F.count("*").alias("shared"))
+        best = Window.partitionBy("id", "f1").orderBy(F.desc("shared"), "id_b", "f1_b")
+        return pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 2").select(*PAIR)
 
     def rest_pairs(self) -> DataFrame:
         """All pairs across components that share enough: one side is outside its list's largest component."""
@@ -250,52 +311,56 @@ class Join:
         sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
         major = sizes.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("major"))
         rows = rows.join(major, "token")
-        minor = rows.where("component <> major").select(
-            "token", "id", "n", "k", "component"
-        ).withColumnsRenamed({c: f"{c}_a" for c in ("id", "n", "k", "component")})
-        pairs = minor.join(rows, "token").where("component_a <> component").where("component = major or id_a < id")
-        pairs = pairs.where(self.size_fits("n", "n_a"))
-        pairs = pairs.groupBy("id_a", "id").agg(F.count("*").alias("shared"), F.min(F.least("k", "k_a")).alias("k"))
-        return pairs.where("shared >= k").select(F.col("id_a").alias("id"), F.col("id").alias("other"))
-
-    def verify(self, pairs: DataFrame) -> tuple[int, int]:
-        """Compare whole sets; returns how many pairs were tried and how many link."""
-        pairs = stored(pairs, "pairs")
-        tried = pairs.count()
-        if not tried:
-            return 0, 0
-        ids = pairs.select("id").union(pairs.select("other")).distinct()
-        wanted = pairs.sparkSession.sparkContext.broadcast(filter_bits(ids, "id"))
-        n = self.n
-        sets = self.docs.withColumn("slot", slot_of("doc_id")).where("doc_id is not null")
-        sets = sets.mapInArrow(lambda it: set_rows(it, wanted, n), "id long, f1 long, shingles array<long>")
-        own = self.vertices.join(ids, "id", "left_semi").select("id", "f1")
-        sets = stored(sets.join(own, ["id", "f1"], "left_semi").select("id", "shingles"), "sets")
-        left = pairs.join(sets.withColumnRenamed("shingles", "a"), "id")
-        both = left.join(sets.select(F.col("id").alias("other"), F.col("shingles").alias("b")), "other")
+        names = ("id", "f1", "n", "k", "component")
+        minor = rows.where("component <> major").select("token", *(F.col(c).alias(f"{c}_b") for c in names))
+        pairs = minor.join(rows, "token").where("component_b <> component")
+        pairs = pairs.where("component = major or (id_b, f1_b) < (id, f1)").where(self.size_fits("n", "n_b"))
+        pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("shared"), F.min(F.least("k", "k_b")).alias("k"))
+        return pairs.where("shared >= k").select(*PAIR)
+
+    def verify(self, pairs: DataFrame) -> int:
+        """Compare whole sets; returns how many pairs link."""
+        counts = self.sets.select("id", "f1", F.col("counts").alias("a"))
+        both = pairs.join(counts, ["id", "f1"]).join(counts.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
+        percent = self.percent
+        pairs = both.select(*PAIR, "a", "b").mapInArrow(
+            lambda it: possible_rows(it, percent), "id long, f1 long, id_b long, f1_b long"
+        )
+        pairs = stored(pairs.distinct(), "pairs")
+        if pairs.isEmpty():
+            return 0
+        ends = pairs.select("id", "f1").union(pairs.select("id_b", "f1_b"))
+        wanted = pairs.sparkSession.sparkContext.broadcast(filter_bits(ends))
+        sets = self.sets.select("id", "f1", "shingles")
+        sets = sets.mapInArrow(lambda it: hit_rows(it, wanted), sets.schema)
+        both = pairs.join(sets.withColumnRenamed("shingles", "a"), ["id", "f1"])
+        both = both.join(sets.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
         same = F.size(F.array_intersect("a", "b"))
-        both = both.select("id", "other", same.alias("same"), (F.size("a") + F.size("b") - same).alias("either"))
+        both = both.select("id", "id_b", same.alias("same"), (F.size("a") + F.size("b") - same).alias("either"))
         linked = both.where(F.col("same") * 100 >= F.col("either") * self.percent)
-        linked = stored(linked.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), "links")
+        linked = stored(linked.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct(), "links")
         found = linked.count()
         if found:
             self.links.append(linked)
             self.classes = components(reduce(DataFrame.union, self.links))
-        return tried, found
+        return found
 
     def run(self) -> DataFrame:
+        most = 0
         for seed in range(ROUNDS):
-            tried, found = self.verify(self.leader_pairs(seed))
-            if found <= WORTH * tried:
+            found = self.verify(self.leader_pairs(seed))
+            most = most or found
+            if found <= WORTH * most:
                 break
         self.verify(self.rest_pairs())
+        discard(self.sets)
         own = self.vertices.select("f1", "f2", "n", "id")
         if self.classes is not None:
             own = own.join(self.classes, "id", "left")
         else:
             own = own.withColumn("component", F.col("id"))
         own = own.select("f1", "f2", "n", F.coalesce("component", "id").alias("component_id"))
-        out = self.signed.drop("prefix", "k").join(own, ["f1", "f2", "n"], "left")
+        out = self.signed.join(own, ["f1", "f2", "n"], "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
