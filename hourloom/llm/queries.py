@@ -79,3 +79,26 @@ def op6_segment_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourloom.llm import segment_sampling
 
     return segment_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import url_filters
+
+    rules = [
+        ("com", "/", "allow"),
+        ("example.com", "/en/", "block"),
+        ("www.example.com", "/en/", "allow"),
+        ("net", "/es/", "block"),
+        ("net", "/fr/", "block"),
+    ]
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    return url_filters.judged(table(spark, sf_dir, "pages"), listed)
+
+
+@query
+def op7_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import page_text
+
+    texts = page_text.main_texts(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
