@@ -102,3 +102,10 @@ def op7_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     texts = page_text.main_texts(table(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op5_embedding_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import hnsw
+
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
