@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from hourloom.llm import words
 from hourloom.llm.components import components
-from hourloom.llm.storage import discard, stored
+from hourloom.llm.storage import bounded_batches, discard, stored
 
-#: Counters of the sketch of shingle frequencies (4 bytes each): the size of what is broadcast, whatever the input.
-SKETCH_BITS = 22
-CHUNK_BITS = 16
+#: Counters of the sketch of shingle frequencies (2 bytes each): the size of what is broadcast, whatever the input.
+SKETCH_BITS = 24
+CHUNK_BITS = 18
+FULL = (1 << 16) - 1
 #: Longest multi-match that a text may choose.
 DEEPEST = 6
 #: Bits of the filter that tells which texts a verification reads.
@@ -65,16 +66,21 @@ def slots(s: np.ndarray) -> np.ndarray:
 
 def counted(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Counters of the partition, in compressed chunks."""
-    total, waiting, held = np.zeros(1 << SKETCH_BITS, dtype=np.uint32), [], 0
+    total, waiting, held = np.zeros(1 << SKETCH_BITS, dtype=np.uint16), [], 0
+
+    def count():
+        slot, times = np.unique(np.concatenate(waiting), return_counts=True)
+        total[slot] = np.minimum(total[slot] + times, FULL)  # counters stop at the top
+
     for batch in batches:
         for _, s in text_sets(batch, n):
             waiting.append(slots(s))
             held += len(s)
             if held > 1 << 20:
-                total += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
+                count()
                 waiting, held = [], 0
     if waiting:
-        total += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
+        count()
     yield from chunk_rows({i: c for i, c in enumerate(np.split(total, 1 << (SKETCH_BITS - CHUNK_BITS))) if c.any()})
 
 
@@ -88,12 +94,8 @@ def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunks: dict[int, np.ndarray] = {}
     for batch in batches:
         for i, data in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist()):
-            c = np.frombuffer(zlib.decompress(data), dtype=np.uint32)
-            if i in chunks:
-                both = chunks[i] + c
-                both[both < c] = 0xFFFFFFFF  # counters stop at the top instead of turning over
-                c = both
-            chunks[i] = c
+            c = np.frombuffer(zlib.decompress(data), dtype=np.uint16)
+            chunks[i] = np.minimum(chunks[i].astype(np.uint32) + c, FULL).astype(np.uint16) if i in chunks else c
     yield from chunk_rows(chunks)
 
 
@@ -104,9 +106,9 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     lanes = 1 << (SKETCH_BITS - CHUNK_BITS)
     part = part.withColumn("lane", F.spark_partition_id() % 32).repartition(lanes, "chunk", "lane")
     whole = part.select("chunk", "data").mapInArrow(summed, schema).repartition(lanes, "chunk").mapInArrow(summed, schema)
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+    out = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
     for row in whole.collect():
-        out[row.chunk << CHUNK_BITS : (row.chunk + 1) << CHUNK_BITS] = np.frombuffer(zlib.decompress(row.data), np.uint32)
+        out[row.chunk << CHUNK_BITS : (row.chunk + 1) << CHUNK_BITS] = np.frombuffer(zlib.decompress(row.data), np.uint16)
     return out
 
 
@@ -193,26 +195,25 @@ def overlap_bound(a: bytes, b: bytes) -> int:
 
 def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int) -> Iterator[pa.RecordBatch]:
     bits = np.unpackbits(wanted.value, bitorder="little").view(bool)
+    kinds = {"id": pa.int64(), "f1": pa.int64(), "counts": pa.binary(), "shingles": pa.list_(pa.int64())}
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
-        rows, f1, counts, shingles = [], [], [], []
+        rows: list[tuple] = []
+
+        def flush():
+            return pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, t), v in zip(kinds.items(), zip(*rows))})
+
         for row, s in text_sets(batch, n):
             if not len(s):
                 continue
             f = fingerprint(s)[0]
             if bits[vertex_slots(ids[row : row + 1], np.array([f]))[0] - 1]:
-                rows.append(row)
-                f1.append(f)
-                counts.append(bucket_counts(s))
-                shingles.append(words.as_signed(s))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "id": pa.array(ids[rows], pa.int64()),
-                "f1": pa.array(f1, pa.int64()),
-                "counts": pa.array(counts, pa.binary()),
-                "shingles": pa.array(shingles, pa.list_(pa.int64())),
-            }
-        )
+                rows.append((ids[row], f, bucket_counts(s), words.as_signed(s)))
+            if len(rows) == 256:
+                yield flush()
+                rows = []
+        if rows:
+            yield flush()
 
 
 def slot_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,6 +255,7 @@ class Join:
     """One run of the join: the stage tables and what is linked so far."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int):
+        bounded_batches(docs.sparkSession)
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.n, self.percent = n, percent
         spark = docs.sparkSession

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm import words
-from hourloom.llm.storage import stored
+from hourloom.llm.storage import bounded_batches, stored
 
 CAPACITY = 4096
 END = 1
@@ -129,6 +129,7 @@ def token_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, keep_ids: bool = False
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, the ids of every piece of every document."""
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm import words
+from hourloom.llm.storage import bounded_batches
 from hourloom.llm.unigram import MARK, UnitTable, Vocabulary, unit_blocks
 
 SAMPLES = 2
@@ -392,6 +393,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = SAMPLES, seed: in
 
     ``decodes`` says that the ids give back the text; ``keep_ids`` adds the ids.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     schema = (
         f"doc_id {kind}, sample int, n_pieces long, ids_crc32 long, log_prob double, perturbed double,"

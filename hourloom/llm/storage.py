@@ -20,3 +20,8 @@ def discard(*tables: DataFrame) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = files.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bounded_batches(spark) -> None:
+    """Rows hold whole texts, so fewer of them than usual go to a Python worker at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

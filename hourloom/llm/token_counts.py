@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourloom.llm.storage import bounded_batches
 from hourloom.llm.unigram import UnitTable, Vocabulary, unit_blocks
 
 
@@ -67,6 +68,7 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
                     }
                 )
 
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
         counted, f"doc_id {kind}, n_tokens long, best_score double"

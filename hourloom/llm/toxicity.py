@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from hourloom.llm import words
-from hourloom.llm.storage import discard, stored
+from hourloom.llm.storage import bounded_batches, discard, stored
 
 #: Distances of the words of a feature: words, pairs, pairs with a gap.
 SHAPES = ((0,), (0, 1), (0, 2), (0, 3))
@@ -125,6 +125,7 @@ def ftrl(rows: list[tuple[int, np.ndarray]], z: np.ndarray, n: np.ndarray, bias:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Learn from labels (doc_id, toxic) on docs (doc_id, text)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     sample, share = labelled_sample(labels, max_rows)
     if len(share) < 2:
         n, positive = sum(c for c, _ in share.values()), share.get(1, (0, 0))[0]
@@ -207,6 +208,7 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame
     """docs with the score of every row's whole text; ``name`` must be new."""
     if name in docs.columns:
         raise ValueError(f"docs has a column {name} already")
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
