@@ -109,3 +109,20 @@ def op5_embedding_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourloom.llm import hnsw
 
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    from hourloom.llm import chat_trees
+
+    odd = r"\### Assistant: </turn> ok"
+    extra = [(-7, 0, "user", odd), (-7, 1, "assistant", odd)]
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
+    # a conversation is a tree without branches: each row answers the one before it
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    rows = rows.withColumn("message_id", place).withColumn("parent_id", F.col("message_id") - 1)
+    messages = rows.select(F.col("conv_id").alias("tree_id"), "message_id", "parent_id", F.lit(0.0).alias("score"), "role", "text")
+    return chat_trees.read_digests(chat_trees.conversations(messages))
