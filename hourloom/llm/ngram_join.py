@@ -8,7 +8,7 @@ two in its prefixes. Verification first bounds the overlap by the sets' counts p
 compares the whole sets of the pairs that may still link.
 
 Only classes are asked for, so a pair inside one known component needs no verification. Texts with equal sets become
-one vertex first. Rounds then compare each vertex with a random leader of its prefix lists, which joins large groups
+one vertex first. Rounds then compare each vertex with random leaders of its prefix lists, which joins large groups
 of near copies by few pairs; at last every pair that is left between different components is looked at.
 
 Defined cases: null or empty text, or text without words, has an empty set and links with nothing; fewer words than n
@@ -42,7 +42,11 @@ DEEPEST = 6
 FILTER_BITS = 22
 #: Rounds of leaders at most; they end when one links less than this share of what the first did.
 ROUNDS, WORTH = 6, 0.1
+#: Leaders of a long list, the length from which it is one, and leaders that a vertex is compared with in a round.
+LEADERS, LONG, TRIED = 8, 16, 16
 
+#: Words of the bitmap of buckets that a set occupies.
+WORDS = 8
 #: A pair of vertices: the smallest id of equal texts, and a fingerprint of their set.
 PAIR = ("id", "f1", "n", "id_b", "f1_b", "n_b")
 
@@ -127,8 +131,7 @@ def adaptive_prefix(s: np.ndarray, counts: np.ndarray, noise: float, percent: in
 
 
 def prefix_rows(batches: Iterable[pa.RecordBatch], sketch, n: int, percent: int) -> Iterator[pa.RecordBatch]:
-    counts = sketch.value
-    noise = float(np.median(counts)) + 1
+    counts, noise = sketch.value
     for batch in batches:
         out: dict[str, list] = {k: [] for k in ("row", "n", "f1", "f2", "k", "prefix")}
 
@@ -181,6 +184,13 @@ def bucket_counts(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount((s & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
+def presence(s: np.ndarray) -> list[int]:
+    """Which of ``64 * WORDS`` buckets the set occupies, as signed words."""
+    there = np.zeros(64 * WORDS, dtype=bool)
+    there[((s >> np.uint64(20)) % np.uint64(64 * WORDS)).astype(np.int64)] = True
+    return np.packbits(there, bitorder="little").view(np.int64).tolist()
+
+
 def overlap_bound(a: bytes, b: bytes) -> int:
     """No two sets with these bucket counts share more."""
     x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (a, b))
@@ -196,6 +206,7 @@ def overlap_bound(a: bytes, b: bytes) -> int:
 def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int) -> Iterator[pa.RecordBatch]:
     bits = np.unpackbits(wanted.value, bitorder="little").view(bool)
     kinds = {"id": pa.int64(), "f1": pa.int64(), "counts": pa.binary(), "shingles": pa.list_(pa.int64())}
+    kinds |= {f"b{i}": pa.int64() for i in range(WORDS)}
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
         rows: list[tuple] = []
@@ -208,7 +219,7 @@ def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int) -> Iterator[pa.R
                 continue
             f = fingerprint(s)[0]
             if bits[vertex_slots(ids[row : row + 1], np.array([f]))[0] - 1]:
-                rows.append((ids[row], f, bucket_counts(s), words.as_signed(s)))
+                rows.append((ids[row], f, bucket_counts(s), words.as_signed(s), *presence(s)))
             if len(rows) == 256:
                 yield flush()
                 rows = []
@@ -259,7 +270,9 @@ class Join:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.n, self.percent = n, percent
         spark = docs.sparkSession
-        sketch = spark.sparkContext.broadcast(frequencies(self.docs, n))
+        counts = frequencies(self.docs, n)
+        # what unrelated shingles add to a counter, and the text itself
+        sketch = spark.sparkContext.broadcast((counts, float(np.median(counts)) + 1))
         rows = self.docs.mapInArrow(
             lambda it: prefix_rows(it, sketch, n, percent),
             "doc_id long, n long, f1 long, f2 long, k int, prefix array<long>",
@@ -277,7 +290,8 @@ class Join:
         discard(prefixes, shared)
         wanted = spark.sparkContext.broadcast(filter_bits(self.lists))
         texts = self.docs.where("doc_id is not null")
-        sets = texts.mapInArrow(lambda it: set_rows(it, wanted, n), "id long, f1 long, counts binary, shingles array<long>")
+        schema = "id long, f1 long, counts binary, shingles array<long>" + "".join(f", b{i} long" for i in range(WORDS))
+        sets = texts.mapInArrow(lambda it: set_rows(it, wanted, n), schema)
         self.sets = stored(sets, "sets")
         self.links: list[DataFrame] = []
         self.classes: DataFrame | None = None
@@ -298,25 +312,41 @@ class Join:
         return rows
 
     def leader_pairs(self, seed: int) -> DataFrame:
-        """Each vertex with the two leaders of other components that it shares most lists with."""
+        """Each vertex with the leaders of other components that it shares most lists with."""
         rows = self.open_lists()
-        first = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(seed)), "id", "f1", "n", "component")).alias("l"))
-        pairs = rows.join(first, "token").where("component <> l.component").where(self.size_fits("n", "l.n"))
+        drawn = [
+            F.min(F.struct(F.xxhash64("id", F.lit(seed * LEADERS + i)), "id", "f1", "n", "component")).alias(f"l{i}")
+            for i in range(LEADERS)
+        ]
+        first = rows.groupBy("token").agg(F.count("*").alias("size"), *drawn)
+        few, many = F.array("l0"), F.array(*(f"l{i}" for i in range(LEADERS)))
+        first = first.select("token", F.when(F.col("size") > LONG, many).otherwise(few).alias("leaders"))
+        pairs = rows.join(first, "token").withColumn("l", F.explode("leaders")).drop("leaders")
+        pairs = pairs.where("component <> l.component").where(self.size_fits("n", "l.n"))
         leader = [F.col(f"l.{c}").alias(f"{c}_b") for c in ("id", "f1", "n")]
         pairs = pairs.groupBy("id", "f1", "n", *leader).agg(F.count("*").alias("shared"))
         best = Window.partitionBy("id", "f1").orderBy(F.desc("shared"), "id_b", "f1_b")
-        return pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 2").select(*PAIR)
+        return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIED).select(*PAIR)
 
     def rest_pairs(self) -> DataFrame:
-        """All pairs across components that share enough: one side is outside its list's largest component."""
+        """All pairs across components that share enough: one side is outside its list's largest component.
+
+        Pairs are dropped on the way if their bitmaps say so: a bucket that only one set occupies holds a shingle
+        that the other lacks.
+        """
         rows = self.open_lists()
+        bits = [f"b{i}" for i in range(WORDS)]
+        rows = rows.join(self.sets.select("id", "f1", *bits).dropDuplicates(["id", "f1"]), ["id", "f1"])
         sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
         major = sizes.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("major"))
         rows = rows.join(major, "token")
-        names = ("id", "f1", "n", "k", "component")
+        names = ("id", "f1", "n", "k", "component", *bits)
         minor = rows.where("component <> major").select("token", *(F.col(c).alias(f"{c}_b") for c in names))
         pairs = minor.join(rows, "token").where("component_b <> component")
         pairs = pairs.where("component = major or (id_b, f1_b) < (id, f1)").where(self.size_fits("n", "n_b"))
+        lack = lambda x, y: "+".join(f"bit_count({b}{x} & ~{b}{y})" for b in bits)
+        same = F.least(F.expr(f"n - ({lack('', '_b')})"), F.expr(f"n_b - ({lack('_b', '')})"))
+        pairs = pairs.where(same * 100 >= (F.col("n") + F.col("n_b") - same) * self.percent)
         pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("shared"), F.min(F.least("k", "k_b")).alias("k"))
         return pairs.where("shared >= k").select(*PAIR)
 
