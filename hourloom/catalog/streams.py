@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hourloom.catalog.base import query
 from hourloom.catalog.sql import r, using
 from hourloom.plans import master
+from hourloom.session import fresh_path
 from hourloom.sources import frames
 from hourloom.streaming import jobs
 
@@ -31,13 +32,22 @@ def _(spark, sf):
     return master.backfill_range(rows, "2024-01-25 23:59:59", "2024-01-10 00:00:00")
 
 
+FILES = 5
+
+
+def landing(spark, sf, key=None):
+    """The events as a stream of files that land one by one, each with rows of all hours."""
+    folder = fresh_path(spark, "landing")
+    frames.table(spark, sf, "events").repartition(FILES, "event_id").write.parquet(folder)
+    return jobs.reading_stream(spark, folder, "*.parquet", 1, key)
+
+
 @query(
     "hourly_tumbling",
     f"SELECT event_type AS station_id, date_trunc('hour', ts) AS ts, count(*) AS n, {r('avg(value)')} AS mean, {r('max(value)')} AS peak FROM events GROUP BY 1, 2",
 )
 def _(spark, sf):
-    table = jobs.run_to_table(jobs.hourly_tumbling(jobs.reading_stream(spark, sf)), jobs.HOURLY_SCHEMA)
-    return jobs.newest(table, KEY)
+    return jobs.hourly_tumbling(jobs.stream_hours(landing(spark, sf)))
 
 
 def _sliding_sql(hours, least):
@@ -48,15 +58,14 @@ def _sliding_sql(hours, least):
 
 @query("sliding_24h", _sliding_sql(24, 18))
 def _(spark, sf):
-    table = jobs.run_to_table(jobs.sliding_mean(jobs.reading_stream(spark, sf), 24, 18), jobs.SLIDING_SCHEMA)
-    return jobs.newest(table, KEY)
+    return jobs.sliding_mean(jobs.stream_hours(landing(spark, sf)), 24, 18)
 
 
 @query("sliding_8h", _sliding_sql(8, 6))
 def _(spark, sf):
     """The batch form of the same windows."""
     rows = frames.readings(spark, sf).select(F.col("event_type").alias("station_id"), "ts", "value")
-    return jobs.sliding_mean(rows, 8, 6)
+    return jobs.sliding_mean(jobs.partial_hours(rows), 8, 6)
 
 
 @query(
@@ -68,16 +77,14 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return jobs.late_upsert(jobs.reading_stream(spark, sf)).select(*KEY, "event_id", "value")
+    return jobs.late_upsert(landing(spark, sf)).select(*KEY, "event_id", "value")
 
 
 @query("stream_dedup", "SELECT event_type AS station_id, count(*) AS n FROM (SELECT DISTINCT * FROM events) GROUP BY 1")
 def _(spark, sf):
     """Every reading arrives twice and is kept once."""
-    twice = jobs.reading_stream(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    schema = "event_id BIGINT, ts TIMESTAMP, station_id STRING, value DOUBLE"
-    table = jobs.run_to_table(jobs.deduplicated(twice), schema, "append")
-    return table.groupBy("station_id").agg(F.count(F.lit(1)).alias("n"))
+    twice = landing(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    return jobs.deduplicated(twice).groupBy("station_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -100,12 +107,20 @@ CURRENT = f"SELECT event_type AS station_id, max(ts) AS ts, {r('arg_max(value, (
 
 @query("current_value_state", CURRENT)
 def _(spark, sf):
-    table = jobs.run_to_table(jobs.current_values(jobs.reading_stream(spark, sf)), jobs.CURRENT_SCHEMA)
+    table = jobs.run_to_table(jobs.current_values(landing(spark, sf)), jobs.CURRENT_SCHEMA)
     return jobs.newest(table.withColumn("_one", F.lit(1)), ["station_id", "_one"]).drop("_one")
 
 
-@query("current_value_ttl", CURRENT)
+TTL_HOURS = 24
+
+
+@query(
+    "current_value_ttl",
+    f"""SELECT CAST(user_id AS VARCHAR) AS station_id, max(ts) AS ts, {r('arg_max(value, (ts, event_id))')} AS value
+    FROM events GROUP BY 1
+    HAVING max(ts) + INTERVAL {TTL_HOURS} HOUR > (SELECT max(ts) FROM events)""",
+)
 def _(spark, sf):
-    table = jobs.run_to_table(jobs.current_values_with_ttl(jobs.reading_stream(spark, sf)), jobs.TTL_SCHEMA)
-    live = table.where("NOT expired").groupBy("station_id")
-    return live.agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+    """Users as stations; those silent for a day at the end have expired."""
+    landed = landing(spark, sf, key=F.col("user_id").cast("string"))
+    return jobs.live_values(jobs.run_to_table(jobs.current_values_with_ttl(landed, TTL_HOURS), jobs.TTL_SCHEMA))

@@ -21,8 +21,15 @@ from hourloom.session import fresh_path, utc
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def reading_stream(spark: SparkSession, folder: str, files: str = "events*.parquet", per_trigger: int = 1000) -> DataFrame:
-    """Readings as they land as files. Watermarks need a zoned time, so NTZ is cast (UTC)."""
+def reading_stream(
+    spark: SparkSession,
+    folder: str,
+    files: str = "events*.parquet",
+    per_trigger: int = 1000,
+    station: Column | None = None,
+) -> DataFrame:
+    """Readings as they land as files. Watermarks need a zoned time, so NTZ is cast (UTC). No result depends on
+    ``per_trigger``, which only sets the size of a micro-batch."""
     raw = (
         utc(spark)
         .readStream.schema(EVENTS)
@@ -33,7 +40,7 @@ def reading_stream(spark: SparkSession, folder: str, files: str = "events*.parqu
     return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
-        F.col("event_type").alias("station_id"),
+        (F.col("event_type") if station is None else station).alias("station_id"),
         "value",
     )
 
@@ -57,28 +64,55 @@ def newest(table: DataFrame, keys: list[str]) -> DataFrame:
     return upsert.keep_last(table, keys[:-1], keys[-1], ("batch",)).drop("batch")
 
 
-def hourly_tumbling(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Rows, mean and maximum per station and hour."""
-    windowed = readings.withWatermark("ts", delay).groupBy("station_id", F.window("ts", "1 hour").alias("w"))
-    out = windowed.agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.max("value").alias("peak"))
-    return out.select("station_id", F.col("w.start").alias("ts"), "n", "mean", "peak")
+def partial_hours(readings: DataFrame) -> DataFrame:
+    """What a set of readings adds to its hours: rows, values, their sum and maximum. Partial hours of
+    several sets merge into those of all readings, in whatever order and grouping the sets come."""
+    return readings.groupBy("station_id", F.date_trunc("hour", "ts").alias("ts")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("value").alias("n_values"),
+        F.sum("value").alias("total"),
+        F.max("value").alias("peak"),
+    )
+
 
+def stream_hours(stream: DataFrame) -> DataFrame:
+    """Run a stream into a table of partial hours, one directory per micro-batch, and merge it.
 
-HOURLY_SCHEMA = "station_id STRING, ts TIMESTAMP, n BIGINT, mean DOUBLE, peak DOUBLE"
+    Nothing is too late for it: there is no watermark, and no state but the stored table.
+    """
+    spark = stream.sparkSession
+    root = fresh_path(spark, "hours")
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        partial_hours(batch).write.mode("overwrite").parquet(f"{root}/table/batch={batch_id}")
 
-def sliding_mean(readings: DataFrame, hours: int, least: int, delay: str = "2 hours") -> DataFrame:
-    """Mean over the last ``hours`` hours at every full hour, NULL below ``least`` values."""
-    spans = F.window("ts", f"{hours} hours", "1 hour").alias("w")
-    out = readings.withWatermark("ts", delay).groupBy("station_id", spans).agg(
-        F.count("value").alias("n"), F.avg("value").alias("m")
-    )
-    return out.select(
-        "station_id", F.col("w.end").alias("ts"), "n", F.when(F.col("n") >= least, F.col("m")).alias("mean")
+    writer = stream.writeStream.option("checkpointLocation", f"{root}/state").foreachBatch(store)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return merge_hours(spark.read.option("basePath", f"{root}/table").parquet(f"{root}/table/batch=*"))
+
+
+def merge_hours(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("station_id", "ts").agg(
+        F.sum("n").alias("n"),
+        F.sum("n_values").alias("n_values"),
+        F.sum("total").alias("total"),
+        F.max("peak").alias("peak"),
     )
 
 
-SLIDING_SCHEMA = "station_id STRING, ts TIMESTAMP, n BIGINT, mean DOUBLE"
+def hourly_tumbling(hours: DataFrame) -> DataFrame:
+    """Rows, mean and maximum per station and hour, of merged hours."""
+    return hours.select("station_id", "ts", "n", (F.col("total") / F.col("n_values")).alias("mean"), "peak")
+
+
+def sliding_mean(hours: DataFrame, span: int, least: int) -> DataFrame:
+    """Mean over the last ``span`` hours at every full hour, NULL below ``least`` values, of merged hours:
+    an hour, not each of its readings, is copied to the windows it lies in."""
+    ends = F.transform(F.sequence(F.lit(1), F.lit(span)), lambda i: F.timestamp_add("HOUR", i, F.col("ts")))
+    out = hours.withColumn("ts", F.explode(ends)).groupBy("station_id", "ts").agg(
+        F.sum("n_values").alias("n"), (F.sum("total") / F.sum("n_values")).alias("m")
+    )
+    return out.select("station_id", "ts", "n", F.when(F.col("n") >= least, F.col("m")).alias("mean"))
 
 
 def current_values(readings: DataFrame) -> DataFrame:
@@ -90,57 +124,93 @@ def current_values(readings: DataFrame) -> DataFrame:
 CURRENT_SCHEMA = "station_id STRING, ts TIMESTAMP, value DOUBLE"
 
 
-TTL_SCHEMA = "station_id STRING, part INT, ts TIMESTAMP, value DOUBLE, expired BOOLEAN"
+TTL_SCHEMA = "station_id STRING, part INT, ts TIMESTAMP, event_id BIGINT, value DOUBLE, expired BOOLEAN"
 
 
 def current_values_with_ttl(readings: DataFrame, ttl_hours: int = 48, parts: int = 16) -> DataFrame:
-    """The same with an expiry: state silent for ``ttl_hours`` of event time is reported as
-    expired and dropped.
+    """The same with an expiry: state that is ``ttl_hours`` of event time behind the newest reading of all is
+    reported as expired and dropped. The watermark lies as far back, so the rows it drops as late are those
+    that have expired already, and the order in which files land does not matter.
 
     A station is spread over ``parts`` groups by event, so a station with much of the traffic is
-    not one task. Readers take the newest row of a station over its parts; the station has
-    expired when its last part has.
+    not one task. ``live_values`` reads the table: a station lives as long as one of its parts.
     """
-    ttl = ttl_hours * 3_600_000
+    def row(key: tuple, best: tuple, expired: bool) -> pd.DataFrame:
+        at, event, value = best
+        return pd.DataFrame(
+            {
+                "station_id": [key[0]],
+                "part": [key[1]],
+                "ts": [at],
+                "event_id": [event],
+                "value": pd.array([value], dtype="Float64"),
+                "expired": [expired],
+            }
+        )
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            at, value = state.get
+            best = state.get
             state.remove()
-            yield pd.DataFrame({"station_id": [key[0]], "part": [key[1]], "ts": [at], "value": [value], "expired": [True]})
+            yield row(key, best, True)
             return
         best = state.get if state.exists else None
         for rows in batches:
-            last = rows.loc[rows["ts"].idxmax()]
-            if best is None or last["ts"] > pd.Timestamp(best[0]):
-                best = (last["ts"].to_pydatetime(), float(last["value"]))
+            last = rows.sort_values(["ts", "event_id"]).iloc[-1]
+            found = (last["ts"].to_pydatetime(), int(last["event_id"]))
+            if best is None or found > (pd.Timestamp(best[0]).to_pydatetime(), best[1]):
+                best = (*found, None if pd.isna(last["value"]) else float(last["value"]))
         if best is None:
             return
-        state.update(best)
-        deadline = int(pd.Timestamp(best[0]).timestamp() * 1000) + ttl
-        if deadline > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(deadline)
-        yield pd.DataFrame(
-            {"station_id": [key[0]], "part": [key[1]], "ts": [best[0]], "value": [best[1]], "expired": [False]}
-        )
+        at = int(pd.Timestamp(best[0]).timestamp() * 1000)
+        if at > state.getCurrentWatermarkMs():
+            state.update(best)
+            state.setTimeoutTimestamp(at)
+            yield row(key, best, False)
+        else:  # so late that it has expired already
+            if state.exists:
+                state.remove()
+            yield row(key, best, True)
 
     return (
-        readings.withWatermark("ts", "2 hours")
+        readings.withWatermark("ts", f"{ttl_hours} hours")
         .withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int"))
         .groupBy("station_id", "part")
         .applyInPandasWithState(
             step,
             TTL_SCHEMA,
-            "ts TIMESTAMP, value DOUBLE",
+            "ts TIMESTAMP, event_id BIGINT, value DOUBLE",
             "update",
             GroupStateTimeout.EventTimeTimeout,
         )
     )
 
 
-def deduplicated(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Exact repeats within the watermark are dropped."""
-    return readings.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+def live_values(table: DataFrame) -> DataFrame:
+    """The newest value of every station that has a live part: of each part the last row counts, be it a mark
+    of expiry or a value."""
+    last = table.groupBy("station_id", "part").agg(
+        F.max_by(F.struct("ts", "event_id", "value", "expired"), F.struct("batch", "expired", "ts", "event_id")).alias("l")
+    )
+    live = last.select("station_id", "l.*").where("not expired")
+    order = F.struct("ts", "event_id")
+    return live.groupBy("station_id").agg(F.max("ts").alias("ts"), F.max_by("value", order).alias("value"))
+
+
+def deduplicated(stream: DataFrame) -> DataFrame:
+    """Run a stream into a table and read each event once: repeats are dropped in the batch they arrive in, and
+    those of different batches when the table is read, however far apart they are."""
+    spark = stream.sparkSession
+    root = fresh_path(spark, "dedup")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.dropDuplicates(["event_id"]).write.mode("overwrite").parquet(f"{root}/table/batch={batch_id}")
+
+    writer = stream.writeStream.option("checkpointLocation", f"{root}/state").foreachBatch(store)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    stored = spark.read.option("basePath", f"{root}/table").parquet(f"{root}/table/batch=*")
+    first = stored.groupBy("event_id").agg(F.min_by(F.struct("ts", "station_id", "value"), "batch").alias("f"))
+    return first.select("event_id", "f.*")
 
 
 def upsert_batch(root: str, keys=("station_id",), ts: str = "ts", order=("event_id",)) -> Callable:
@@ -158,14 +228,21 @@ def upsert_batch(root: str, keys=("station_id",), ts: str = "ts", order=("event_
     return add
 
 
-def read_upserted(spark: SparkSession, root: str, keys=("station_id",), ts: str = "ts") -> DataFrame:
-    """Stored hours, each from the latest batch that carried it."""
-    return upsert.keep_last(spark.read.option("basePath", root).parquet(f"{root}/batch=*"), keys, ts, ("batch",))
+def read_upserted(
+    spark: SparkSession, root: str, keys=("station_id",), ts: str = "ts", order=("event_id",)
+) -> DataFrame:
+    """Stored hours. The same order decides as within a batch, so the result does not depend on how rows were
+    grouped into batches; only between rows equal in it the later batch wins."""
+    table = spark.read.option("basePath", root).parquet(f"{root}/batch=*")
+    return upsert.keep_last(table, keys, ts, (*order, "batch"))
 
 
-def compact(spark: SparkSession, root: str, target: str) -> str:
-    """Fold all batches of ``root`` into a single batch of a new table."""
-    read_upserted(spark, root).drop("batch").write.parquet(f"{target}/batch=0")
+def compact(
+    spark: SparkSession, root: str, target: str, keys=("station_id",), ts: str = "ts", order=("event_id",)
+) -> str:
+    """Fold all batches of ``root`` into batch 0 of a new table; a stream goes on there when it is restarted
+    with ``upsert_batch(target)``, whose batches must be numbered from 1."""
+    read_upserted(spark, root, keys, ts, order).drop("batch").write.parquet(f"{target}/batch=0")
     return target
 
 
@@ -175,7 +252,7 @@ def late_upsert(stream: DataFrame, keys=("station_id",), ts: str = "ts", order=(
     root = fresh_path(spark, "upsert")
     writer = stream.writeStream.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
     writer.foreachBatch(upsert_batch(f"{root}/table", keys, ts, order)).start().awaitTermination()
-    return read_upserted(spark, f"{root}/table", keys, ts)
+    return read_upserted(spark, f"{root}/table", keys, ts, order)
 
 
 def refresh_due(last_seen: DataFrame, now: Column, collect_after: int = 600, forecast_after: int = 1800) -> DataFrame:

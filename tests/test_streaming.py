@@ -39,15 +39,38 @@ def rows(df, digits=9):
     return sorted(tuple(round(v, digits) if isinstance(v, float) else v for v in r) for r in df.collect())
 
 
-def test_windows_over_many_batches_equal_the_batch_result(spark, landed):
-    table = jobs.run_to_table(jobs.hourly_tumbling(stream(spark, landed), "7 days"), jobs.HOURLY_SCHEMA)
-    assert table.select("batch").distinct().count() > 1
-    assert rows(jobs.newest(table, ["station_id", "ts"])) == rows(jobs.hourly_tumbling(batch(spark, landed)))
+@pytest.fixture(scope="module")
+def shuffled(spark, landed):
+    """The same rows in files that each span the whole time, so most rows arrive out of order."""
+    folder = fresh_path(spark, "shuffled")
+    raw = spark.read.schema(jobs.EVENTS).parquet(landed).distinct()
+    for part in range(4):
+        raw.where(F.col("event_id") % 4 == (part * 3) % 4).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+@pytest.mark.parametrize("per_trigger", [1, 1000])
+def test_windows_do_not_depend_on_batches(spark, shuffled, per_trigger):
+    hours = jobs.stream_hours(jobs.reading_stream(spark, shuffled, "*.parquet", per_trigger))
+    want = jobs.partial_hours(batch(spark, shuffled))
+    assert rows(jobs.hourly_tumbling(hours)) == rows(jobs.hourly_tumbling(want))
+    assert rows(jobs.sliding_mean(hours, 8, 6)) == rows(jobs.sliding_mean(want, 8, 6))
+    raw = batch(spark, shuffled)
+    spans = raw.groupBy("station_id", F.window("ts", "8 hours", "1 hour").alias("w")).agg(F.count("value").alias("n"), F.avg("value").alias("m"))
+    plain = spans.select("station_id", F.col("w.end").alias("ts"), "n", F.when(F.col("n") >= 6, F.col("m")).alias("mean"))
+    for got, expected in zip(rows(jobs.sliding_mean(hours, 8, 6)), rows(plain), strict=True):
+        assert got[:3] == expected[:3] and got[3] == pytest.approx(expected[3])
 
 
-def test_sliding_windows_equal_the_batch_result(spark, landed):
-    table = jobs.run_to_table(jobs.sliding_mean(stream(spark, landed), 8, 6, "7 days"), jobs.SLIDING_SCHEMA)
-    assert rows(jobs.newest(table, ["station_id", "ts"])) == rows(jobs.sliding_mean(batch(spark, landed), 8, 6))
+@pytest.mark.parametrize("per_trigger", [1, 1000])
+def test_upsert_and_dedup_do_not_depend_on_batches(spark, shuffled, per_trigger):
+    source = jobs.reading_stream(spark, shuffled, "*.parquet", per_trigger)
+    merged = jobs.late_upsert(source).select("station_id", "ts", "event_id", "value")
+    hourly = batch(spark, shuffled).withColumn("ts", F.date_trunc("hour", "ts"))
+    want = hourly.groupBy("station_id", "ts").agg(F.max("event_id").alias("event_id"), F.max_by("value", "event_id").alias("value"))
+    assert rows(merged) == rows(want)
+    twice = source.withColumn("_c", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_c")
+    assert rows(jobs.deduplicated(twice)) == rows(batch(spark, shuffled).select("event_id", "ts", "station_id", "value"))
 
 
 def test_late_rows_replace_stored_hours(spark, landed):
@@ -68,10 +91,8 @@ def test_late_rows_replace_stored_hours(spark, landed):
 
 
 def test_repeats_are_dropped(spark, landed):
-    twice = stream(spark, landed).withColumn("_c", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_c")
-    schema = "event_id BIGINT, ts TIMESTAMP, station_id STRING, value DOUBLE"
-    table = jobs.run_to_table(jobs.deduplicated(twice, "7 days"), schema, "append")
-    assert table.count() == batch(spark, landed).select("event_id").distinct().count() < batch(spark, landed).count()
+    got = jobs.deduplicated(stream(spark, landed))
+    assert got.count() == batch(spark, landed).select("event_id").distinct().count() < batch(spark, landed).count()
 
 
 def test_current_values(spark, landed):
@@ -81,11 +102,36 @@ def test_current_values(spark, landed):
 
 
 def test_silent_stations_expire(spark, landed):
-    silent = stream(spark, landed).withColumn(
-        "station_id", F.when(F.col("event_id") < 50, F.lit("gone")).otherwise(F.col("station_id"))
-    )
-    table = jobs.run_to_table(jobs.current_values_with_ttl(silent, ttl_hours=12, parts=2), jobs.TTL_SCHEMA)
-    assert [r[0] for r in table.where("expired").select("station_id").distinct().collect()] == ["gone"]
+    """Also when one part of a station goes on and another is silent; null values are values."""
+    key = F.when(F.col("event_id") < 50, F.lit("gone")).otherwise(F.col("event_type"))
+    source = jobs.reading_stream(spark, landed, "*.parquet", 1, key)
+    source = source.withColumn("value", F.when(F.col("event_id") % 7 > 0, F.col("value")))
+    table = jobs.run_to_table(jobs.current_values_with_ttl(source, ttl_hours=12, parts=3), jobs.TTL_SCHEMA)
+    assert table.select("batch").distinct().count() > 2
+    marks = {r[0] for r in table.where("expired").select("station_id").distinct().collect()}
+    assert "gone" in marks
+    live = jobs.live_values(table)
+    every = batch(spark, landed).withColumn("station_id", F.when(F.col("event_id") < 50, F.lit("gone")).otherwise(F.col("station_id")))
+    every = every.withColumn("value", F.when(F.col("event_id") % 7 > 0, F.col("value")))
+    assert rows(live) == rows(jobs.current_values(every.where("station_id <> 'gone'")))
+
+
+def test_refresh_runs_at_intervals(spark, landed):
+    import time
+
+    root, seen = fresh_path(spark, "every"), []
+
+    def step(batch_rows, batch_id):
+        seen.append((batch_id, batch_rows.count()))
+
+    running = jobs.start_every(stream(spark, landed), "200 milliseconds", root, step)
+    try:
+        until = time.time() + 60
+        while len(seen) < 4 and time.time() < until:
+            time.sleep(0.2)
+    finally:
+        running.stop()
+    assert [b for b, _ in seen[:4]] == [0, 1, 2, 3] and sum(n for _, n in seen[:4]) == batch(spark, landed).count()
 
 
 def test_refresh_policy(spark):
