@@ -191,13 +191,24 @@ def _(spark, sf):
     return frames.table(spark, sf, "orders").select("o_orderkey", clock.season_name(F.col("o_orderdate")).alias("season"))
 
 
+SURVIVING = ["station_id", "ts", *frames.DENSE_COLUMNS, "o3_ppb", "no2_ppb", "so2_ppb", "co_ppm", "numerical_aqi"]
+SURVIVING += [f"{p}_aqi" for p in fixed.DOMINANCE_ORDER]
+
+
 @query(
     "drop_leakage_columns",
-    using("indexed", f"SELECT station_id, ts, {rounded(frames.DENSE_COLUMNS)}, numerical_aqi FROM indexed"),
+    using(
+        "indexed",
+        " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n FROM indexed" for c in SURVIVING),
+    ),
 )
 def _(spark, sf):
-    kept = guards.drop_leakage(frames.indexed(spark, sf))
-    return kept.select(*KEY, *[c for c in kept.columns if c in (*frames.DENSE_COLUMNS, "numerical_aqi")])
+    """The columns that are left of the index table, which is full of leakage columns, and their values."""
+    indexed = frames.indexed(spark, sf)
+    planted = indexed.withColumns({c: F.col("numerical_aqi") for c in fixed.LEAKAGE_COLUMNS if c not in indexed.columns})
+    kept = guards.drop_leakage(planted)
+    counts = F.array(*[F.struct(F.lit(c).alias("name"), F.count(c).alias("n")) for c in kept.columns])
+    return kept.agg(counts.alias("rows")).select(F.inline("rows"))
 
 
 @query("exclude_columns", using("dense", f"SELECT {rounded([c for c in frames.DENSE_COLUMNS if c != 'pressure'])} FROM dense"))

@@ -7,7 +7,7 @@ from hourloom.functions import fixed
 
 def r(expression: str) -> str:
     """Six decimals, cut a little off the half so that noise does not flip decimal halves."""
-    return f"floor(({expression}) * 1e6 + 0.5001::DOUBLE) / 1e6"
+    return f"round_even(({expression})::DOUBLE * 1e6 + 0.0001::DOUBLE, 0) / 1e6"
 
 
 def rounded(columns, prefix: str = "") -> str:

@@ -266,7 +266,9 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return sinks.export_summary(frames.sparse_hourly(spark, sf), ["pm2_5", "pm10"])
+    """Exported as CSV, and summed up from what was exported."""
+    rows = frames.sparse_hourly(spark, sf).select(*KEY, "pm2_5", "pm10")
+    return sinks.export_and_report(rows, fresh_path(spark, "export"), ["pm2_5", "pm10"])
 
 
 # --- filters and validation -----------------------------------------------------------
@@ -322,6 +324,21 @@ def _(spark, sf):
     return stats.fixed_clip(rows, {"temperature": (-10, 50), "numerical_aqi": (0, 500)})
 
 
+@query(
+    "out_of_range_counts",
+    using(
+        "readings",
+        """SELECT 'temperature' AS "column", count(*) FILTER (value - 20 < -10) AS n_below, count(*) FILTER (value - 20 > 50) AS n_above FROM readings
+        UNION ALL SELECT 'numerical_aqi', count(*) FILTER (value * 3 - 30 < 0), count(*) FILTER (value * 3 - 30 > 500) FROM readings""",
+    ),
+)
+def _(spark, sf):
+    rows = frames.readings(spark, sf).select(
+        (F.col("value") - 20).alias("temperature"), (F.col("value") * 3 - 30).alias("numerical_aqi")
+    )
+    return stats.out_of_range(rows, {"temperature": (-10, 50), "numerical_aqi": (0, 500)})
+
+
 CLIPPED = ("l_quantity", "l_extendedprice", "l_discount")
 FENCES = ", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in CLIPPED)
 
@@ -376,20 +393,22 @@ def _(spark, sf):
     return profiles.change_split(moved, "change").select(*KEY, "change", "move")
 
 
-NAMES = ["station_id", "ts", *frames.DENSE_COLUMNS]
-
-
 @query(
     "name_guard",
-    "SELECT column_name AS \"column\", (contains(column_name, 'target') OR contains(column_name, 'aqi') "
-    "OR contains(column_name, 'future') OR contains(column_name, 'ahead') OR contains(column_name, 'next') "
-    "OR contains(column_name, 'forward')) AS suspicious FROM (SELECT unnest(["
-    + ", ".join(f"'{c}'" for c in [*NAMES, "numerical_aqi", "next_day"])
-    + "]) AS column_name)",
+    using(
+        "readings",
+        """SELECT name, count(*) AS n, contains(lower(name), 'target') OR contains(lower(name), 'aqi')
+        OR contains(lower(name), 'future') OR contains(lower(name), 'ahead') OR contains(lower(name), 'next')
+        OR contains(lower(name), 'forward') AS suspicious FROM (SELECT event_type || CASE k % 5 WHEN 0 THEN '_mean'
+        WHEN 1 THEN '_Next_day' WHEN 2 THEN '_lag_24h' WHEN 3 THEN '_AQI_24h' ELSE '_trend' END AS name
+        FROM readings WHERE k IS NOT NULL) GROUP BY name""",
+    ),
 )
 def _(spark, sf):
-    df = frames.dense_hourly(spark, sf).withColumns({"numerical_aqi": F.col("pm2_5"), "next_day": F.col("ts")})
-    return guards.name_report(df)
+    """Readings as a long feature table whose names come from the data, some of them forbidden."""
+    endings = F.element_at(F.array(*map(F.lit, ("_mean", "_Next_day", "_lag_24h", "_AQI_24h", "_trend"))), F.col("k") % 5 + 1)
+    long = frames.readings(spark, sf).where("k IS NOT NULL").select(F.concat("event_type", endings).alias("feature"))
+    return guards.name_report(long, "feature")
 
 
 @query(

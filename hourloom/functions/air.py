@@ -189,6 +189,7 @@ def six_decimals(c: Column) -> Column:
     """Cut noise beyond six decimals.
 
     The cut lies a little off the half, so a value that is a half in decimal (common for
-    means of priced values) does not flip with the order in which its sum was added up.
+    means of priced values) does not flip with the order in which its sum was added up. It is
+    taken on doubles, so large values stay, and NaN and infinities are shown as they are.
     """
-    return F.floor(c * F.lit(1e6) + F.lit(0.5001)) / F.lit(1e6)
+    return F.rint(c.cast("double") * F.lit(1e6) + F.lit(1e-4)) / F.lit(1e6)

@@ -207,11 +207,3 @@ def predict_blend(wide: DataFrame, weights: dict, intercept: float, keys=("stati
 def per_horizon(df: DataFrame, features: list[str], make, targets=fixed.TARGETS, horizons=fixed.HORIZONS) -> dict:
     """One model per horizon, each fitted to its own target."""
     return {h: train_one(make(t), df, features) for h, t in zip(horizons, targets)}
-
-
-def focused_error(predictions: DataFrame, focus: int) -> DataFrame:
-    return metrics.weighted_horizon_error(predictions, focus)
-
-
-def rmse_of(predictions: DataFrame) -> float:
-    return math.sqrt(predictions.agg(F.avg((F.col("y") - F.col("p")) ** 2)).first()[0])

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from hourloom.models import regressors
 from hourloom.operators import profiles
 
-SAMPLE_ROWS = 1000
-
-
 def top_features(importance: DataFrame, k: int = 50) -> DataFrame:
     """The k highest ranked features; the name decides a tie."""
     return importance.orderBy(F.desc("importance"), "feature").limit(k)
@@ -23,21 +20,25 @@ def model_importance(model, features: list[str], spark) -> DataFrame:
 
 
 def permutation_importance(
-    model, df: DataFrame, features: list[str], label: str, rows: int = SAMPLE_ROWS, seed: int = 42
+    model, df: DataFrame, features: list[str], label: str, rows: int | None = None, seed: int = 42, bucket: int = 1000
 ) -> DataFrame:
-    """Rise of the squared error when one column is shuffled, on a seeded validation sample.
+    """Rise of the squared error when one column is shuffled, on the validation split (or a seeded sample of it).
 
-    The sample has at most ``rows`` rows by definition, so numbering it is bounded. Every row
-    is copied once per feature, with that feature taken from another row of the sample, and
-    all copies are scored in a single pass.
+    Rows are dealt by hash to buckets of about ``bucket`` rows, and in each a row takes the shuffled feature from
+    the next one, the last from the first. Every row is copied once per feature, and all copies are
+    scored in a single pass.
     """
-    sample = profiles.seeded_sample(df.where("split = 'validation'"), rows, seed=seed)
+    sample = df.where("split = 'validation'")
+    if rows is not None:
+        sample = profiles.seeded_sample(sample, rows, seed=seed)
     sample = sample.select(label, *features)
-    mixed = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in features]))
-    everything = Window.orderBy(mixed)
-    donor = F.lead(F.struct(*features), 1).over(everything)
-    first = F.first(F.struct(*features)).over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    given = sample.withColumn("_d", F.coalesce(donor, first))
+    mixed = F.xxhash64(F.lit(seed), *features)
+    buckets = sample.agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket), F.lit(1)).alias("n")).scalar()
+    sample = sample.withColumn("_bucket", F.pmod(F.xxhash64(mixed), buckets))
+    order = Window.partitionBy("_bucket").orderBy(mixed)
+    donor = F.lead(F.struct(*features), 1).over(order)
+    first = F.first(F.struct(*features)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    given = sample.withColumn("_d", F.coalesce(donor, first)).drop("_bucket")
     names = F.array(F.lit(""), *[F.lit(f) for f in features])
     copies = given.withColumn("feature", F.explode(names))
     shuffled = copies.withColumns(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -45,11 +47,10 @@ def feature_columns(df: DataFrame, keys=KEYS, ts: str = TIME) -> list[str]:
     return [c for c in names if c not in bad]
 
 
-def name_report(df: DataFrame) -> DataFrame:
-    """The columns of ``df`` with the verdict on each name."""
-    bad = set(suspicious_names(df.columns))
-    rows = [(c, c in bad) for c in df.columns]
-    return df.sparkSession.createDataFrame(rows, "column string, suspicious boolean")
+def name_report(df: DataFrame, name: str) -> DataFrame:
+    """The feature names in column ``name`` of a long table, their rows, and the verdict on each."""
+    bad = reduce(lambda a, b: a | b, [F.contains(F.lower("name"), F.lit(p)) for p in fixed.FORBIDDEN_NAME_PARTS])
+    return df.groupBy(F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("suspicious", bad)
 
 
 def temporal_order(df: DataFrame, keys=KEYS, ts: str = TIME) -> DataFrame:

@@ -161,6 +161,13 @@ def fixed_clip(df: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFra
     return df.withColumns({c: air.clip(F.col(c), lo, hi) for c, (lo, hi) in limits.items() if c in df.columns})
 
 
+def out_of_range(df: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFrame:
+    """How many values of each column lie below and above its limits."""
+    kept = {c: lim for c, lim in limits.items() if c in df.columns}
+    counts = [F.struct(F.lit(c).alias("column"), F.count_if(F.col(c) < lo).alias("n_below"), F.count_if(F.col(c) > hi).alias("n_above")) for c, (lo, hi) in kept.items()]
+    return df.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
+
+
 def moments(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
     return df.groupBy(*keys).agg(
         *[F.avg(c).alias(f"{c}_mean") for c in columns],

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.functions import air, clock, fixed
-from hourloom.operators import fill, guards, layout, splits, stats
+from hourloom.operators import fill, guards, layout, stats
 from hourloom.plans import features, index
 from hourloom.session import cut_lineage
 
@@ -73,8 +73,8 @@ def training_table(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, trim: bool =
     untouched = (*keys, ts, layout.POS, layout.LEN, "numerical_aqi", *fixed.TARGETS, *sources)
     out = stats.fixed_clip(fill.fill_constant(settled, skip=untouched), CLIP_LIMITS)
     if trim:
-        ends = splits.tail_cuts(featured_with_index(base.select(*keys, ts, layout.POS, layout.LEN, *sources), keys, ts, ()), keys=keys)
-        out = splits.trim_tail(out, keys=keys, ts=ts, cuts=cut_lineage(ends, "cuts")).na.drop(subset=list(fixed.TARGETS))
+        # a row too near the end of its series lacks a target, so this also trims the tail
+        out = out.na.drop(subset=list(fixed.TARGETS))
     out = out.drop("numerical_aqi", layout.POS, layout.LEN)
     guards.check_names(guards.feature_columns(out, keys, ts))
     return out

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,6 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     named = tempfile.mkdtemp(prefix="hourloom-")
+    atexit.register(shutil.rmtree, named, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", named)
     return named
 

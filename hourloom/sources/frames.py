@@ -141,17 +141,3 @@ def naive_predictions(spark: SparkSession, sf_dir: str, index: DataFrame | None
 
     base = index if index is not None else indexed(spark, sf_dir)
     return persistence_predictions(base)
-
-
-def epoch_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as nested pollution payloads: one list of readings per (user, hour)."""
-    r = readings(spark, sf_dir)
-    item = F.struct(
-        F.unix_timestamp("ts").alias("dt"),
-        F.struct(F.col("k").alias("aqi")).alias("main"),
-        F.struct(F.col("value").alias("co"), (F.col("value") * 2).alias("pm2_5")).alias("components"),
-        F.col("event_id").alias("event_id"),
-    )
-    return r.groupBy(F.col("user").alias("station_id"), "hour").agg(F.collect_list(item).alias("list"))
-
-

@@ -94,6 +94,12 @@ def export_summary(df: DataFrame, columns: list[str], ts: str = "ts") -> DataFra
     )
 
 
+def export_and_report(df: DataFrame, path: str, columns: list[str], ts: str = "ts") -> DataFrame:
+    """Write the rows as headered CSV and report on what was written."""
+    df.write.option("header", True).csv(path)
+    return export_summary(df.sparkSession.read.schema(df.schema).option("header", True).csv(path), columns, ts)
+
+
 def roundtrip(df: DataFrame, kind: str = "parquet", label: str = "table") -> DataFrame:
     """Write to a fresh path below the shared folder and read it back with the same schema."""
     spark = df.sparkSession
