@@ -41,7 +41,7 @@ DEEPEST = 6
 #: Bits of the filter that tells which texts a verification reads.
 FILTER_BITS = 22
 #: Rounds of leaders at most; they end when one links less than this share of what the first did.
-ROUNDS, WORTH = 6, 0.1
+ROUNDS, WORTH = 6, 0.2
 #: Leaders of a long list, the length from which it is one, and leaders that a vertex is compared with in a round.
 LEADERS, LONG, TRIED = 8, 16, 16
 
