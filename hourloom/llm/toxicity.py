@@ -148,10 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 at = among(f, shared.value)
                 lists.append(at[at >= 0])
             yield pa.RecordBatch.from_pydict(
-                {"toxic": batch.column("toxic"), "deal": batch.column("deal"), "at": pa.array(lists, pa.list_(pa.int64()))}
+                {"toxic": batch.column("toxic"), "deal": batch.column("deal"), "at": pa.array(lists, pa.list_(pa.int32()))}
             )
 
-    rows = examples.mapInArrow(coordinates, "toxic int, deal long, at array<long>")
+    rows = examples.mapInArrow(coordinates, "toxic int, deal long, at array<int>")
     rows = stored(rows.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(SHARDS))), "rows")
     discard(examples)
 
@@ -165,21 +165,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
             table = table.sort_by([("deal", "ascending")])
             ftrl(list(zip(table["toxic"].to_pylist(), (np.array(a, np.int64) for a in table["at"].to_pylist()))), z1, n1, b1)
             at = np.flatnonzero((z1 != z0) | (n1 != n0))
-            return pa.table(
-                {
-                    "at": pa.array([*at.tolist(), -1], pa.int64()),
-                    "dz": pa.array([*(z1 - z0)[at].tolist(), b1[0] - b0[0]], pa.float64()),
-                    "dn": pa.array([*(n1 - n0)[at].tolist(), b1[1] - b0[1]], pa.float64()),
-                }
-            )
-
-        changes = rows.groupBy("shard").applyInArrow(one_pass, "at long, dz double, dn double")
-        got = changes.groupBy("at").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn")).orderBy("at").toArrow()
-        at, dz, dn = (got[c].to_numpy() for c in ("at", "dz", "dn"))
-        z, n = z.copy(), n.copy()
-        z[at[1:]] += dz[1:] / SHARDS
-        n[at[1:]] += dn[1:] / SHARDS
-        bias = [bias[0] + dz[0] / SHARDS, bias[1] + dn[0] / SHARDS]
+            parts = (at.astype(np.int32), (z1 - z0)[at].astype(np.float32), (n1 - n0)[at].astype(np.float32))
+            row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("at", "dz", "dn"), parts)}
+            return pa.table(row | {k: pa.array([b1[i] - b0[i]], pa.float64()) for i, k in enumerate(("bz", "bn"))})
+
+        # a row for each shard, with 12 bytes for each coordinate that its rows have
+        z, n, bias = z.copy(), n.copy(), list(bias)
+        for row in rows.groupBy("shard").applyInArrow(one_pass, "at binary, dz binary, dn binary, bz double, bn double").collect():
+            at = np.frombuffer(row["at"], np.int32)
+            z[at] += np.frombuffer(row["dz"], np.float32) / SHARDS
+            n[at] += np.frombuffer(row["dn"], np.float32) / SHARDS
+            bias = [bias[0] + row["bz"] / SHARDS, bias[1] + row["bn"] / SHARDS]
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
     intercept = -bias[0] / ((BETA + bias[1] ** 0.5) / ALPHA)
     intercept += float(np.log(share[0][1] / share[1][1]))  # the sample has more of the rare label than the corpus
