@@ -347,7 +347,11 @@ class Join:
         lack = lambda x, y: "+".join(f"bit_count({b}{x} & ~{b}{y})" for b in bits)
         same = F.least(F.expr(f"n - ({lack('', '_b')})"), F.expr(f"n_b - ({lack('_b', '')})"))
         pairs = pairs.where(same * 100 >= (F.col("n") + F.col("n_b") - same) * self.percent)
-        pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("shared"), F.min(F.least("k", "k_b")).alias("k"))
+        # the largest component differs from list to list, so one pair comes in both orders; it is counted in one
+        ends = [F.struct(*(F.col(f"{c}{side}").alias(c) for c in ("id", "f1", "n"))) for side in ("", "_b")]
+        pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"), F.least("k", "k_b").alias("k"))
+        pairs = pairs.select(*(F.col(f"{e}.{c}").alias(f"{c}{s}") for e, s in (("a", ""), ("b", "_b")) for c in ("id", "f1", "n")), "k")
+        pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("shared"), F.min("k").alias("k"))
         return pairs.where("shared >= k").select(*PAIR)
 
     def verify(self, pairs: DataFrame) -> int:
