@@ -4,8 +4,9 @@ Equal vectors of a label become one node. The nodes of a label are dealt by hash
 and every shard gets a hierarchy of layers, each a graph of near neighbours; a node reaches layer l with chance
 ``M``**-l. Every node searches every shard of its label: down the layers to a start, then a beam on the lowest.
 A sample of queries is audited against all vectors of the shard, and the beam is doubled until the audit finds
-``RECALL`` of the true links; a query whose whole beam links searches on with twice the beam. A beam as wide as
-the shard compares with all of it, so nothing is out of reach. Found pairs are verified by cosine in double precision.
+``RECALL`` of the true links; a query whose whole beam links searches on with twice the beam. A node's match with
+itself is no link, and the sample grows until it has ``ENOUGH`` links or all queries. A beam as wide as the shard
+compares with all of it, so nothing is out of reach. Found pairs are verified by cosine in double precision.
 
 A pair of shards is searched once, in one direction, and counts for both sides; of its links only the counts by node
 and a spanning forest leave the task, so a large group never becomes pairs of rows.
@@ -33,6 +34,8 @@ SHARD, SHARD_BYTES = 4096, 32 << 20
 M, BUILD_BEAM, BEAM = 16, 64, 32
 #: Audited queries of a pair of shards, and the share of their links to be found.
 AUDITED, RECALL = 256, 0.995
+#: Links that tell ``RECALL`` from less; of fewer, none may be missing.
+ENOUGH = 200
 BLOCK, AT_ONCE = 256, 4
 #: Single precision is this far from double at most, for the search to keep a pair for verification.
 SLACK = 1e-5
@@ -211,12 +214,25 @@ class Graph:
             row, place = np.concatenate([row, full[more]]), np.concatenate([place, there])
         return row, place
 
-    def audited_beam(self, queries: np.ndarray, least: float) -> int:
-        """The first beam that finds ``RECALL`` of the links of a sample."""
-        sample = queries[:: max(1, len(queries) // AUDITED)]
-        true = int((sample @ self.vectors.T >= least).sum())
+    def audited_beam(self, queries: np.ndarray, least: float, itself: bool = False) -> int:
+        """The first beam that finds ``RECALL`` of the links of a sample; ``itself``: the queries are the shard's nodes."""
+        n, step = len(self.nodes), max(1, len(queries) // AUDITED)
+        while True:
+            sample = np.arange(0, len(queries), step)
+            # pairs at the very edge of the slack may differ in rounding, and none of them is a link
+            row, place = self.near(queries[sample], n, least + SLACK / 2)
+            row = sample[row]
+            if itself:
+                row, place = row[row != place], place[row != place]
+            if len(row) >= ENOUGH or step == 1:
+                break
+            step //= 2
+        true, linked = row * n + place, np.unique(row)
         beam = BEAM
-        while beam < len(self.nodes) and len(self.near(sample, beam, least)[0]) < RECALL * true:
+        while beam < n and len(true):
+            row, place = self.near(queries[linked], beam, least)
+            if np.isin(true, linked[row] * n + place).sum() >= RECALL * len(true):
+                break
             beam *= 2
         return beam
 
@@ -261,7 +277,7 @@ def search_rows(threshold: float):
         one = Graph({k: row[k] for k in names}, dim)
         two = one if row["shard"] == row["shard_b"] else Graph({k: row[f"{k}_b"] for k in names}, dim)
         least = threshold - SLACK
-        beam = two.audited_beam(one.vectors, least)
+        beam = two.audited_beam(one.vectors, least, one is two)
         u, v = two.near(one.vectors, beam, least)
         if one is two:
             u, v = np.minimum(u, v), np.maximum(u, v)

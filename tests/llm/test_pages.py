@@ -291,6 +291,32 @@ def test_graph_finds_what_brute_force_finds():
     assert len(graph.near(graph.vectors, beam, 0.98)[0]) >= 0.99 * (v @ v.T >= 0.98).sum()
 
 
+def test_sparse_links_of_a_full_shard_are_found():
+    """20 links among nodes that no list leads to; all other nodes find themselves, which is no link."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    lost = np.concatenate([np.arange(1, 321, 16), np.arange(2, 322, 16)])  # none among each 16th node
+
+    def shard(number, v):
+        v = v / np.linalg.norm(v, axis=1, keepdims=True)
+        layers = hnsw.built(v.astype(np.float32), np.arange(4096))
+        for _, links in layers:
+            links[np.isin(links, lost)] = 4096
+        nodes = np.arange(4096) + 4096 * number
+        row = {"shard": number, "nodes": nodes.tobytes(), "counts": np.ones(4096, np.int64).tobytes()}
+        return row | {"vectors": v.tobytes(), "layers": hnsw.Graph.packed(layers)}
+
+    v, w = rng.normal(size=(2, 4096, 32))
+    v[lost[20:]] = v[lost[:20]] + rng.normal(size=(20, 32)) * 0.05
+    w[lost[:20]] = v[lost[:20]] + rng.normal(size=(20, 32)) * 0.05
+    one, two = shard(0, v), shard(1, w)
+    for other, want in ((one, 20), (two, 40)):  # a shard with itself, and two shards
+        pair = one | {f"{k}_b": x for k, x in other.items()}
+        found = hnsw.search_rows(0.98)((pa.scalar(0), pa.scalar(32)), pa.table({k: [x] for k, x in pair.items()}))
+        assert sum(found["links"].to_pylist()) == 2 * want
+
+
 def test_spent_tables_are_removed(spark):
     import os
 
