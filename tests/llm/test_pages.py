@@ -51,6 +51,19 @@ def test_wrapper_of_a_host_is_learned(spark):
     assert got[100] == f"Home of things\n{words(12, 0)}\n{words(9, 100)}\nMade by us"
 
 
+def test_varying_text_inside_constant_text_stays(spark):
+    bodies = [
+        lambda i: f"<article>Loose<p>Note: <em>{words(6, i)}</em> end</p><table><td>Price: <span>{i}0</span></table></article>",
+        lambda i: f"Loose<main>Also loose<div>More<p>{words(6, i)}</p></div></main>",
+        lambda i: f"<div>Frame<div><div>Label<p>{words(6, i)}</p></div></div></div>",
+    ]
+    rows = [(10 * k + i, f"http://h{k}.org/{i}", f"<body>{body(i)}") for k, body in enumerate(bodies) for i in range(5)]
+    got = texts(spark, rows)
+    for i in range(5):
+        assert got[i] == f"{words(6, i)}\n{i}0"
+        assert got[10 + i] == got[20 + i] == words(6, i)
+
+
 def tree(matcher, nested):
     page = page_text.Page()
 
