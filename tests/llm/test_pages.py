@@ -64,6 +64,23 @@ def test_varying_text_inside_constant_text_stays(spark):
         assert got[10 + i] == got[20 + i] == words(6, i)
 
 
+def test_edited_copies_of_one_article_are_no_template(spark):
+    paragraphs = [words(40, 900 + k) for k in range(3)]
+    article = "".join(f"<p>{p}</p>" for p in paragraphs)
+    rows = []
+    for i in range(12):
+        rows.append((i, f"http://a.org/{i}", f"<body><article>{article}<p>Written on day {i}</p></article></body>"))
+        own = article if i < 10 else "".join(f"<p>{words(40, 10 * i + k)}</p>" for k in range(3))
+        rows.append((100 + i, f"http://b.org/{i}", f"<body><div>Frame</div><div>{own}<p>{words(2, i)}</p></div></body>"))
+    rows += [(200 + i, f"http://c.org/{i}", f"<body><main>{article}<p>By writer{i}</p></main></body>") for i in range(3)]
+    got = texts(spark, rows)
+    for i in range(12):
+        assert got[i] == "\n".join([*paragraphs, f"Written on day {i}"])
+        own = paragraphs if i < 10 else [words(40, 10 * i + k) for k in range(3)]
+        assert got[100 + i] == "\n".join([*own, words(2, i)])
+    assert [got[200 + i] for i in range(3)] == ["\n".join([*paragraphs, f"By writer{i}"]) for i in range(3)]
+
+
 def tree(matcher, nested):
     page = page_text.Page()
 
