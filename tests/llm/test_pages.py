@@ -131,6 +131,12 @@ def test_long_and_deep_pages(spark):
     assert got[1] == "\n".join(map(str, range(20_000))) and got[2] == "core"
 
 
+def test_elements_below_the_depth_limit_end_where_they_end():
+    down, up = "<div>" * 300, "</div>" * 300
+    page = f"<div><article>first{down}core<nav>menu<form>field</form>more</nav>on{up}<p>rest</p></article></div><p>outside</p>"
+    assert page_text.main_text(page_text.parse(page), set()) == "first\ncore\non\nrest"
+
+
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block")]
 
 
