@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with production parameters, on their whole tables."""
+"""The registered queries of the numbered operators, with production parameters, on their whole tables."""
 
 from __future__ import annotations
 
@@ -127,3 +127,29 @@ def op2_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("message_id", place).withColumn("parent_id", F.col("message_id") - 1)
     messages = rows.select(F.col("conv_id").alias("tree_id"), "message_id", "parent_id", F.lit(0.0).alias("score"), "role", "text")
     return chat_trees.read_digests(chat_trees.conversations(messages))
+
+
+@query
+def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import whitening
+
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_two_pass_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import exact_dedup
+
+    found = exact_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query
+def op13_trie_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourloom.llm import vector_codes
+
+    codes, books = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    digest = vector_codes.books_sha256(books) if books is not None else None
+    return vector_codes.with_label_errors(codes).select(
+        F.col("key").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )

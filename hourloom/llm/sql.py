@@ -97,4 +97,44 @@ SELECT conv_id, count(*) AS n_turns,
   sum(24 + length(role) + length(regexp_replace(text, '(\\*</?turn)', '\\\1', 'g')))::BIGINT AS formatted_chars
 FROM told GROUP BY conv_id"""
 
-ORACLES = {"op2_chat_trees": CHATS, "op1_ngram_jaccard_join": NEAR, "op3_quality_rules": QUALITY, "op4_url_filters": URLS}
+#: Groups of the normalised texts themselves.
+EXACT = r"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+keyed AS (SELECT doc_id, length(t) AS n, sha256(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS h FROM texts)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+  row_number() OVER w = 1 AS kept, h AS text_sha256
+FROM keyed WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id NULLS LAST)"""
+
+_PARTS_16, _BOOK_64 = 16, 64
+
+
+def _round(last: str, k: int) -> str:
+    """Every distance to every entry, the nearest one, and the entries moved to the floored means."""
+    return f"""near_{k} AS MATERIALIZED (SELECT vec_id, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT s.vec_id, s.p, b.e, list_sum(list_transform(list_zip(s.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts s JOIN {last} b ON b.p = s.p) GROUP BY ALL),
+  moved_{k} AS (SELECT p, e, list(m ORDER BY j) AS v FROM (SELECT p, e, j, floor(sum(x)::HUGEINT / count(*))::BIGINT AS m FROM (
+    SELECT n.p, n.e, unnest(range(1, len(s.v) + 1)) AS j, unnest(s.v) AS x FROM near_{k} n JOIN parts s USING (vec_id, p)) GROUP BY ALL) GROUP BY ALL),
+  book_{k} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM {last} b LEFT JOIN moved_{k} m ON m.p = b.p AND m.e = b.e)"""
+
+
+#: Every part against every entry; ids are unique in the given tables.
+CODES = f"""WITH sound AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  parts AS MATERIALIZED (SELECT vec_id, i AS p, x[i * len(x) // {_PARTS_16} + 1:(i + 1) * len(x) // {_PARTS_16}] AS v
+    FROM sound, range({_PARTS_16}) r(i)),
+  book_0 AS MATERIALIZED (SELECT p, e, v FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM sound) USING (vec_id)
+    WHERE e < {_BOOK_64}),
+  {_round("book_0", 1)}, {_round("book_1", 2)}, {_round("book_2", 3)},
+  codes AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near_3 GROUP BY 1)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book_2) AS codebooks_sha256
+FROM codes JOIN sound USING (vec_id)"""
+
+ORACLES = {
+    "op1_ngram_jaccard_join": NEAR,
+    "op2_chat_trees": CHATS,
+    "op3_quality_rules": QUALITY,
+    "op4_url_filters": URLS,
+    "op12_two_pass_bloom_dedup": EXACT,
+    "op13_trie_vector_codes": CODES,
+}
