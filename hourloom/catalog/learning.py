@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from hourloom.catalog.base import query
 from hourloom.catalog.sql import r, rounded, using
 from hourloom.functions import fixed
 from hourloom.models import baseline, forecast, neighbours, regressors, selection
+from hourloom.models.registry import Registry, gate
 from hourloom.operators import layout, metrics, profiles, splits, stats
 from hourloom.plans import daily, training
-from hourloom.session import fresh_path
+from hourloom.session import cut_lineage, fresh_path
 from hourloom.sources import frames, sinks
 
 KEY = ["station_id", "ts"]
@@ -312,5 +315,60 @@ def _(spark, sf):
 
 @query("daily_run")
 def _(spark, sf):
-    run = daily.daily_run(frames.dense_hourly(spark, sf), FEATURES, regressors.linear)
+    """Two runs: the second one's candidates are set against the champions of the first."""
+    registry = Registry(spark, fresh_path(spark, "registry"))
+    rows = frames.dense_hourly(spark, sf)
+    daily.daily_run(rows, FEATURES, lambda t: regressors.linear(t, regParam=10.0, elasticNetParam=1.0), registry, datetime(2024, 2, 1))
+    run = daily.daily_run(rows, FEATURES, regressors.linear, registry, datetime(2024, 2, 2))
     return run.forecast
+
+
+STRENGTHS = {"first": ("carry_two_days", "2024-02-01"), "second": ("carry_day", "2024-02-02"), "third": ("carry", "2024-02-03")}
+
+
+@query(
+    "champion_history",
+    using(
+        "scored",
+        f"""SELECT horizon, model || '-' || horizon AS path, {r('rmse')} AS rmse, {r('r2')} AS r2, valid_from,
+        lead(valid_from) OVER (PARTITION BY horizon ORDER BY valid_from) AS valid_to FROM (
+        SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three)""",
+        tried="SELECT horizon, model, rmse, r2 FROM scored WHERE split = 'test'",
+        one="SELECT horizon, model, rmse, r2, TIMESTAMP '2024-02-01' AS valid_from FROM tried WHERE model = 'carry_two_days'",
+        two="""SELECT t.horizon, t.model, t.rmse, t.r2, TIMESTAMP '2024-02-02' AS valid_from FROM tried t JOIN one USING (horizon)
+        WHERE t.model = 'carry_day' AND (one.rmse - t.rmse) / greatest(1e-9, one.rmse) >= 0.02 AND (SELECT count(*) >= 500 FROM dense)""",
+        best="SELECT horizon, arg_max(rmse, valid_from) AS rmse FROM (SELECT * FROM one UNION ALL SELECT * FROM two) GROUP BY 1",
+        three="""SELECT t.horizon, t.model, t.rmse, t.r2, TIMESTAMP '2024-02-03' AS valid_from FROM tried t JOIN best USING (horizon)
+        WHERE t.model = 'carry' AND (best.rmse - t.rmse) / greatest(1e-9, best.rmse) >= 0.02 AND (SELECT count(*) >= 500 FROM dense)""",
+    ),
+)
+def _(spark, sf):
+    """The registry after three runs of the gate over the persistence forecasts."""
+    return champion_runs(spark, sf).history()
+
+
+def champion_runs(spark, sf):
+    registry = Registry(spark, fresh_path(spark, "registry"))
+    table = cut_lineage(frames.dense_hourly(spark, sf), "dense")
+    scores = cut_lineage(metrics.regression_metrics(frames.naive_predictions(spark, sf)).where("split = 'test'"), "scores")
+    for model, day in STRENGTHS.values():
+        own = scores.where(F.col("model") == model).withColumn("path", F.concat_ws("-", "model", "horizon"))
+        registry.record(gate(own, registry, table), datetime.fromisoformat(day))
+    return registry
+
+
+@query(
+    "champion_as_of",
+    using(
+        "scored",
+        f"""SELECT horizon, CASE WHEN promoted THEN 'carry_day-' ELSE 'carry_two_days-' END || horizon AS path,
+        {r('CASE WHEN promoted THEN cand ELSE champ END')} AS rmse FROM (
+        SELECT a.horizon, a.rmse AS champ, b.rmse AS cand, (a.rmse - b.rmse) / greatest(1e-9, a.rmse) >= 0.02
+        AND (SELECT count(*) >= 500 FROM dense) AS promoted FROM
+        (SELECT * FROM scored WHERE split = 'test' AND model = 'carry_two_days') a JOIN
+        (SELECT * FROM scored WHERE split = 'test' AND model = 'carry_day') b ON a.horizon = b.horizon)""",
+    ),
+)
+def _(spark, sf):
+    """Which model forecast at noon after the second run."""
+    return champion_runs(spark, sf).champions(datetime(2024, 2, 2, 12)).select("horizon", "path", "rmse")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from hourloom.catalog.base import query
@@ -9,7 +11,7 @@ from hourloom.catalog.sql import FRAMES, frame, r, rounded, using
 from hourloom.catalog.tables import COMPARE, IMPORTANCE, candidate_metrics, compared, importance_table
 from hourloom.functions import air, fixed
 from hourloom.operators import metrics, profiles, splits, stats
-from hourloom.plans import reports
+from hourloom.plans import reports, sections
 from hourloom.sources import frames
 
 KEY = ["station_id", "ts"]
@@ -265,7 +267,7 @@ FIRST_LAST = f"""SELECT station_id, {r('fm')} AS first_mean, {r('lm')} AS last_m
     ),
 )
 def _(spark, sf):
-    return profiles.first_last_compare(frames.user_hourly(spark, sf), "pm10")
+    return profiles.first_last_compare(frames.user_hourly(spark, sf), "pm10").drop("first_n", "last_n")
 
 
 @query("regression_metrics", using("scored", f"SELECT model, horizon, split, n, {rounded(['rmse', 'mae', 'r2', 'mape'])} FROM scored"))
@@ -425,3 +427,103 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return reports.forecast_report(frames.indexed(spark, sf).withColumnRenamed("numerical_aqi", "aqi_forecast"))
+
+
+LISTED = ["pm2_5", "pm10", "o3", "co", "no2", "so2", *sections.WEATHER]
+LISTED_POLLUTANTS = [c for c in fixed.POLLUTANTS if c in LISTED]
+MEASURED = ["numerical_aqi", *LISTED_POLLUTANTS, *sections.WEATHER, "pm_ratio"]
+SEASON = """CASE WHEN month(ts) IN (12, 1, 2) THEN 'Winter' WHEN month(ts) IN (3, 4, 5) THEN 'Spring'
+  WHEN month(ts) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END"""
+PROFILED = {
+    "daily": "strftime(ts, '%Y-%m-%d')",
+    "hour": "strftime(ts, '%H')",
+    "month": "strftime(ts, '%b')",
+    "weekday": "dayname(ts)",
+    "season": SEASON,
+    "component": "coalesce(primary_pollutant, 'unknown')",
+    "all": "'all'",
+}
+NUMBER = "NULL::DOUBLE"
+
+
+def _told(section, label, column, n, source, mean=NUMBER, std=NUMBER, lo=NUMBER, q=(NUMBER,) * 3, hi=NUMBER, value=NUMBER, tail=""):
+    numbers = {"mean": mean, "std": std, "min": lo, "q25": q[0], "q50": q[1], "q75": q[2], "max": hi, "value": value}
+    cells = ", ".join(f"{r(e)} AS {name}" for name, e in numbers.items())
+    return f'SELECT {section} AS section, {label} AS label, {column} AS "column", ({n})::BIGINT AS n, {cells} FROM {source} {tail}'
+
+
+def _sections_sql():
+    parts = []
+    for section, label in PROFILED.items():
+        q = tuple(f"CASE WHEN \"column\" <> 'pm_ratio' THEN quantile_cont(v, {p}) END" if section == "all" else NUMBER for p in (0.25, 0.5, 0.75))
+        parts.append(_told(f"'{section}'", label, '"column"', "count(v)", "long", "avg(v)", "stddev_samp(v)", "min(v)", q, "max(v)", tail="GROUP BY ALL"))
+    hour = dict(mean="m", std="s", lo="m - s", hi="m + s")
+    parts.append(_told("'peak_hour'", "hour", "'numerical_aqi'", "k", "peaks", **hour, tail=f"WHERE k >= {sections.LEAST_AN_HOUR}"))
+    for a, b in [*combinations(LISTED_POLLUTANTS, 2), *combinations([*sections.WEATHER, "numerical_aqi"], 2)]:
+        both = f"count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL)"
+        parts.append(_told("'correlation'", f"'{b}'", f"'{a}'", both, "base", value=f"corr({a}, {b})"))
+    for p, who, limit in fixed.EXCEEDANCE_LIMITS:
+        valid = f"count(*) FILTER ({p} > 0)"
+        parts.append(_told("'exceedance'", f"'{who}'", f"'{p}'", valid, "base", value=f"count(*) FILTER ({p} > {limit}) * 100.0 / {valid}"))
+    for lo, hi, label in zip(fixed.PM25_BIN_EDGES, fixed.PM25_BIN_EDGES[1:], fixed.PM25_BIN_LABELS):
+        parts.append(_told("'bin'", f"'{label}'", "'pm2_5'", f"count(*) FILTER (pm2_5 > {lo} AND pm2_5 <= {hi})", "base"))
+    columns = [*KEY, *LISTED, "numerical_aqi", "primary_pollutant"]
+    missing = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in columns)
+    parts.append(_told("'overview'", "'rows'", "''", "count(*)", "base"))
+    parts.append(_told("'overview'", "'columns'", "''", f"{len(columns)} + 0 * count(*)", "base"))
+    parts.append(_told("'overview'", "'missing'", "''", missing, "base"))
+    parts.append(_told("'overview'", "'complete_pct'", "''", "count(*)", "base", value=f"100.0 * (1 - ({missing}) / (count(*) * {len(columns)}.0::DOUBLE))"))
+    inside = "v BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25)"
+    parts.append(
+        _told("'season_box'", "season", "'numerical_aqi'", "count(v)", "seasons JOIN boxes USING (season)", lo=f"min(v) FILTER ({inside})",
+              q=("q25", "q50", "q75"), hi=f"max(v) FILTER ({inside})", value=f"count(*) FILTER (NOT ({inside}))", tail="GROUP BY season, q25, q50, q75")
+    )
+    for k in sections.SMOOTHED:
+        parts.append(_told(f"'smoothed_{k}'", "strftime(ts, '%Y-%m-%d %H:%M')", "'numerical_aqi'", "k", f"smooth_{k}", mean="m", value="w"))
+    return " UNION ALL ".join(f"({p})" for p in parts)
+
+
+@query(
+    "historical_sections",
+    using(
+        "indexed",
+        _sections_sql(),
+        base=f"SELECT station_id, ts, {', '.join(LISTED)}, numerical_aqi, primary_pollutant, CASE WHEN pm2_5 > 0 AND pm10 > 0 THEN pm2_5 / pm10 END AS pm_ratio FROM indexed",
+        wide=f"SELECT ts, primary_pollutant, {', '.join(f'{c}::DOUBLE AS {c}' for c in MEASURED)} FROM base",
+        long=" UNION ALL ".join(f"SELECT ts, primary_pollutant, '{c}' AS \"column\", {c} AS v FROM wide" for c in MEASURED),
+        peaks="SELECT strftime(ts, '%H') AS hour, count(numerical_aqi) AS k, avg(numerical_aqi) AS m, stddev_samp(numerical_aqi) AS s FROM base GROUP BY 1",
+        seasons=f"SELECT {SEASON} AS season, numerical_aqi AS v FROM base WHERE numerical_aqi IS NOT NULL",
+        boxes="SELECT season, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75 FROM seasons GROUP BY 1",
+        hours="SELECT ts, count(numerical_aqi) AS k, avg(numerical_aqi) AS m FROM base GROUP BY 1",
+        **{
+            f"smooth_{k}": f"SELECT *, avg(m) OVER (ORDER BY ts ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS w FROM hours"
+            for k in sections.SMOOTHED
+        },
+    ),
+)
+def _(spark, sf):
+    """Every section of the history page from one table of cells."""
+    columns = [*KEY, *LISTED, "numerical_aqi", "primary_pollutant"]
+    return sections.historical_sections(frames.indexed(spark, sf).select(*columns))
+
+
+@query(
+    "forecast_sections",
+    using(
+        "numbered",
+        f"""SELECT station_id, 'hour' AS section, strftime(ts, '%H') AS label, count(f) AS n, {r('avg(f)')} AS value FROM rows GROUP BY ALL
+        UNION ALL SELECT station_id, 'bin', lpad(least(20, CASE WHEN hi > lo THEN floor((f - lo) / (hi - lo) * 20) + 1 ELSE 1 END)::INTEGER::VARCHAR, 2, '0'), count(*), NULL
+        FROM rows JOIN ends USING (station_id) WHERE f IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT station_id, 'first_24', direction, a_n, {r('a')} FROM halves UNION ALL SELECT station_id, 'last_24', volatility, b_n, {r('b')} FROM halves""",
+        rows="SELECT station_id, ts, pos, len, numerical_aqi AS f FROM numbered",
+        ends="SELECT station_id, min(f) AS lo, max(f) AS hi FROM rows GROUP BY 1",
+        halves="""SELECT station_id, a, b, a_n, b_n, CASE WHEN b > a THEN 'Worsening' WHEN b < a THEN 'Improving' ELSE 'Stable' END AS direction,
+        CASE WHEN d > c THEN 'More Variable' WHEN d < c THEN 'Less Variable' ELSE 'Same Variability' END AS volatility FROM (
+        SELECT station_id, avg(f) FILTER (pos <= 24) AS a, avg(f) FILTER (pos > len - 24) AS b, stddev_samp(f) FILTER (pos <= 24) AS c,
+        stddev_samp(f) FILTER (pos > len - 24) AS d, count(f) FILTER (pos <= 24) AS a_n, count(f) FILTER (pos > len - 24) AS b_n
+        FROM rows WHERE len >= 48 GROUP BY 1)""",
+    ),
+)
+def _(spark, sf):
+    """Hour profile, distribution, and first against last day of each series of a forecast."""
+    return sections.forecast_sections(frames.indexed(spark, sf).withColumnRenamed("numerical_aqi", "aqi_forecast"))

@@ -9,9 +9,11 @@ from hourloom.catalog.base import query
 from hourloom.catalog.sql import NEEDS, frame, mean_min, r, rounded, trend, using
 from hourloom.functions import air, fixed
 from hourloom.operators import fill, layout, rolling, splits, upsert
-from hourloom.plans import features, training
+from hourloom.plans import features, incremental, training
 from hourloom.plans import index as index_plan
+from hourloom.session import fresh_path
 from hourloom.sources import frames
+from hourloom.sources.versions import VersionedTable
 
 KEY = ["station_id", "ts"]
 BY = "(PARTITION BY station_id ORDER BY ts)"
@@ -474,6 +476,85 @@ def _(spark, sf):
     return frames.indexed(spark, sf).select(*KEY, *[f"{p}_aqi" for p in fixed.DOMINANCE_ORDER], "numerical_aqi", "primary_pollutant")
 
 
+# --- derived tables that follow a versioned master -------------------------------------
+
+# The second version corrects the newest three days, the third one station's hours of the tenth day.
+CORRECTED = """SELECT * REPLACE (CASE WHEN newest THEN pm2_5 + 5 ELSE pm2_5 END AS pm2_5, CASE WHEN tenth THEN co * 3 ELSE co END AS co)
+  FROM (SELECT *, ts >= (SELECT max(date_trunc('day', ts)) FROM first_dense) - INTERVAL 2 DAY AS newest,
+  station_id = 'click' AND date_trunc('day', ts) = (SELECT min(date_trunc('day', ts)) FROM first_dense) + INTERVAL 9 DAY AS tenth FROM first_dense)"""
+
+
+def corrected_master(spark, sf, after):
+    """Three versions of the dense frame; ``after(master)`` is called after each."""
+    rows = frames.dense_hourly(spark, sf)
+    days = rows.agg(F.max(F.date_trunc("day", "ts")) - F.expr("INTERVAL 2 DAYS"), F.min(F.date_trunc("day", "ts")) + F.expr("INTERVAL 9 DAYS"))
+    newest, tenth = days.first()
+    master = VersionedTable(spark, fresh_path(spark, "master"), period="week")
+    tenth_day = (F.col("station_id") == "click") & (F.date_trunc("day", "ts") == F.lit(tenth))
+    late = F.col("ts") >= F.lit(newest)
+    # the last batch brings all hours of the station again, most of them unchanged
+    changed_co = F.when(tenth_day, F.col("co") * 3).otherwise(F.col("co"))
+    again = rows.where("station_id = 'click'").withColumns({"co": changed_co, "pm2_5": F.when(late, F.col("pm2_5") + 5).otherwise(F.col("pm2_5"))})
+    for batch in (rows, rows.where(late).withColumn("pm2_5", F.col("pm2_5") + 5), again):
+        master.upsert(batch)
+        after(master)
+    return master
+
+
+def followed(spark, sf, refresh):
+    """The derived table after each of the three versions was followed by a refresh."""
+    derived = VersionedTable(spark, fresh_path(spark, "derived"), period="week")
+    corrected_master(spark, sf, lambda master: refresh(master, derived))
+    return derived.read()
+
+
+def _reached(flag, back):
+    return f"bool_or({flag}) OVER (PARTITION BY station_id ORDER BY ts ROWS BETWEEN {back} PRECEDING AND CURRENT ROW)"
+
+
+SUBS = [f"{p}_aqi" for p in fixed.DOMINANCE_ORDER]
+
+
+@query(
+    "incremental_index",
+    using(
+        "indexed",
+        f"""SELECT station_id, ts, {rounded([*SUBS, 'numerical_aqi'])}, primary_pollutant,
+        CASE WHEN {_reached('tenth', index_plan.REACH)} THEN 3 WHEN {_reached('newest', index_plan.REACH)} THEN 2 ELSE 1 END AS written_in
+        FROM indexed""",
+        instead={"dense": CORRECTED},
+    ),
+)
+def _(spark, sf):
+    """Equal to the index of the final master; only hours within reach of a change were written again."""
+    out = followed(spark, sf, incremental.refresh_index)
+    return out.select(*KEY, *SUBS, "numerical_aqi", "primary_pollutant", F.col("batch_seq").alias("written_in"))
+
+
+FOLLOWED_FEATURES = {
+    "pm2_5_72h_mean": f"avg(pm2_5) OVER {frame(72)}",
+    "co_24h_std": f"stddev_samp(co) OVER {frame(24)}",
+    "pm2_5_lag_48h": "lag(pm2_5, 48) OVER " + BY,
+    "co_12h_trend": trend("co", 12),
+    "wind_speed_18h_max": f"max(wind_speed) OVER {frame(18)}",
+}
+
+
+@query(
+    "incremental_features",
+    using(
+        "dense",
+        "SELECT station_id, ts, " + ", ".join(f"{r(e)} AS {n}" for n, e in FOLLOWED_FEATURES.items())
+        + f", CASE WHEN {_reached('tenth', features.REACH)} THEN 3 WHEN {_reached('newest', features.REACH)} THEN 2 ELSE 1 END AS written_in FROM placed",
+        instead={"dense": CORRECTED},
+        placed=PLACED.format("dense"),
+    ),
+)
+def _(spark, sf):
+    out = followed(spark, sf, incremental.refresh_features)
+    return out.select(*KEY, *FOLLOWED_FEATURES, F.col("batch_seq").alias("written_in"))
+
+
 @query(
     "build_master",
     using(

@@ -179,9 +179,14 @@ def _ordered(names) -> list[str]:
     return seen
 
 
-def using(names, body: str, **extra: str) -> str:
-    """``body`` with the frames it names (and further ones given as keyword) in front."""
+def using(names, body: str, instead: dict[str, str] | None = None, **extra: str) -> str:
+    """``body`` with the frames it names (and further ones given as keyword) in front. ``instead`` replaces frames;
+    the replaced one is there as ``first_<name>``."""
     names = [names] if isinstance(names, str) else list(names)
-    parts = [f"{n} AS MATERIALIZED ({FRAMES[n]})" for n in _ordered(names)]
+    parts = []
+    for n in _ordered(names):
+        if instead and n in instead:
+            parts.append(f"first_{n} AS MATERIALIZED ({FRAMES[n]})")
+        parts.append(f"{n} AS MATERIALIZED ({(instead or {}).get(n, FRAMES[n])})")
     parts += [f"{n} AS ({e})" for n, e in extra.items()]
     return f"WITH {', '.join(parts)} {body}"

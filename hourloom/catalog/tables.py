@@ -10,6 +10,7 @@ from hourloom.functions import air, fixed
 from hourloom.operators import guards, joins, metrics, profiles, stats, upsert
 from hourloom.session import fresh_path
 from hourloom.sources import frames, readers, sinks
+from hourloom.sources.versions import VersionedTable
 
 KEY = ["station_id", "ts"]
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -173,6 +174,15 @@ def _(spark, sf):
     return sinks.roundtrip(frames.dense_hourly(spark, sf), "parquet", "dense")
 
 
+def corrected_table(spark, sf):
+    """Two versions: all readings, then those with every error reading corrected."""
+    stored, fixes = frames.stored_and_corrections(spark, sf)
+    table = VersionedTable(spark, fresh_path(spark, "master"), order=("batch_seq", "event_id"), period="week")
+    table.upsert(stored)
+    table.upsert(fixes)
+    return table
+
+
 @query(
     "upsert_keep_last",
     using(
@@ -183,8 +193,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    stored, fixes = frames.stored_and_corrections(spark, sf)
-    return upsert.upsert_keep_last(stored, fixes, order=("batch_seq", "event_id"))
+    table = corrected_table(spark, sf)
+    return table.read()
 
 
 @query(
@@ -215,16 +225,52 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Two versions of the master table side by side; the first is still whole after the second."""
+    table = corrected_table(spark, sf)
+
+    def version(n):
+        return table.read(n).agg(F.lit(n).alias("snapshot"), F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total"))
+
+    return version(1).unionByName(version(2))
+
+
+RECENT = "ts >= (SELECT max(date_trunc('day', ts)) FROM both_batches) - INTERVAL 2 DAY"
+
+
+@query(
+    "upsert_touched_periods",
+    using(
+        "both_batches",
+        """SELECT strftime(date_trunc('day', hour), '%Y-%m-%d') AS period, CASE WHEN bool_or(recent) THEN 2 ELSE 1 END::BIGINT AS written_in,
+        count(*) AS n_rows, min(hour) AS first_ts, max(hour) AS last_ts FROM kept GROUP BY date_trunc('day', hour)""",
+        kept=f"""SELECT station_id, date_trunc('hour', ts) AS hour, bool_or(batch_seq = 2 AND {RECENT}) AS recent
+        FROM both_batches GROUP BY 1, 2""",
+    ),
+)
+def _(spark, sf):
+    """The manifest after corrections of the newest three days: only folders of their days were written anew."""
     stored, fixes = frames.stored_and_corrections(spark, sf)
-    order = ("batch_seq", "event_id")
-    root = fresh_path(spark, "master")
-    floored = stored.withColumn("ts", F.date_trunc("hour", "ts"))
-    sinks.write_snapshot(upsert.keep_last(floored, order=order), root, 1)
-    sinks.upsert_snapshot(spark, root, 1, fixes, order=order)
-    versions = spark.read.parquet(root)
-    return versions.groupBy(F.col("snapshot").cast("int").alias("snapshot")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total")
-    )
+    newest = stored.agg(F.max(F.date_trunc("day", "ts")) - F.expr("INTERVAL 2 DAYS")).scalar()
+    table = VersionedTable(spark, fresh_path(spark, "master"), order=("batch_seq", "event_id"), period="day")
+    table.upsert(stored)
+    table.upsert(fixes.where(F.col("ts") >= newest))
+    entries = table.manifests().where("version = 2")
+    return entries.select("period", "written_in", "n_rows", "first_ts", "last_ts")
+
+
+@query(
+    "restored_version",
+    using(
+        "both_batches",
+        f"""SELECT station_id, date_trunc('hour', ts) AS ts, {r('arg_max(value, event_id)')} AS value, max(event_id) AS event_id
+        FROM both_batches WHERE batch_seq = 1 GROUP BY 1, 2""",
+    ),
+)
+def _(spark, sf):
+    """The first version again, after a second one and the removal of all older ones."""
+    table = corrected_table(spark, sf)
+    table.restore(1)
+    table.expire(1)
+    return table.read().select(*KEY, "value", "event_id")
 
 
 @query(
@@ -567,7 +613,8 @@ def _(spark, sf):
         "scored",
         f"""SELECT horizon, {r('cand')} AS cand_rmse, {r('champ')} AS champ_rmse, {r('gain')} AS rel_gain, gain >= 0.02 AS promoted,
         {r('CASE WHEN gain >= 0.02 THEN cand ELSE champ END')} AS rmse,
-        {r('CASE WHEN gain >= 0.02 THEN cand_r2 ELSE champ_r2 END')} AS r2 FROM (
+        {r('CASE WHEN gain >= 0.02 THEN cand_r2 ELSE champ_r2 END')} AS r2, 'carry-' || horizon AS cand_path,
+        CASE WHEN gain >= 0.02 THEN 'carry-' ELSE 'carry_two_days-' END || horizon AS path FROM (
         SELECT a.horizon, b.rmse AS cand, b.r2 AS cand_r2, a.rmse AS champ, a.r2 AS champ_r2,
         (a.rmse - b.rmse) / greatest(1e-9, a.rmse) AS gain FROM
         (SELECT * FROM scored WHERE split = 'test' AND model = 'carry_two_days') a JOIN
@@ -575,7 +622,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    scores = candidate_metrics(spark, sf).where("split = 'test'")
+    scores = candidate_metrics(spark, sf).where("split = 'test'").withColumn("path", F.concat_ws("-", "model", "horizon"))
     return joins.promotion_join(
         scores.where("model = 'carry'"), scores.where("model = 'carry_two_days'")
     )

@@ -83,8 +83,10 @@ def champion_gate(
             F.lit(None).cast("double").alias("champ_rmse"),
             F.lit(None).cast("double").alias("rel_gain"),
             F.lit(False).alias("promoted"),
+            *([F.col("path").alias("cand_path")] if "path" in candidates.columns else []),
             "rmse",
             "r2",
+            *(["path"] if "path" in candidates.columns else []),
         )
     allowed = guards.quality_gate(table, min_rows).select("passed").scalar()
     return joins.promotion_join(candidates, champions, threshold, allowed)

@@ -145,11 +145,14 @@ def promotion_join(
     """Champion per horizon after the gate.
 
     A candidate replaces the champion only if promotion is allowed, the champion's error is
-    known and the relative gain reaches the threshold.
+    known and the relative gain reaches the threshold. A horizon that has no champion yet keeps none. With a column
+    ``path`` on both sides the model of the champion is told too.
     """
+    paths = "path" in candidates.columns and "path" in champions.columns
+    told = ["rmse", "r2", *(["path"] if paths else [])]
     allowed = allowed if isinstance(allowed, Column) else F.lit(allowed)
-    cand = candidates.select("horizon", F.col("rmse").alias("cand_rmse"), F.col("r2").alias("cand_r2"))
-    champ = champions.select("horizon", F.col("rmse").alias("champ_rmse"), F.col("r2").alias("champ_r2"))
+    cand = candidates.select("horizon", *[F.col(c).alias(f"cand_{c}") for c in told])
+    champ = champions.select("horizon", *[F.col(c).alias(f"champ_{c}") for c in told])
     gain = (F.col("champ_rmse") - F.col("cand_rmse")) / F.greatest(F.lit(1e-9), F.col("champ_rmse"))
     promote = F.coalesce(allowed & (gain >= threshold), F.lit(False))
     return champ.join(cand, "horizon", "left").select(
@@ -158,8 +161,8 @@ def promotion_join(
         "champ_rmse",
         gain.alias("rel_gain"),
         promote.alias("promoted"),
-        F.when(promote, F.col("cand_rmse")).otherwise(F.col("champ_rmse")).alias("rmse"),
-        F.when(promote, F.col("cand_r2")).otherwise(F.col("champ_r2")).alias("r2"),
+        *(["cand_path"] if paths else []),
+        *[F.when(promote, F.col(f"cand_{c}")).otherwise(F.col(f"champ_{c}")).alias(c) for c in told],
     )
 
 

@@ -111,6 +111,8 @@ def first_last_compare(df: DataFrame, column: str, rows: int = 24, keys=KEYS, ts
             F.avg(F.when(late, F.col(column))).alias("last_mean"),
             F.stddev_samp(F.when(early, F.col(column))).alias("first_std"),
             F.stddev_samp(F.when(late, F.col(column))).alias("last_std"),
+            F.count(F.when(early, F.col(column))).alias("first_n"),
+            F.count(F.when(late, F.col(column))).alias("last_n"),
         )
     )
 

@@ -8,15 +8,19 @@ small and splits a hot key when they are not.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions import air
 from hourloom.operators.layout import KEYS
+from hourloom.session import cut_lineage
 
-SKETCH_ACCURACY = 100_000
+#: Values of a group that one task sorts, and ranges into which the values of a larger one are counted.
+RANKED, BUCKETS = 1 << 16, 1 << 12
 
 
 def long_form(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
@@ -25,75 +29,139 @@ def long_form(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
     return wide.unpivot(list(keys), list(columns), "column", "value").where(F.col("value").isNotNull())
 
 
-def _attach(rows: DataFrame, stats: DataFrame, keys) -> DataFrame:
-    """Join statistics to long rows. Without keys there is one row per listed column, so the
-    broadcast has a size fixed at plan time; with keys the planner decides on the real size."""
-    return rows.join(stats if keys else F.broadcast(stats), [*keys, "column"])
+def _ends(rows: DataFrame, by: list[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max")
+    )
+
+
+def _joined(rows: DataFrame, other: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join by group; a NULL key is a group too."""
+    renamed = other.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    return rows.join(renamed, same, how).drop(*[f"_by_{c}" for c in by])
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs, keys=(), accuracy=SKETCH_ACCURACY) -> DataFrame:
-    """Exact, linearly interpolated quantiles as (keys, column, prob, value).
+def _ranks(n: Column, p: float) -> Column:
+    """The wanted place between two neighbouring ranks (counted from 1), and the share of the second one."""
+    at = (n - 1) * F.lit(float(p))
+    return F.struct(
+        F.lit(float(p)).alias("prob"),
+        (F.floor(at) + 1).alias("first"),
+        (F.ceil(at) + 1).alias("second"),
+        (at - F.floor(at)).alias("share"),
+    )
+
 
-    The built-in exact percentile keeps every distinct value of a group in one buffer.
-    Here a mergeable sketch first brackets each wanted rank; one pass counts the values
-    below the bracket; only values inside it are grouped and ranked. If a count
-    shows that a rank lies outside its bracket, that group is ranked without one, so the
-    answer never depends on the sketch.
+def _by_size(value: Column) -> Column:
+    """Rises with the value, by 1 for each power of two of its size, through zero."""
+    return F.signum(value) * F.coalesce(F.log2(F.abs(value)) + 1075, F.lit(0.0))
+
+
+def _bucket(value: Column, lo: Column, hi: Column, by_size: bool) -> Column:
+    """The bucket of a value between lo and hi, rising with the value; lo and hi are never in the same one.
+
+    Buckets are of equal width or, for values of very different sizes, of equal ratio.
     """
-    rows = long_form(df, columns, keys)
-    slack = 2.0 / accuracy
-    low = [max(0.0, p - slack) for p in probs]
-    high = [min(1.0, p + slack) for p in probs]
-    by = [*keys, "column"]
-    sketch = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("value", low + high, accuracy).alias("_q"),
+    a, b, c = (_by_size(x) if by_size else x / 2 for x in (lo, value, hi))
+    place = F.floor((b - a) / (c - a) * BUCKETS)
+    return F.when(c > a, F.least(place, F.lit(BUCKETS - 1))).otherwise((value > lo).cast("bigint"))
+
+
+def _narrowed(rows: DataFrame, targets: DataFrame, by: list[str], by_size: bool) -> DataFrame:
+    """Targets whose range [lo, hi], with ``below`` values before it and ``inside`` in it, is cut down to the bucket that
+    holds the wanted ranks. Ranks in two neighbouring buckets are the last of one and the first of the other."""
+    state = ["prob", "first", "second", "share", "lo", "hi", "below"]
+    held = _joined(rows, targets.select(*by, *state), by).where(F.col("value").between(F.col("lo"), F.col("hi")))
+    place = _bucket(F.col("value"), F.col("lo"), F.col("hi"), by_size).alias("_b")
+    counted = held.groupBy(*by, *state, place).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max")
     )
-    lo = [F.col("_q")[i] for i in range(len(probs))]
-    hi = [F.col("_q")[i + len(probs)] for i in range(len(probs))]
-    counted = (
-        _attach(rows, sketch, keys)
-        .groupBy(*by)
-        .agg(
-            F.first("_n").alias("_n"),
-            F.array(*[F.count_if(F.col("value") < c) for c in lo]).alias("_below"),
-            F.array(*[F.count_if(F.col("value") <= c) for c in hi]).alias("_upto"),
-            F.array(*[F.first(c) for c in lo]).alias("_lo"),
-            F.array(*[F.first(c) for c in hi]).alias("_hi"),
-        )
+    upto = F.sum("_n").over(Window.partitionBy(*by, "prob").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    reached = counted.withColumn("_upto", F.col("below") + upto).withColumn("_before", F.col("_upto") - F.col("_n"))
+    has_first = (F.col("first") > F.col("_before")) & (F.col("first") <= F.col("_upto"))
+    has_second = (F.col("second") > F.col("_before")) & (F.col("second") <= F.col("_upto"))
+    ranks = ["prob", "first", "second", "share"]
+    one = reached.where(has_first | has_second).groupBy(*by, *ranks).agg(
+        F.min("_min").alias("_lowest"),
+        F.max("_max").alias("_highest"),
+        F.min("_max").alias("_a"),
+        F.max("_min").alias("_b"),
+        F.min("_before").alias("_before"),
+        F.sum("_n").alias("_n"),
+        F.count(F.lit(1)).alias("_buckets"),
+    )
+    apart = F.col("_buckets") > 1
+    return one.select(
+        *by,
+        *ranks,
+        F.when(apart, F.col("_a")).otherwise(F.col("_lowest")).alias("lo"),
+        F.when(apart, F.col("_b")).otherwise(F.col("_highest")).alias("hi"),
+        F.col("_before").alias("below"),
+        F.when(apart, F.lit(2)).otherwise(F.col("_n")).alias("inside"),
+        apart.alias("known"),
     )
 
-    def target(i, p):
-        at = (F.col("_n") - 1) * F.lit(float(p))
-        first, second = F.floor(at) + 1, F.ceil(at) + 1
-        held = (first > F.col("_below")[i]) & (second <= F.col("_upto")[i])
-        return F.struct(
-            F.lit(float(p)).alias("prob"),
-            F.when(held, F.col("_lo")[i]).alias("lo"),
-            F.when(held, F.col("_hi")[i]).alias("hi"),
-            F.when(held, F.col("_below")[i]).otherwise(F.lit(0)).alias("below"),
-            first.alias("first"),
-            second.alias("second"),
-            (at - F.floor(at)).alias("share"),
-        )
 
-    targets = counted.select(*by, F.array(*[target(i, p) for i, p in enumerate(probs)]).alias("_t"))
-    near = (
-        _attach(rows, targets, keys)
-        .select(*by, "value", F.explode("_t").alias("t"))
-        .where(F.col("t.lo").isNull() | F.col("value").between(F.col("t.lo"), F.col("t.hi")))
-        .groupBy(*by, "t", "value")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    ranked = Window.partitionBy(*by, "t.prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    reached = near.withColumn("_upto", F.col("t.below") + F.sum("_c").over(ranked))
-    picked = reached.groupBy(*by, F.col("t.prob").alias("prob")).agg(
-        F.min(F.when(F.col("_upto") >= F.col("t.first"), F.col("value"))).alias("_a"),
-        F.min(F.when(F.col("_upto") >= F.col("t.second"), F.col("value"))).alias("_b"),
-        F.first("t.share").alias("_s"),
+def exact_quantiles(df: DataFrame, columns: list[str], probs, keys=(), ends: DataFrame | None = None, limit: int = RANKED) -> DataFrame:
+    """Exact, linearly interpolated quantiles as (keys, column, prob, value); NULL and NaN are left out.
+
+    A group of up to ``limit`` values is sorted in one task. For a larger one, the values in each of a few thousand
+    ranges are counted, combined in the map tasks; the cumulative counts tell which range holds the wanted rank, and that
+    range alone is divided again, until what is left fits the limit or is a single value. So no task ever holds more of a
+    group than the limit, however the values are distributed or repeated, and only small tables of ranges are kept. The
+    second round divides by size; what then remains is of one size, where doubles lie evenly and five rounds tell any
+    two of them apart.
+    ``ends`` are (keys, column, count, min, max) if known already.
+    """
+    by = [*keys, "column"]
+    rows = long_form(df, columns, keys).where(~F.isnan("value"))
+    ends = cut_lineage((_ends(rows, by) if ends is None else ends).select(*by, "count", "min", "max"), "ends")
+    wanted = F.inline(F.array(*[_ranks(F.col("count"), p) for p in probs]))
+    large = ends.where(F.col("count") > limit)
+    if large.isEmpty():
+        return _ranked_whole(rows, by, probs)
+    targets = large.select(
+        *by, wanted, F.col("min").alias("lo"), F.col("max").alias("hi"), F.lit(0).cast("bigint").alias("below"),
+        F.col("count").alias("inside"), F.lit(False).alias("known"),
     )
-    value = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_s")
-    return picked.select(*by, "prob", value.alias("value"))
+    targets, settled, rounds = cut_lineage(targets, "targets"), None, 0
+    still = (F.col("inside") > limit) & (F.col("lo") < F.col("hi")) & ~F.col("known")
+    while True:
+        done = targets.where(~still)
+        settled = done if settled is None else settled.unionByName(done)
+        wide = targets.where(still)
+        if wide.isEmpty():
+            break
+        targets = cut_lineage(_narrowed(rows, wide, by, by_size=rounds == 1), "targets")
+        rounds += 1
+    small = _joined(rows, large.select(*by), by, "left_anti")
+    return _ranked_whole(small, by, probs).unionByName(_ranked_within(rows, settled, by))
+
+
+def _between(a: Column, b: Column, share: Column) -> Column:
+    return F.when(share == 0, a).otherwise(a + (b - a) * share)
+
+
+def _ranked_whole(rows: DataFrame, by: list[str], probs) -> DataFrame:
+    """Quantiles of groups that fit the limit."""
+    sorted_values = rows.groupBy(*by).agg(F.sort_array(F.collect_list("value")).alias("_v"))
+    n = F.size("_v").cast("bigint")
+    wanted = sorted_values.select(*by, "_v", F.inline(F.array(*[_ranks(n, p) for p in probs])))
+    value = _between(F.get("_v", F.col("first") - 1), F.get("_v", F.col("second") - 1), F.col("share"))
+    return wanted.select(*by, "prob", value.alias("value"))
+
+
+def _ranked_within(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """Quantiles of groups whose ranks were narrowed down to ranges that fit the limit, or to known values."""
+    ranks = ["prob", "first", "second", "share", "below"]
+    alone = targets.where(F.col("known") | (F.col("lo") == F.col("hi")))
+    told = alone.select(*by, "prob", _between(F.col("lo"), F.col("hi"), F.col("share")).alias("value"))
+    open_ = targets.where(~F.col("known") & (F.col("lo") < F.col("hi"))).select(*by, *ranks, "lo", "hi")
+    held = _joined(rows, open_, by).where(F.col("value").between(F.col("lo"), F.col("hi")))
+    held = held.groupBy(*by, *ranks).agg(F.sort_array(F.collect_list("value")).alias("_v"))
+    first, second = (F.get("_v", F.col(c) - F.col("below") - 1) for c in ("first", "second"))
+    return told.unionByName(held.select(*by, "prob", _between(first, second, F.col("share")).alias("value")))
 
 
 def quantiles_wide(df: DataFrame, columns, probs, keys=()) -> DataFrame:
@@ -192,18 +260,18 @@ def standardise(df: DataFrame, columns: list[str], keys=(), fit_on: DataFrame |
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles, max; one row per column."""
-    basic = (
-        long_form(df, columns)
-        .groupBy("column")
-        .agg(
+    values = long_form(df, columns).where(~F.isnan("value"))
+    basic = cut_lineage(
+        values.groupBy("column").agg(
             F.count("value").alias("count"),
             F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
-        )
+        ),
+        "basic",
     )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], ends=basic)
     wide = quartiles.groupBy("column").agg(
         *[
             F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.functions import air, clock, fixed
-from hourloom.operators import guards, layout, rolling
+from hourloom.operators import guards, layout, running
 
 REACH = 72
 
@@ -35,45 +35,32 @@ def row_features(df: DataFrame, ts: str = layout.TIME) -> dict[str, Column]:
 
 
 WEATHER = {
-    "temperature": ("temp", {"mean": rolling.rolling_mean, "trend": rolling.rolling_trend}),
-    "relative_humidity": ("humidity", {"mean": rolling.rolling_mean}),
-    "pressure": ("pressure", {"mean": rolling.rolling_mean, "trend": rolling.rolling_trend}),
-    "wind_speed": ("wind_speed", {"mean": rolling.rolling_mean, "max": rolling.rolling_max}),
+    "temperature": ("temp", ("mean", "trend")),
+    "relative_humidity": ("humidity", ("mean",)),
+    "pressure": ("pressure", ("mean", "trend")),
+    "wind_speed": ("wind_speed", ("mean", "max")),
 }
-POLLUTANT_STATS = {"mean": rolling.rolling_mean, "std": rolling.rolling_std, "trend": rolling.rolling_trend}
+POLLUTANT_STATS = ("mean", "std", "trend")
 
 
-def window_feature_specs(columns: list[str]) -> dict[str, tuple]:
-    """Feature name -> (expression builder, source column, rows) for the columns present."""
-    out: dict[str, tuple] = {}
+def window_feature_specs(columns: list[str], only=None) -> dict[str, running.Spec]:
+    """Feature name -> (kind, source column, rows) for the columns present: the 338 lag, rolling, trend, change and
+    momentum features, or those named in ``only``."""
+    out: dict[str, running.Spec] = {}
     for p in [c for c in fixed.MODELLED if c in columns]:
-        out |= {f"{p}_lag_{k}h": (rolling.lag, p, k) for k in fixed.LAGS}
-        out |= {f"{p}_{n}h_{kind}": (make, p, n) for n in fixed.WINDOWS for kind, make in POLLUTANT_STATS.items()}
-        out |= {f"{p}_change_{k}h": (rolling.change, p, k) for k in fixed.CHANGES}
-        out |= {f"{p}_momentum_{k}h": (rolling.change, p, k) for k in fixed.MOMENTA}
+        out |= {f"{p}_lag_{k}h": ("lag", p, k) for k in fixed.LAGS}
+        out |= {f"{p}_{n}h_{kind}": (kind, p, n) for n in fixed.WINDOWS for kind in POLLUTANT_STATS}
+        out |= {f"{p}_change_{k}h": ("change", p, k) for k in fixed.CHANGES}
+        out |= {f"{p}_momentum_{k}h": ("change", p, k) for k in fixed.MOMENTA}
     for column, (prefix, kinds) in WEATHER.items():
         if column in columns:
-            out |= {f"{prefix}_{n}h_{kind}": (make, column, n) for n in fixed.WINDOWS for kind, make in kinds.items()}
-    return out
-
-
-def window_features(columns: list[str], w: WindowSpec, only=None) -> dict[str, Column]:
-    """The 338 lag, rolling, trend, change and momentum features, or those named in ``only``."""
-    specs = window_feature_specs(columns)
-    return {
-        name: make(column, n, w) for name, (make, column, n) in specs.items() if only is None or name in only
-    }
+            out |= {f"{prefix}_{n}h_{kind}": (kind, column, n) for n in fixed.WINDOWS for kind in kinds}
+    return {name: spec for name, spec in out.items() if only is None or name in only}
 
 
 def build_features(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, keep_position=False) -> DataFrame:
     """All features in one pass over the block layout: one exchange, one sort."""
     clean = guards.drop_leakage(df)
-    rowwise = clean.withColumns(row_features(clean, ts))
-    return layout.over_series(
-        rowwise,
-        lambda w: window_features(clean.columns, w),
-        back=REACH,
-        keys=keys,
-        ts=ts,
-        keep_position=keep_position,
-    )
+    blocks = layout.in_blocks(clean.withColumns(row_features(clean, ts)), REACH, 0, keys, ts)
+    out = blocks.native(running.with_windows(blocks.df, blocks.window, window_feature_specs(clean.columns)))
+    return out if keep_position else out.drop(layout.POS, layout.LEN)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.functions import air, clock, fixed
-from hourloom.operators import fill, guards, layout, stats
+from hourloom.operators import fill, guards, layout, running, stats
 from hourloom.plans import features, index
 from hourloom.session import cut_lineage
 
@@ -51,8 +51,8 @@ def featured_with_index(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, only=No
     clean = guards.drop_leakage(with_index).drop(*subs)
     rowwise = clean.withColumns(features.row_features(clean, ts))
     targets = {f"target_aqi_{h}h": F.lead("numerical_aqi", h).over(blocks.window) for h in fixed.HORIZONS}
-    wide = rowwise.withColumns(features.window_features(sources, blocks.window, only) | targets)
-    return blocks.native(wide)
+    specs = features.window_feature_specs(sources, only)
+    return blocks.native(running.with_windows(rowwise.withColumns(targets), blocks.window, specs))
 
 
 def training_table(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, trim: bool = True, only=None) -> DataFrame:

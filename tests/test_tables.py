@@ -10,17 +10,46 @@ from hourloom.sources import readers, sinks
 from hourloom.session import fresh_path
 
 
-@pytest.mark.parametrize("accuracy", [2, 50, 100_000])
-def test_quantiles_are_exact_whatever_the_sketch(spark, accuracy):
+def spread(kind, n, rnd):
+    """Values that crowd, repeat, or lie many powers of ten apart."""
+    make = {
+        "mixed": lambda: rnd.choice([1.0, 2.0, 2.0, rnd.gauss(0, 1), rnd.expovariate(1) * 1e6]),
+        "powers": lambda: rnd.choice([-1, 1]) * 2.0 ** rnd.uniform(-1000, 1000),
+        "offset": lambda: 1e12 + rnd.random(),
+        "constant": lambda: 3.5,
+        "ends": lambda: rnd.choice([-8e307, 8e307, 0.0, 5e-324, -5e-324]),
+    }[kind]
+    return [make() for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind,limit", [("mixed", 40), ("mixed", 1 << 16), ("powers", 40), ("offset", 1), ("constant", 40), ("ends", 1)])
+def test_quantiles_are_exact_whatever_a_task_may_sort(spark, limit, kind):
+    """Group x holds most rows; y is small, z has one value, and the null group counts too."""
     rnd = random.Random(4)
-    values = [rnd.choice([1.0, 2.0, 2.0, rnd.gauss(0, 1), rnd.expovariate(1) * 1e6]) for _ in range(3001)] + [None] * 10
-    df = spark.createDataFrame([(("x" if i % 3 else "y"), v) for i, v in enumerate(values)], "g string, v double")
+    groups = {"x": spread(kind, 3000, rnd), "y": spread(kind, 30, rnd), "z": [7.0], None: spread(kind, 100, rnd)}
+    rows = [(g, v) for g, values in groups.items() for v in [*values, None, float("nan")]]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = stats.exact_quantiles(df, ["v"], probs, keys=("g",), accuracy=accuracy).collect()
-    assert len(got) == 12
+    got = stats.exact_quantiles(df, ["v"], probs, keys=("g",), limit=limit).collect()
+    assert len(got) == len(groups) * len(probs)
     for row in got:
-        own = [v for i, v in enumerate(values) if v is not None and ("x" if i % 3 else "y") == row.g]
-        assert row.value == pytest.approx(np.quantile(own, row.prob), rel=1e-12)
+        own, at = sorted(groups[row.g]), row.prob * (len(groups[row.g]) - 1)
+        a, b = own[int(at)], own[-int(-at // 1)]
+        assert row.value == pytest.approx(a + (b - a) * (at - int(at)), rel=1e-12)
+
+
+def test_no_task_ranks_more_than_its_limit(spark):
+    """One station holds 90 % of the rows; what is left to sort for it is a small range."""
+    df = spark.range(50_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("b")).otherwise(F.lit("a")).alias("g"), (F.hash("id") / 7.0).alias("v")
+    )
+    rows = stats.long_form(df, ["v"], ("g",))
+    whole = df.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("inside"))
+    targets = whole.where("g = 'a'").select(
+        "g", F.lit("v").alias("column"), F.inline(F.array(stats._ranks(F.col("inside"), 0.5))), "lo", "hi", F.lit(0).alias("below")
+    )
+    left = stats._narrowed(rows, targets, ["g", "column"], False).collect()
+    assert len(left) == 1 and left[0].known or left[0].inside < 50
 
 
 def test_describe_handles_an_empty_column(spark):
@@ -102,17 +131,6 @@ def test_first_available(spark):
         readers.scan_first_available(spark, ["/tmp/none-1", "/tmp/none-2"])
 
 
-def test_snapshots_keep_earlier_versions(spark):
-    root = fresh_path(spark, "versions")
-    day = datetime(2024, 1, 1)
-    old = spark.createDataFrame([("a", day, 1, 1.0)], "station_id string, ts timestamp, batch_seq int, v double")
-    new = spark.createDataFrame([("a", day, 2, 2.0)], "station_id string, ts timestamp, batch_seq int, v double")
-    sinks.write_snapshot(old, root, 1)
-    sinks.upsert_snapshot(spark, root, 1, new)
-    assert [r.v for r in sinks.read_snapshot(spark, root, 1).collect()] == [1.0]
-    assert [r.v for r in sinks.read_snapshot(spark, root).collect()] == [2.0]
-
-
 def test_first_last_needs_both_halves(spark, series):
     df = series([float(i) for i in range(48)]).unionByName(series([1.0] * 47, station="short"))
     got = profiles.first_last_compare(df, "v").collect()
