@@ -455,7 +455,7 @@ def _told(section, label, column, n, source, mean=NUMBER, std=NUMBER, lo=NUMBER,
 def _sections_sql():
     parts = []
     for section, label in PROFILED.items():
-        q = tuple(f"CASE WHEN \"column\" <> 'pm_ratio' THEN quantile_cont(v, {p}) END" if section == "all" else NUMBER for p in (0.25, 0.5, 0.75))
+        q = tuple(f"quantile_cont(v, {p}) FILTER (\"column\" <> 'pm_ratio')" if section == "all" else NUMBER for p in (0.25, 0.5, 0.75))
         parts.append(_told(f"'{section}'", label, '"column"', "count(v)", "long", "avg(v)", "stddev_samp(v)", "min(v)", q, "max(v)", tail="GROUP BY ALL"))
     hour = dict(mean="m", std="s", lo="m - s", hi="m + s")
     parts.append(_told("'peak_hour'", "hour", "'numerical_aqi'", "k", "peaks", **hour, tail=f"WHERE k >= {sections.LEAST_AN_HOUR}"))

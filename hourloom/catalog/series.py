@@ -407,35 +407,56 @@ _sequence("sequence_windows_drop_last", "drop_last", "pm2_5", "len - 1")
 
 # --- composites -----------------------------------------------------------------------
 
-CHECKED_FEATURES = {
-    "pm2_5_lag_24h": "lag(pm2_5, 24) OVER " + BY,
-    "o3_72h_mean": f"avg(o3) OVER {frame(72)}",
-    "no2_36h_std": f"stddev_samp(no2) OVER {frame(36)}",
-    "co_change_6h": f"co - lag(co, 6) OVER {BY}",
-    "so2_momentum_48h": f"so2 - lag(so2, 48) OVER {BY}",
-    "pm10_12h_trend": trend("pm10", 12),
-    "temp_60h_mean": f"avg(temperature) OVER {frame(60)}",
-    "humidity_6h_mean": f"avg(relative_humidity) OVER {frame(6)}",
-    "pressure_18h_trend": trend("pressure", 18),
-    "wind_speed_24h_max": f"max(wind_speed) OVER {frame(24)}",
+def window_sql(kind, c, n):
+    frames_of = {"mean": f"avg({c}) OVER {frame(n)}", "std": f"stddev_samp({c}) OVER {frame(n)}", "max": f"max({c}) OVER {frame(n)}"}
+    if kind == "trend":
+        return trend(c, n)
+    old = f"lag({c}, {n}) OVER {BY}"
+    return frames_of.get(kind) or (old if kind == "lag" else f"{c} - {old}")
+
+
+WINDOWED = {name: window_sql(*spec) for name, spec in features.window_feature_specs(list(frames.DENSE_COLUMNS)).items()}
+ROWWISE = {
     "heat_index": "temperature * (1 + 0.01::DOUBLE * relative_humidity)",
     "hour_sin": "sin(2 * pi() * hour(ts) / 24)",
     "seasonal_48h_factor": "sin(2 * pi() * dayofyear(ts) / 365) * cos(2 * pi() * hour(ts) / 12)",
+    "hour": "hour(ts)",
+    "is_weekend": "(isodow(ts) >= 6)::INTEGER",
 }
 
 
+def thousandths(e):
+    return f"round_even(({e})::DOUBLE * 1e3 + 0.0001::DOUBLE, 0) / 1e3"
+
+
+def summed_sql(wide, names):
+    """n, sum, min and max of every named column of each station, in long form."""
+    numbers = ", ".join(f"{thousandths(f'{f}(v)')} AS {f}" for f in ("sum", "min", "max"))
+    listed = ", ".join(names)
+    return f"""SELECT station_id, feature, count(v) AS n, {numbers} FROM (UNPIVOT (SELECT station_id, {listed} FROM {wide}) ON {listed}
+    INTO NAME feature VALUE v) GROUP BY ALL"""
+
+
+def summed(df, names):
+    """The same in Spark: a figure that every value of every feature goes into."""
+    long = df.select("station_id", *[F.col(c).cast("double").alias(c) for c in names]).unpivot("station_id", names, "feature", "v")
+    numbers = {f.__name__: F.rint(f("v") * 1e3 + 1e-4) / 1e3 for f in (F.sum, F.min, F.max)}
+    out = long.where("v IS NOT NULL").groupBy("station_id", "feature")
+    return out.agg(F.count("v").alias("n"), *[e.alias(n) for n, e in numbers.items()])
+
+
 @query(
     "build_features",
     using(
         "users",
-        "SELECT station_id, ts, " + ", ".join(f"{r(e)} AS {n}" for n, e in CHECKED_FEATURES.items())
-        + ", (hour(ts))::INTEGER AS hour, (isodow(ts) >= 6)::INTEGER AS is_weekend, 381 AS n_columns FROM placed",
+        summed_sql("wide", [*WINDOWED, *ROWWISE]),
         placed=PLACED.format("users"),
+        wide="SELECT station_id, " + ", ".join(f"({e})::DOUBLE AS {n}" for n, e in (WINDOWED | ROWWISE).items()) + " FROM placed",
     ),
 )
 def _(spark, sf):
-    out = features.build_features(frames.user_hourly(spark, sf))
-    return out.select(*KEY, *CHECKED_FEATURES, "hour", "is_weekend", F.lit(len(out.columns)).alias("n_columns"))
+    """All 338 window features and some of a row, over every value."""
+    return summed(features.build_features(frames.user_hourly(spark, sf)), [*WINDOWED, *ROWWISE])
 
 
 def _clip_sql(c):
@@ -443,29 +464,34 @@ def _clip_sql(c):
     return f"greatest({low}, least({high}, {c}))"
 
 
+LEARNED = {
+    **{name: f"coalesce({name}, 0)" for name in WINDOWED},
+    **{c: _clip_sql(c) for c in ("pm2_5", "co", "o3")},
+    "temperature": "greatest(-10, least(50, temperature))",
+    **{f"target_aqi_{h}h": f"t{h}" for h in fixed.HORIZONS},
+}
+
+
 @query(
     "training_table",
     using(
         "numbered",
-        f"""SELECT station_id, ts, {r(_clip_sql('pm2_5'))} AS pm2_5, {r(_clip_sql('co'))} AS co,
-        {r('greatest(-10, least(50, temperature))')} AS temperature, {r('coalesce(f_lag, 0)')} AS pm2_5_lag_24h,
-        {r('f_mean')} AS o3_72h_mean, {r('coalesce(f_std, 0)')} AS no2_36h_std,
-        {', '.join(f'{r(f"t{h}")} AS target_aqi_{h}h' for h in fixed.HORIZONS)}
-        FROM wide JOIN fences USING (station_id) JOIN cuts_at USING (station_id)
-        WHERE (cut <= 1 OR pos <= cut) AND t24 IS NOT NULL AND t48 IS NOT NULL AND t72 IS NOT NULL""",
+        summed_sql("learned", LEARNED),
         leads=LEADS,
         cuts_at=CUTS,
-        wide="SELECT n.*, l.t24, l.t48, l.t72, lag(pm2_5, 24) OVER (PARTITION BY n.station_id ORDER BY n.ts) AS f_lag, "
-        "avg(o3) OVER (PARTITION BY n.station_id ORDER BY n.ts ROWS BETWEEN 71 PRECEDING AND CURRENT ROW) AS f_mean, "
-        "stddev_samp(no2) OVER (PARTITION BY n.station_id ORDER BY n.ts ROWS BETWEEN 35 PRECEDING AND CURRENT ROW) AS f_std "
-        "FROM numbered n JOIN leads l ON n.station_id = l.station_id AND n.ts = l.ts",
-        fences="SELECT station_id, quantile_cont(pm2_5, 0.25) AS a_pm2_5, quantile_cont(pm2_5, 0.75) AS b_pm2_5, "
-        "quantile_cont(co, 0.25) AS a_co, quantile_cont(co, 0.75) AS b_co FROM numbered GROUP BY 1",
+        windows="SELECT station_id, ts, " + ", ".join(f"{e} AS {n}" for n, e in WINDOWED.items()) + " FROM numbered",
+        wide="SELECT n.station_id, n.ts, n.pos, n.pm2_5, n.co, n.o3, n.temperature, l.t24, l.t48, l.t72, w.* EXCLUDE (station_id, ts) FROM numbered n "
+        "JOIN leads l ON n.station_id = l.station_id AND n.ts = l.ts JOIN windows w ON n.station_id = w.station_id AND n.ts = w.ts",
+        fences="SELECT station_id, "
+        + ", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in ("pm2_5", "co", "o3"))
+        + " FROM numbered GROUP BY 1",
+        learned="SELECT station_id, " + ", ".join(f"({e})::DOUBLE AS {n}" for n, e in LEARNED.items()) + """ FROM wide JOIN fences USING (station_id)
+        JOIN cuts_at USING (station_id) WHERE (cut <= 1 OR pos <= cut) AND t24 IS NOT NULL AND t48 IS NOT NULL AND t72 IS NOT NULL""",
     ),
 )
 def _(spark, sf):
-    out = training.training_table(frames.dense_hourly(spark, sf))
-    return out.select(*KEY, "pm2_5", "co", "temperature", "pm2_5_lag_24h", "o3_72h_mean", "no2_36h_std", *fixed.TARGETS)
+    """Every window feature, clipped sources and the targets, over every row."""
+    return summed(training.training_table(frames.dense_hourly(spark, sf)), list(LEARNED))
 
 
 @query(
