@@ -169,6 +169,8 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", most_bytes
     place = F.struct(-F.col("length"), F.col("id").isNull(), "id", "row")
     groups = again.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("group_size"))
     groups = groups.select("digest", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size")
+    # written, so that both sides of the join are dealt out for it alone and a very large group can be split
+    groups = stored(groups, "groups")
     judged = again.join(groups, "digest").select(
         F.col("id").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"
     )
