@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hourloom.catalog.base import query
 from hourloom.catalog.sql import r, rounded, using
 from hourloom.functions import fixed
-from hourloom.models import baseline, forecast, neighbours, regressors, selection
+from hourloom.models import baseline, focus, forecast, neighbours, regressors, search, selection, series_fit
 from hourloom.models.registry import Registry, gate
 from hourloom.operators import layout, metrics, profiles, splits, stats
 from hourloom.plans import daily, training
@@ -175,21 +175,59 @@ def _trials(spark, sf):
 
 @query("tune_top_k")
 def _(spark, sf):
-    """The best tree-like and linear candidates are refitted over a small grid each."""
+    """The three best models are searched around, over ranges, by successive halving."""
     rows, predictions = _trials(spark, sf)
-    best = metrics.top_models(regressors.leaderboard(predictions), 2).select("model").collect()
     spaces = {
-        "ols": (lambda t, **o: regressors.linear(t, **o), {"regParam": [0.0, 0.01]}),
-        "lasso": (lambda t, **o: regressors.linear(t, elasticNetParam=1.0, **o), {"regParam": [0.1, 0.5]}),
-        "tree": (lambda t, **o: regressors.tree_family(t, **o)["tree"], {"depth": [3, 5]}),
+        "ols": (lambda t, **o: regressors.linear(t, **o), {"regParam": search.LogUniform(1e-4, 10.0)}),
+        "lasso": (lambda t, **o: regressors.linear(t, elasticNetParam=1.0, **o), {"regParam": search.LogUniform(1e-3, 10.0)}),
+        "tree": (lambda t, **o: regressors.tree_family(t, **o)["tree"], {"depth": search.Integer(3, 12), "leaf": search.Integer(1, 10)}),
     }
-    out = None
-    for row in best:
-        make, space = spaces[row.model]
-        part = regressors.param_search(rows, FEATURES, LABEL, make, regressors.grid(space))[2]
-        part = part.withColumn("model", F.lit(row.model))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return search.tune_top(rows, FEATURES, LABEL, predictions, spaces, k=3, n=4)[2]
+
+
+PER_SERIES = ["temperature", "wind_speed"]
+
+
+@query(
+    "linear_per_series",
+    using(
+        "users",
+        f"""SELECT station_id, n, {r('my - b1 * m1 - b2 * m2')} AS intercept, {r('b1')} AS temperature, {r('b2')} AS wind_speed,
+        {r('CASE WHEN vy > 0 THEN (2 * (b1 * c1 + b2 * c2) - (b1 * b1 * v1 + 2 * b1 * b2 * c12 + b2 * b2 * v2)) / vy END')} AS r2
+        FROM (SELECT *, CASE WHEN v1 > 0 THEN (c1 - c12 * b2) / v1 ELSE 0 END AS b1 FROM second) WHERE n >= 10""",
+        sums="""SELECT station_id, count(*) AS n, avg(temperature) AS m1, avg(wind_speed) AS m2, avg(pm10) AS my,
+        var_pop(temperature) AS v1, var_pop(wind_speed) AS v2, var_pop(pm10) AS vy, covar_pop(temperature, wind_speed) AS c12,
+        covar_pop(temperature, pm10) AS c1, covar_pop(wind_speed, pm10) AS c2 FROM users GROUP BY 1""",
+        first="""SELECT *, CASE WHEN v1 > 0 THEN v2 - c12 * c12 / v1 ELSE v2 END AS u, CASE WHEN v1 > 0 THEN c2 - c12 * c1 / v1 ELSE c2 END AS t FROM sums""",
+        second="SELECT *, CASE WHEN u > 1e-10 * v2 THEN t / u ELSE 0 END AS b2 FROM first",
+    ),
+)
+def _(spark, sf):
+    """A model for each user's series, all from one aggregate."""
+    return series_fit.fit_per_series(frames.user_hourly(spark, sf), PER_SERIES, "pm10").where("n >= 10")
+
+
+@query(
+    "focus_weighted_fit",
+    using(
+        "numbered",
+        f"""SELECT {r('slope')} AS slope, {', '.join(r(f'max(my - slope * mx) FILTER (h = {h})') + f' AS intercept_{h}' for h in fixed.HORIZONS)}
+        FROM by_horizon, (SELECT sum(w * sxy) / sum(w * sxx) AS slope FROM by_horizon) GROUP BY slope""",
+        led="SELECT *, " + ", ".join(f"lead(numerical_aqi, {h}) OVER {BY} AS t{h}" for h in fixed.HORIZONS) + f", {SPLIT} AS split FROM numbered",
+        long=" UNION ALL ".join(f"SELECT {h} AS h, pm2_5 AS x, t{h}::DOUBLE AS y FROM led WHERE split = 'train' AND t{h} IS NOT NULL" for h in fixed.HORIZONS),
+        by_horizon=f"""SELECT h, CASE WHEN h = 48 THEN {focus.FOCUS_WEIGHT} ELSE 1 END AS w, avg(x) AS mx, avg(y) AS my,
+        covar_pop(x, y) * count(*) AS sxy, var_pop(x) * count(*) AS sxx FROM long GROUP BY 1""",
+    ),
+)
+def _(spark, sf):
+    """Least squares over all horizons with the errors of the 48 h one counted twice."""
+    rows = cut_lineage(splits.temporal_split(splits.future_targets(frames.indexed(spark, sf))), "led")
+    _, model, columns, _, _ = focus.focused_fit(rows, ["pm2_5"], 48, {"ols": regressors.linear(focus.LABEL)})
+    fitted = model.stages[-1]
+    slope, *rest = (float(c) for c in fitted.coefficients)
+    first = float(fitted.intercept)
+    names = ", ".join(f"intercept_{h} double" for h in fixed.HORIZONS)
+    return spark.createDataFrame([(slope, first, *(first + c for c in rest))], f"slope double, {names}")
 
 
 @query("linear_blend")
