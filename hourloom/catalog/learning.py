@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from hourloom.catalog.base import query
+from hourloom.catalog.series import LEADS, clip_sql
 from hourloom.catalog.sql import r, rounded, using
 from hourloom.functions import fixed
-from hourloom.models import baseline, focus, forecast, neighbours, regressors, search, selection, series_fit
+from hourloom.models import attribution, baseline, focus, forecast, neighbours, regressors, search, selection, series_fit
 from hourloom.models.registry import Registry, gate
 from hourloom.operators import layout, metrics, profiles, splits, stats
 from hourloom.plans import daily, training
@@ -72,13 +73,20 @@ def _(spark, sf):
     return out.select(*KEY, "split", scaled.alias("scaled"), (scaled * scale + F.col("_s.pm10_mean")).alias("restored"))
 
 
-@query("assemble_features")
+ASSEMBLED = ["pm2_5", "pm10", "o3"]
+
+
+@query(
+    "assemble_features",
+    using("dense", " UNION ALL ".join(f"SELECT station_id, ts, {i} AS place, {r(c)} AS value FROM dense" for i, c in enumerate(ASSEMBLED))),
+)
 def _(spark, sf):
+    """The vectors that the learners see, component by component."""
     from pyspark.ml.functions import vector_to_array
 
-    rows = regressors.prepared(frames.dense_hourly(spark, sf), ["pm2_5", "pm10", "o3"])
-    out = regressors.assemble(["pm2_5", "pm10", "o3"]).transform(rows)
-    return out.select(*KEY, vector_to_array("features").alias("features"))
+    rows = regressors.prepared(frames.dense_hourly(spark, sf), ASSEMBLED)
+    out = regressors.assemble(ASSEMBLED).transform(rows)
+    return out.select(*KEY, F.posexplode(vector_to_array("features")).alias("place", "value"))
 
 
 @query(
@@ -259,6 +267,61 @@ def _(spark, sf):
     return forecast.forecast_latest(everything, FEATURES, models)
 
 
+@query(
+    "forecast_one_feature",
+    using(
+        "numbered",
+        f"""SELECT station_id, ts AS base_timestamp, ts + to_hours(horizon) AS target_timestamp, horizon, {r('intercept + slope * x')} AS prediction
+        FROM newest, fits""",
+        leads=LEADS,
+        fences="SELECT station_id, quantile_cont(pm2_5, 0.25) AS a_pm2_5, quantile_cont(pm2_5, 0.75) AS b_pm2_5 FROM numbered GROUP BY 1",
+        ready=f"""SELECT n.station_id, n.ts, {clip_sql('pm2_5')} AS x, t24, t48, t72 FROM numbered n JOIN leads l ON n.station_id = l.station_id
+        AND n.ts = l.ts JOIN fences f ON f.station_id = n.station_id""",
+        placed="SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY ts) AS pos, count(*) OVER (PARTITION BY station_id) AS len FROM ready "
+        "WHERE t24 IS NOT NULL AND t48 IS NOT NULL AND t72 IS NOT NULL",
+        fits=" UNION ALL ".join(
+            f"SELECT {h} AS horizon, regr_slope(t{h}, x) AS slope, regr_intercept(t{h}, x) AS intercept FROM placed WHERE pos <= floor(len * 0.6::DOUBLE)"
+            for h in fixed.HORIZONS
+        ),
+        newest="SELECT station_id, max(ts) AS ts, arg_max(x, ts) AS x FROM ready GROUP BY 1",
+    ),
+)
+def _(spark, sf):
+    """From hourly rows to forecasts with a closed form: least squares on one cleaned column, per horizon."""
+    everything = daily.learning_table(frames.dense_hourly(spark, sf), ["pm2_5"], trim=False)
+    models = regressors.per_horizon(everything.where("split <> 'latest'"), ["pm2_5"], regressors.linear)
+    return forecast.forecast_latest(everything, ["pm2_5"], models)
+
+
+BLENDED = ["carry", "carry_day"]
+
+
+@query(
+    "blend_persistence",
+    using(
+        "predictions",
+        f"""SELECT station_id, ts, {r('y')} AS y, {r('my + b1 * (p1 - m1) + b2 * (p2 - m2)')} AS p FROM wide, weights WHERE split = 'test'""",
+        wide="""SELECT a.station_id, a.ts, a.split, a.y, a.p AS p1, b.p AS p2 FROM predictions a JOIN predictions b ON a.station_id = b.station_id
+        AND a.ts = b.ts AND a.horizon = 24 AND b.horizon = 24 AND a.model = 'carry' AND b.model = 'carry_day'""",
+        sums="""SELECT avg(p1) AS m1, avg(p2) AS m2, avg(y) AS my, var_pop(p1) AS v1, var_pop(p2) AS v2, covar_pop(p1, p2) AS c12,
+        covar_pop(p1, y) AS c1, covar_pop(p2, y) AS c2 FROM wide WHERE split = 'validation'""",
+        weights="SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2 FROM sums",
+    ),
+)
+def _(spark, sf):
+    """Two persistence forecasts blended with weights from the validation rows."""
+    known = frames.naive_predictions(spark, sf).where("horizon = 24")
+    return regressors.linear_blend(known, BLENDED)[2].select(*KEY, "y", "p")
+
+
+@query("feature_attribution")
+def _(spark, sf):
+    """Mean size of each feature's share in the predictions of a boosted model, over all rows."""
+    rows = table(spark, sf)
+    model = regressors.train_one(small_boost(LABEL), rows, FEATURES)
+    return attribution.mean_attribution(model, rows, FEATURES, KEY)
+
+
 @query("write_forecast")
 def _(spark, sf):
     everything = table(spark, sf, trim=False)

@@ -459,14 +459,14 @@ def _(spark, sf):
     return summed(features.build_features(frames.user_hourly(spark, sf)), [*WINDOWED, *ROWWISE])
 
 
-def _clip_sql(c):
+def clip_sql(c):
     low, high = f"a_{c} - 1.5 * (b_{c} - a_{c})", f"b_{c} + 1.5 * (b_{c} - a_{c})"
     return f"greatest({low}, least({high}, {c}))"
 
 
 LEARNED = {
     **{name: f"coalesce({name}, 0)" for name in WINDOWED},
-    **{c: _clip_sql(c) for c in ("pm2_5", "co", "o3")},
+    **{c: clip_sql(c) for c in ("pm2_5", "co", "o3")},
     "temperature": "greatest(-10, least(50, temperature))",
     **{f"target_aqi_{h}h": f"t{h}" for h in fixed.HORIZONS},
 }
