@@ -36,7 +36,7 @@ def best_count(vocabulary: Vocabulary, unit: str) -> tuple[float, int]:
         best, count = None, 0
         if not alone[end]:
             ends[end].append((1, -1))
-        for length, piece in sorted(ends[end], reverse=True):  # longest first: the earliest start wins a tie
+        for length, piece in ends[end]:  # the automaton names the longest first, so the earliest start wins a tie
             before = end + 1 - length
             if piece < 0:
                 value, more = score[before] + vocabulary.unknown, len(unit[end].encode("utf-8"))
@@ -48,18 +48,36 @@ def best_count(vocabulary: Vocabulary, unit: str) -> tuple[float, int]:
     return score[n], tokens[n]
 
 
+class Results:
+    """Scores and token numbers of the units in a table, as arrays that grow with it: a block adds only what is new."""
+
+    def __init__(self):
+        self.score, self.tokens, self.n = np.zeros(1024), np.zeros(1024, np.int64), 0
+
+    def of(self, found: list) -> tuple[np.ndarray, np.ndarray]:
+        if len(found) < self.n:  # the table began anew
+            self.n = 0
+        if len(found) > len(self.score):
+            size = max(2 * len(self.score), len(found))
+            self.score, self.tokens = np.resize(self.score, size), np.resize(self.tokens, size)
+        if len(found) > self.n:
+            self.score[self.n : len(found)], self.tokens[self.n : len(found)] = zip(*found[self.n :])
+            self.n = len(found)
+        return self.score, self.tokens
+
+
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, best_score for every row of (doc_id, text)."""
 
     def counted(batches):
         vocabulary = Vocabulary(model)
-        table = UnitTable(lambda unit: best_count(vocabulary, unit))
+        table, results = UnitTable(lambda unit: best_count(vocabulary, unit)), Results()
         for batch in batches:
             for block in unit_blocks(batch.column("text")):
                 slots = table.of(block)
-                score, tokens = (np.array(x) for x in zip(*table.found)) if table.found else (np.zeros(0),) * 2
+                score, tokens = results.of(table.found)
                 edges = np.concatenate([[0], np.cumsum(block.counts)])
-                upto = [np.concatenate([[0], np.cumsum(x[slots])]) for x in (score, tokens.astype(np.int64))]
+                upto = [np.concatenate([[0], np.cumsum(x[slots])]) for x in (score, tokens)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column("doc_id").slice(block.lo, block.hi - block.lo),
