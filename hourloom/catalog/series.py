@@ -577,7 +577,7 @@ FOLLOWED_FEATURES = {
     ),
 )
 def _(spark, sf):
-    out = followed(spark, sf, incremental.refresh_features)
+    out = followed(spark, sf, lambda master, derived: incremental.refresh_features(master, derived, set(FOLLOWED_FEATURES)))
     return out.select(*KEY, *FOLLOWED_FEATURES, F.col("batch_seq").alias("written_in"))
 
 

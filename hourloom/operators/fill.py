@@ -11,12 +11,12 @@ from hourloom.operators.layout import KEYS, LEN, POS, TIME
 
 
 def with_neighbours(
-    df: DataFrame, columns: list[str], keys=KEYS, ts: str = TIME, rows: int = layout.BLOCK_ROWS
+    df: DataFrame, columns: list[str], keys=KEYS, ts: str = TIME, rows: int = layout.BLOCK_ROWS, cell_seconds: int = layout.CELL_SECONDS
 ) -> DataFrame:
     """Add ``_prev_c`` and ``_next_c``: the nearest non-null (position, value) at or before /
     at or after each row, and the row position where it is still missing.
 
-    A series is cut into blocks: of positions if the rows have them, of time otherwise.
+    A series is cut into blocks: of positions if the rows have them, of ``cell_seconds`` otherwise.
     Inside a block this is a window. Across blocks, each block reports its row count and
     its first and last value per column (one row per block), which are carried along the
     series and joined back by (series, block). The rows themselves are shuffled once.
@@ -25,7 +25,7 @@ def with_neighbours(
     if placed:
         ranked = df.withColumn("_block", layout.block_of(F.col(POS), rows)).withColumn("_rank", F.col(POS))
     else:
-        cell = F.floor(F.unix_timestamp(ts) / F.lit(layout.CELL_SECONDS))
+        cell = F.floor(F.unix_timestamp(ts) / F.lit(cell_seconds))
         in_cell = Window.partitionBy(*keys, "_block").orderBy(ts)
         celled = df.where(F.col(ts).isNotNull()).withColumn("_block", cell)
         ranked = celled.withColumn("_rank", F.row_number().over(in_cell).cast("bigint"))
@@ -96,18 +96,18 @@ def interpolated(c: str) -> Column:
     return F.coalesce(F.col(c), F.when(n.isNull(), p["value"]).when(n["pos"] > p["pos"], between))
 
 
-def _apply(df, columns, expression, keys, ts, keep_position):
-    out = with_neighbours(df, columns, keys, ts)
+def _apply(df, columns, expression, keys, ts, keep_position, cell_seconds=layout.CELL_SECONDS):
+    out = with_neighbours(df, columns, keys, ts, cell_seconds=cell_seconds)
     out = drop_neighbours(out.withColumns({c: expression(c) for c in columns}), columns)
     return out if keep_position else out.drop(POS, LEN)
 
 
-def ffill_bfill(df, columns, keys=KEYS, ts=TIME, keep_position=False) -> DataFrame:
-    return _apply(df, columns, filled, keys, ts, keep_position)
+def ffill_bfill(df, columns, keys=KEYS, ts=TIME, keep_position=False, cell_seconds=layout.CELL_SECONDS) -> DataFrame:
+    return _apply(df, columns, filled, keys, ts, keep_position, cell_seconds)
 
 
-def interpolate_linear(df, columns, keys=KEYS, ts=TIME, keep_position=False) -> DataFrame:
-    return _apply(df, columns, interpolated, keys, ts, keep_position)
+def interpolate_linear(df, columns, keys=KEYS, ts=TIME, keep_position=False, cell_seconds=layout.CELL_SECONDS) -> DataFrame:
+    return _apply(df, columns, interpolated, keys, ts, keep_position, cell_seconds)
 
 
 def fill_constant(df: DataFrame, skip=()) -> DataFrame:
@@ -134,7 +134,7 @@ def refill_derived(df: DataFrame, ts: str = TIME) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), e) for c, e in source.items() if c in df.columns})
 
 
-def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME, skip=()) -> DataFrame:
+def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME, skip=(), cell_seconds: int = layout.CELL_SECONDS) -> DataFrame:
     """Fill every column by its group; the index itself and its targets stay as they are.
 
     pollutants: forward then backward; weather: linear; precipitation 0; wind speed and pressure: series median; calendar: recomputed;
@@ -148,7 +148,7 @@ def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME, skip=()) -> DataFr
     if middle:
         out = stats.fill_median(out, middle, keys)
     if carry or linear:
-        out = with_neighbours(out, carry + linear, keys, ts)
+        out = with_neighbours(out, carry + linear, keys, ts, cell_seconds=cell_seconds)
         values = {c: filled(c) for c in carry} | {c: interpolated(c) for c in linear}
         out = drop_neighbours(out.withColumns(values), carry + linear)
         if POS not in df.columns:

@@ -29,35 +29,47 @@ def nearest_in_time(
     tolerance_seconds: int = 3600,
     keys=KEYS,
     ts: str = TIME,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
     """For each probe time the reading closest in time, if nearer than the tolerance.
 
-    No pairs are formed. Distinct probe times and readings are merged into one
-    time-ordered stream per (series, bucket of the tolerance); each probe looks at the
-    last reading before and the first one after it. Readings are copied to the two adjacent
-    buckets, so a bucket sees everything within reach. The earlier one wins a tie.
+    No pairs are formed, and no reading is copied. Distinct probe times and readings are merged into one time-ordered
+    stream per (series, bucket of time); each probe looks at the last reading before and the first one after it. What
+    lies in other buckets is known from their edges: the first and last reading of each bucket, combined in the map
+    tasks, are carried along the series, one row for each bucket. Buckets are as long as the tolerance unless
+    ``bucket_seconds`` says otherwise; shorter ones split an hour with very many readings. The earlier reading wins a tie.
     Values must be unique per reading time (run ``keep_last`` first).
     """
-    bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit(tolerance_seconds * 1_000_000))
+    bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit((bucket_seconds or tolerance_seconds) * 1_000_000))
     body = F.struct(F.col(ts).alias("at"), *[F.col(v) for v in values])
-    asked = probes.select(*keys, ts).distinct().select(
-        *keys, ts, bucket.alias("_b"), F.lit(None).cast(_struct_type(readings, ts, values)).alias("_v")
-    )
-    spread = readings.select(*keys, ts, body.alias("_v"), bucket.alias("_own")).select(
-        *keys, ts, F.explode(F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)).alias("_b"), "_v"
+    none = F.lit(None).cast(_struct_type(readings, ts, values))
+    asked = probes.select(*keys, ts).distinct().select(*keys, ts, bucket.alias("_b"), none.alias("_v"))
+    merged = asked.unionByName(readings.select(*keys, ts, bucket.alias("_b"), body.alias("_v")))
+
+    read = F.when(F.col("_v").isNotNull(), F.col(ts))
+    edges = merged.groupBy(*keys, "_b").agg(F.max_by("_v", read).alias("_last"), F.min_by("_v", read).alias("_first"))
+    strictly, so_far = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
+    ago = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*strictly)
+    to_come = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(*strictly)
+    carried = edges.select(
+        *keys,
+        "_b",
+        F.last("_last", ignorenulls=True).over(ago).alias("_in"),
+        F.last("_first", ignorenulls=True).over(to_come).alias("_out"),
     )
-    merged = asked.unionByName(spread)
     bucketed = Window.partitionBy(*keys, "_b")
-    so_far = (Window.unboundedPreceding, 0)
     earlier = bucketed.orderBy(F.unix_micros(ts)).rangeBetween(*so_far)
     later = bucketed.orderBy(F.unix_micros(ts).desc()).rangeBetween(*so_far)
     near = merged.select(
         *keys,
+        "_b",
         ts,
         F.col("_v").isNull().alias("_asked"),
         F.last("_v", ignorenulls=True).over(earlier).alias("_p"),
         F.last("_v", ignorenulls=True).over(later).alias("_n"),
     ).where("_asked")
+    near = near.join(carried, [*keys, "_b"])
+    near = near.withColumns({"_p": F.coalesce("_p", "_in"), "_n": F.coalesce("_n", "_out")})
     before = F.unix_micros(ts) - F.unix_micros("_p.at")
     after = F.unix_micros("_n.at") - F.unix_micros(ts)
     pick = F.when(F.col("_n").isNull() | (before <= after), F.col("_p")).otherwise(F.col("_n"))

@@ -33,16 +33,17 @@ def with_position(
     ts: str = TIME,
     tie: tuple = (),
     cell: Column | None = None,
+    cell_seconds: int = CELL_SECONDS,
 ) -> DataFrame:
     """Add the 1-based row position ``_pos`` within the series and its length ``_len``.
 
     Rows are ranked inside (series, time cell) only. The rows before each cell come from
     cell counts, which are aggregated map-side and are tiny next to the data: a month
-    of hourly rows makes one count. ``cell`` must grow with the order; pass a finer one
-    for series denser than hourly. Rows without a time have no position and are
+    of hourly rows makes one count. Pass shorter ``cell_seconds`` for series denser than hourly
+    (3600 for one row a second), or a ``cell`` that grows with the order. Rows without a time have no position and are
     left out (as a series read drops rows with an invalid time).
     """
-    cell = cell if cell is not None else F.floor(F.unix_timestamp(ts) / F.lit(CELL_SECONDS))
+    cell = cell if cell is not None else F.floor(F.unix_timestamp(ts) / F.lit(cell_seconds))
     celled = df.where(F.col(ts).isNotNull()).withColumn("_cell", cell)
     counts = celled.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = _running(keys, "_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +79,7 @@ def block_of(pos: Column, rows: int = BLOCK_ROWS) -> Column:
 
 
 def in_blocks(
-    df: DataFrame, back: int, ahead: int = 0, keys=KEYS, ts: str = TIME, rows: int = BLOCK_ROWS
+    df: DataFrame, back: int, ahead: int = 0, keys=KEYS, ts: str = TIME, rows: int = BLOCK_ROWS, cell_seconds: int = CELL_SECONDS
 ) -> Blocks:
     """Lay a series out in blocks whose halo covers ``back`` rows before and ``ahead`` after.
 
@@ -87,7 +88,7 @@ def in_blocks(
     """
     rows = max(rows, back, ahead)
     if POS not in df.columns:
-        df = with_position(df, keys, ts)
+        df = with_position(df, keys, ts, cell_seconds=cell_seconds)
     own = block_of(F.col(POS), rows)
     offset = F.pmod(F.col(POS) - 1, F.lit(rows))
     last = block_of(F.col(LEN), rows)
@@ -114,12 +115,13 @@ def over_series(
     ts: str = TIME,
     rows: int = BLOCK_ROWS,
     keep_position: bool = False,
+    cell_seconds: int = CELL_SECONDS,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``back`` rows back and ``ahead`` ahead.
 
     All columns go into one ``select``, so Spark plans one exchange and one sort for them.
     """
-    blocks = in_blocks(df, back, ahead, keys, ts, rows)
+    blocks = in_blocks(df, back, ahead, keys, ts, rows, cell_seconds)
     out = blocks.native(blocks.df.withColumns(columns(blocks.window)))
     return out if keep_position else out.drop(POS, LEN)
 

@@ -4,7 +4,7 @@ Each block keeps running sums of every column: the number of values, their sum,
 products with the position. A window of n rows is the running sums now less those n rows ago, so all windows of all
 columns need one lag of one packed array for each length, where a sliding frame would add up n rows for each of them.
 
-Differences of running sums lose digits, so the sums here lose none: values are taken about the mean of the block, and
+Differences of running sums lose digits, so the sums here lose none: values are taken about the median of the block, and
 every term is split into a multiple of a power of two, coarse enough that such sums are exact in doubles, and a small
 rest. A value far off the others then disturbs only the windows that hold it. That a window is constant is told by
 counting, not by a difference that should be zero.
@@ -48,7 +48,7 @@ def with_windows(df: DataFrame, w: WindowSpec, specs: dict[str, Spec]) -> DataFr
     about = {"_rows": F.count(F.lit(1)).over(whole)}
     for c in summed:
         value = F.col(c).cast("double")
-        about |= {f"_m_{c}": F.avg(value).over(whole), f"_lo_{c}": F.min(value).over(whole), f"_hi_{c}": F.max(value).over(whole)}
+        about |= {f"_m_{c}": F.percentile_approx(value, 0.5, 100).over(whole), f"_lo_{c}": F.min(value).over(whole), f"_hi_{c}": F.max(value).over(whole)}
         about[f"_n_{c}"] = F.count(value).over(so_far)
     about |= {f"_was_{c}": F.last(c, ignorenulls=True).over(before) for c in spread}
     df = df.withColumns(about)

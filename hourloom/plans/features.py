@@ -58,9 +58,12 @@ def window_feature_specs(columns: list[str], only=None) -> dict[str, running.Spe
     return {name: spec for name, spec in out.items() if only is None or name in only}
 
 
-def build_features(df: DataFrame, keys=layout.KEYS, ts=layout.TIME, keep_position=False) -> DataFrame:
-    """All features in one pass over the block layout: one exchange, one sort."""
+def build_features(
+    df: DataFrame, keys=layout.KEYS, ts=layout.TIME, keep_position=False, cell_seconds: int = layout.CELL_SECONDS, only=None
+) -> DataFrame:
+    """All features in one pass over the block layout: one exchange, one sort. ``only`` names the window features to
+    build when not all of them are wanted."""
     clean = guards.drop_leakage(df)
-    blocks = layout.in_blocks(clean.withColumns(row_features(clean, ts)), REACH, 0, keys, ts)
-    out = blocks.native(running.with_windows(blocks.df, blocks.window, window_feature_specs(clean.columns)))
+    blocks = layout.in_blocks(clean.withColumns(row_features(clean, ts)), REACH, 0, keys, ts, cell_seconds=cell_seconds)
+    out = blocks.native(running.with_windows(blocks.df, blocks.window, window_feature_specs(clean.columns, only)))
     return out if keep_position else out.drop(layout.POS, layout.LEN)

@@ -82,6 +82,6 @@ def refresh_index(master: VersionedTable, derived: VersionedTable) -> int:
     return refresh(master, derived, index.compute_index, index.REACH)
 
 
-def refresh_features(master: VersionedTable, derived: VersionedTable) -> int:
-    """PL3 on what changed: windows, lags and trends reach 72 rows back."""
-    return refresh(master, derived, features.build_features, features.REACH)
+def refresh_features(master: VersionedTable, derived: VersionedTable, only=None) -> int:
+    """PL3 on what changed: windows, lags and trends reach 72 rows back. ``only`` names the window features kept."""
+    return refresh(master, derived, lambda rows: features.build_features(rows, master.keys, master.ts, only=only), features.REACH)

@@ -1,4 +1,6 @@
+import math
 import random
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
@@ -6,8 +8,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hourloom.operators import fill, layout, rolling, splits, upsert
+from hourloom.operators import fill, layout, rolling, running, splits, upsert
 from hourloom.plans import features, training
+from tests.conftest import START
 
 
 def noise(n, seed=1, missing=0.0):
@@ -158,3 +161,53 @@ def test_features_are_complete_and_training_is_trimmed(spark):
     assert table.count() == 200 - 72
     assert table.agg(F.max("temperature")).first()[0] <= 50.0
     assert table.select([F.sum(F.col(c).isNull().cast("int")) for c in table.columns]).first().count(0) == len(table.columns)
+
+
+def test_a_row_a_second_in_short_cells(spark):
+    """Positions, windows and fills of dense series with cells of an hour equal those with cells of a month."""
+    rows = spark.range(9000).select(
+        F.lit("a").alias("station_id"),
+        F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"),
+        F.when(F.col("id") % 7 > 0, (F.hash("id") % 100).cast("double")).alias("v"),
+    ).repartition(5)
+    mean = lambda w: {"m": rolling.rolling_mean("v", 50, w)}
+    for run in (
+        lambda c: layout.over_series(rows, mean, back=49, keep_position=True, cell_seconds=c),
+        lambda c: fill.ffill_bfill(rows, ["v"], cell_seconds=c),
+        lambda c: fill.interpolate_linear(rows, ["v"], cell_seconds=c),
+    ):
+        short, long = (sorted(map(str, run(c).collect())) for c in (600, layout.CELL_SECONDS))
+        assert short == long
+
+
+def test_windows_from_running_sums_equal_sliding_frames(spark):
+    """Large offsets, an outlier far off all others, constant stretches, missing values and a hot station."""
+    rnd = random.Random(3)
+    rows = []
+    for g, n in (("hot", 5000), ("short", 5), ("one", 1)):
+        for i in range(n):
+            offset = None if rnd.random() < 0.03 else 1e6 + rnd.gauss(0, 1)
+            spiky = 1e9 if i == 700 else rnd.gauss(5, 2)
+            steps = float(i // 90) if i % 11 else None
+            rows.append((g, START + timedelta(hours=i), offset, spiky, steps))
+    df = spark.createDataFrame(rows, "station_id string, ts timestamp, offset double, spiky double, steps double")
+    columns, sizes = ("offset", "spiky", "steps"), (6, 24, 72)
+    specs = {f"{c}_{n}_{k}": (k, c, n) for c in columns for n in sizes for k in ("mean", "std", "trend", "max", "lag", "change")}
+    frames = {"mean": rolling.rolling_mean, "std": rolling.rolling_std, "trend": rolling.rolling_trend, "max": rolling.rolling_max}
+    frames |= {"lag": rolling.lag, "change": rolling.change}
+    blocks = layout.in_blocks(df, back=72)
+    got = blocks.native(running.with_windows(blocks.df, blocks.window, specs))
+    want = layout.over_series(df, lambda w: {name: frames[k](c, n, w) for name, (k, c, n) in specs.items()}, back=72)
+    a, b = ({(r.station_id, r.ts): r.asDict() for r in x.select("station_id", "ts", *specs).collect()} for x in (got, want))
+    assert a.keys() == b.keys() and len(a) == 5006
+    plain = {(g, t): (o, s, p) for g, t, o, s, p in rows}
+    for key, row in b.items():
+        for name, value in row.items():
+            if name in ("station_id", "ts"):
+                continue
+            own = a[key][name]
+            assert (own is None) == (value is None), (key, name, own, value)
+            if value is not None:
+                near = 1e-6 * max(1.0, abs(value))
+                assert math.isclose(own, value, abs_tol=near), (key, name, own, value, plain[key])
+    assert all(r["steps_6_std"] in (None, 0.0) or r["steps_6_std"] > 1e-3 for r in a.values())

@@ -64,14 +64,15 @@ def test_constant_columns(spark):
     assert [tuple(r) for r in stats.histogram(df, "v", 5).collect()] == [(1, 2)]
 
 
-def test_nearest_equals_brute_force(spark):
+@pytest.mark.parametrize("bucket", [None, 60, 100_000])
+def test_nearest_equals_brute_force(spark, bucket):
     rnd = random.Random(8)
     t0 = datetime(2024, 1, 1)
     reads = sorted({rnd.randrange(0, 200_000, 10) for _ in range(150)})
     asks = sorted({rnd.randrange(0, 200_000, 5) for _ in range(200)})
     given = spark.createDataFrame([("a", t0 + timedelta(seconds=s), float(s)) for s in reads], "station_id string, ts timestamp, v double")
     probes = spark.createDataFrame([("a", t0 + timedelta(seconds=s), s) for s in asks], "station_id string, ts timestamp, s int")
-    got = {r.s: r.v for r in joins.nearest_in_time(probes, given, ["v"]).collect()}
+    got = {r.s: r.v for r in joins.nearest_in_time(probes, given, ["v"], bucket_seconds=bucket).collect()}
     assert len(got) == len(asks)
     for s in asks:
         best = min(reads, key=lambda x: (abs(x - s), x))
