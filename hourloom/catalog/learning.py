@@ -267,30 +267,54 @@ def _(spark, sf):
     return forecast.forecast_latest(everything, FEATURES, models)
 
 
+# From hourly rows to least squares on one cleaned column, per horizon: what the closed forms share.
+LEAD_COLUMNS = ", ".join(f"t{h}" for h in fixed.HORIZONS)
+ONE_FEATURE = dict(
+    leads=LEADS,
+    fences="SELECT station_id, quantile_cont(pm2_5, 0.25) AS a_pm2_5, quantile_cont(pm2_5, 0.75) AS b_pm2_5 FROM numbered GROUP BY 1",
+    ready=f"""SELECT n.station_id, n.ts, {clip_sql('pm2_5')} AS x, {LEAD_COLUMNS} FROM numbered n JOIN leads l ON n.station_id = l.station_id
+    AND n.ts = l.ts JOIN fences f ON f.station_id = n.station_id""",
+    known="SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY ts) AS pos, count(*) OVER (PARTITION BY station_id) AS len FROM ready "
+    "WHERE " + " AND ".join(f"t{h} IS NOT NULL" for h in fixed.HORIZONS),
+    parted=f"SELECT *, {SPLIT} AS split FROM known",
+    long=" UNION ALL ".join(f"SELECT station_id, ts, pos, len, split, x, {h} AS horizon, t{h}::DOUBLE AS y FROM parted" for h in fixed.HORIZONS),
+    fits="SELECT horizon, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, avg(y) AS mean FROM long WHERE split = 'train' GROUP BY 1",
+    told="SELECT station_id, ts, pos, len, split, horizon, y, intercept + slope * x AS p, mean AS weak FROM long JOIN fits USING (horizon)",
+    newest="SELECT station_id, max(ts) AS ts, arg_max(x, ts) AS x FROM ready GROUP BY 1",
+)
+FORECAST_SQL = "SELECT station_id, ts AS base_timestamp, ts + to_hours(horizon) AS target_timestamp, horizon"
+
+
+def one_feature(spark, sf):
+    """The learning table of one cleaned column with its newest rows, and a fit for each horizon."""
+    everything = daily.learning_table(frames.dense_hourly(spark, sf), ["pm2_5"], trim=False)
+    known = everything.where("split <> 'latest'")
+    return everything, known, regressors.per_horizon(known, ["pm2_5"], regressors.linear)
+
+
 @query(
     "forecast_one_feature",
+    using("numbered", f"{FORECAST_SQL}, {r('intercept + slope * x')} AS prediction FROM newest, fits", **ONE_FEATURE),
+)
+def _(spark, sf):
+    """From hourly rows to forecasts with a closed form."""
+    everything, _, models = one_feature(spark, sf)
+    return forecast.forecast_latest(everything, ["pm2_5"], models)
+
+
+@query(
+    "backtest_one_feature",
     using(
         "numbered",
-        f"""SELECT station_id, ts AS base_timestamp, ts + to_hours(horizon) AS target_timestamp, horizon, {r('intercept + slope * x')} AS prediction
-        FROM newest, fits""",
-        leads=LEADS,
-        fences="SELECT station_id, quantile_cont(pm2_5, 0.25) AS a_pm2_5, quantile_cont(pm2_5, 0.75) AS b_pm2_5 FROM numbered GROUP BY 1",
-        ready=f"""SELECT n.station_id, n.ts, {clip_sql('pm2_5')} AS x, t24, t48, t72 FROM numbered n JOIN leads l ON n.station_id = l.station_id
-        AND n.ts = l.ts JOIN fences f ON f.station_id = n.station_id""",
-        placed="SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY ts) AS pos, count(*) OVER (PARTITION BY station_id) AS len FROM ready "
-        "WHERE t24 IS NOT NULL AND t48 IS NOT NULL AND t72 IS NOT NULL",
-        fits=" UNION ALL ".join(
-            f"SELECT {h} AS horizon, regr_slope(t{h}, x) AS slope, regr_intercept(t{h}, x) AS intercept FROM placed WHERE pos <= floor(len * 0.6::DOUBLE)"
-            for h in fixed.HORIZONS
-        ),
-        newest="SELECT station_id, max(ts) AS ts, arg_max(x, ts) AS x FROM ready GROUP BY 1",
+        f"""SELECT horizon, count(*) AS n, {r('sqrt(avg((y - p) ** 2))')} AS rmse, {r('1 - sum((y - p) ** 2) / (var_pop(y) * count(*))')} AS r2
+        FROM told WHERE len >= 6 AND pos % (len // 6) = 0 AND pos // (len // 6) <= 5 GROUP BY 1""",
+        **ONE_FEATURE,
     ),
 )
 def _(spark, sf):
-    """From hourly rows to forecasts with a closed form: least squares on one cleaned column, per horizon."""
-    everything = daily.learning_table(frames.dense_hourly(spark, sf), ["pm2_5"], trim=False)
-    models = regressors.per_horizon(everything.where("split <> 'latest'"), ["pm2_5"], regressors.linear)
-    return forecast.forecast_latest(everything, ["pm2_5"], models)
+    """Least squares of the train rows at five rolling origins of each series."""
+    _, known, models = one_feature(spark, sf)
+    return forecast.backtest_metrics(forecast.backtest(known, ["pm2_5"], models))
 
 
 BLENDED = ["carry", "carry_day"]
@@ -322,15 +346,26 @@ def _(spark, sf):
     return attribution.mean_attribution(model, rows, FEATURES, KEY)
 
 
-@query("write_forecast")
+@query(
+    "write_forecast",
+    using(
+        "numbered",
+        f"""{FORECAST_SQL}, {r('intercept + slope * x')} AS prediction,
+        md5(CAST(CAST(round(x, 6) AS DECIMAL(38, 6)) AS VARCHAR)) AS snapshot, 2::BIGINT AS n_files FROM newest, fits""",
+        **ONE_FEATURE,
+    ),
+)
 def _(spark, sf):
-    everything = table(spark, sf, trim=False)
-    known = everything.na.drop(subset=list(fixed.TARGETS))
-    models = {24: regressors.train_one(regressors.linear(LABEL), known, FEATURES)}
-    rows = forecast.forecast_latest(everything, FEATURES, models)
-    as_json, _ = sinks.write_forecast(rows, everything, FEATURES, fresh_path(spark, "forecast"))
+    """What stands in the JSON and, again, in the CSV file."""
+    everything, _, models = one_feature(spark, sf)
+    rows = forecast.forecast_latest(everything, ["pm2_5"], models)
+    as_json, as_csv = sinks.write_forecast(rows, everything, ["pm2_5"], fresh_path(spark, "forecast"))
     schema = "station_id STRING, base_timestamp TIMESTAMP, target_timestamp TIMESTAMP, horizon INT, prediction DOUBLE, snapshot STRING"
-    return spark.read.schema(schema).json(as_json)
+    names = [part.split()[0] for part in schema.split(", ")]
+    columns = spark.read.option("header", True).csv(as_csv)
+    text = columns.select(*[F.col(n).cast(kind).alias(n) for n, kind in (part.split() for part in schema.split(", "))])
+    both = spark.read.schema(schema).json(as_json).unionByName(text).withColumn("prediction", F.round("prediction", 9))
+    return both.groupBy(*names).agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @query("backtest")
@@ -404,24 +439,41 @@ def _(spark, sf):
     return forecast.flattened_sequences(rows, ["pm10"], "pm2_5", 6)
 
 
-@query("persist_model_and_features")
+@query(
+    "persist_model_and_features",
+    using(
+        "numbered",
+        f"""SELECT 'pm2_5' AS model, horizon, split, count(*) AS n, {r('sqrt(avg((y - p) ** 2))')} AS rmse, {r('avg(abs(y - p))')} AS mae,
+        {r('CASE WHEN var_pop(y) > 0 THEN 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) END')} AS r2,
+        {r('avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16))')} AS mape FROM told WHERE horizon = 24 GROUP BY ALL""",
+        **ONE_FEATURE,
+    ),
+)
 def _(spark, sf):
-    """A stored pipeline scores like the one in memory."""
-    rows = table(spark, sf)
-    model = regressors.train_one(regressors.linear(LABEL), rows, FEATURES)
-    path = sinks.persist_model(model, FEATURES, fresh_path(spark, "model"), spark)
+    """A pipeline read back from its files, with its feature list, scores like the fit in closed form."""
+    _, known, models = one_feature(spark, sf)
+    path = sinks.persist_model(models[24], ["pm2_5"], fresh_path(spark, "model"), spark)
     loaded, names = sinks.load_model(path, spark)
-    return metrics.regression_metrics(regressors.predict(loaded, rows, ",".join(names[:1]), LABEL, 24))
+    return metrics.regression_metrics(regressors.predict(loaded, known, ",".join(names), LABEL, 24))
 
 
-@query("daily_run")
+@query(
+    "daily_run",
+    using(
+        "numbered",
+        f"{FORECAST_SQL}, {r('CASE WHEN promoted THEN intercept + slope * x ELSE mean END')} AS prediction, promoted FROM newest, fits JOIN gated USING (horizon)",
+        **ONE_FEATURE,
+        errors="SELECT horizon, sqrt(avg((y - weak) ** 2)) AS champ, sqrt(avg((y - p) ** 2)) AS cand FROM told WHERE split = 'test' GROUP BY 1",
+        gated="SELECT horizon, (champ - cand) / greatest(1e-9, champ) >= 0.02 AND (SELECT count(*) >= 500 FROM known) AS promoted FROM errors",
+    ),
+)
 def _(spark, sf):
-    """Two runs: the second one's candidates are set against the champions of the first."""
+    """Two runs: the first one's champions know only the mean, and the second one's candidates replace some of them."""
     registry = Registry(spark, fresh_path(spark, "registry"))
-    rows = frames.dense_hourly(spark, sf)
-    daily.daily_run(rows, FEATURES, lambda t: regressors.linear(t, regParam=10.0, elasticNetParam=1.0), registry, datetime(2024, 2, 1))
-    run = daily.daily_run(rows, FEATURES, regressors.linear, registry, datetime(2024, 2, 2))
-    return run.forecast
+    rows = cut_lineage(frames.dense_hourly(spark, sf), "dense")
+    daily.daily_run(rows, ["pm2_5"], lambda t: regressors.linear(t, regParam=1e6, elasticNetParam=1.0), registry, datetime(2024, 2, 1))
+    run = daily.daily_run(rows, ["pm2_5"], regressors.linear, registry, datetime(2024, 2, 2))
+    return run.forecast.join(run.decisions.select("horizon", "promoted"), "horizon")
 
 
 STRENGTHS = {"first": ("carry_two_days", "2024-02-01"), "second": ("carry_day", "2024-02-02"), "third": ("carry", "2024-02-03")}
