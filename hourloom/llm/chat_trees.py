@@ -74,7 +74,7 @@ def read_back(conversation: str) -> list[tuple[str, str]]:
 def _pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Tables (node, above) of the ancestors 1, 2, 4, .. steps up, and (node, root, depth, total) of the rooted ones."""
     step = stored(nodes.select("node", F.col("parent").alias("above"), F.col("score").alias("total")), "pointers")
-    jumps = []
+    jumps, messages = [], step.count()
     # finished messages have no pointer left; total is the score of the messages stepped over
     state = step.select("node", "above", "total", F.lit(1).cast("long").alias("size"), F.col("node").alias("last"))
     while True:
@@ -91,10 +91,9 @@ def _pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             "node", F.col("next").alias("above"), (F.col("total") + F.col("total_up")).alias("total"),
             (F.col("size") + F.col("size_up")).alias("size"), F.col("last_up").alias("last"),
         )
-        before = state
         state = stored(state.where("above is null").unionByName(moved), "pointers")
-        left, n = before.where("above is not null").count(), state.where("above is not null").count()
-        if not n or (n == left and len(jumps) > 40):  # what never ends lies on or below a cycle
+        # pointers now lead 2 ** rounds up: one that goes on beyond as many messages as there are lies on or below a cycle
+        if 1 << len(jumps) >= messages or state.where("above is not null").isEmpty():
             break
     return jumps, state.where("above is null").select("node", F.col("last").alias("root"), F.col("size").alias("depth"), "total")
 
