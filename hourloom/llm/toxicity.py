@@ -1,9 +1,10 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 A text is the set of its words, word pairs and pairs with one or two words between, lower-cased and without
-punctuation. The fit uses a bounded sample of labelled rows, dealt to shards; in every round each shard runs FTRL
-(per-coordinate rates, L1) over its rows from the shared state, and the changes are averaged. L1 leaves few weights,
-which are broadcast; scoring reads every whole text once.
+punctuation, each hashed to one of 2**24 slots. Coordinates are the slots that at least three rows of the sample fill, counted
+by counters of fixed size; no number of them is kept or cut beyond that. The fit uses a bounded sample of labelled rows, dealt to
+shards; in every round each shard runs FTRL (per-coordinate rates, L1) over its rows from the shared state, and the changes are
+averaged. L1 leaves few weights, which are broadcast; scoring reads every whole text once.
 
 Defined cases: null or empty text scores the intercept; rows without a label or with a null label do not train;
 an id with several labels counts as 1 if any is 1; without both labels the score is the smoothed share of label 1;
@@ -12,6 +13,8 @@ repeated rows score alike; an empty table gives no rows; no column but the text
 
 from __future__ import annotations
 
+import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -26,72 +29,102 @@ from hourloom.llm.storage import bounded_batches, discard, stored
 
 #: Distances of the words of a feature: words, pairs, pairs with a gap.
 SHAPES = ((0,), (0, 1), (0, 2), (0, 3))
-#: Labelled rows that the fit reads at most (about half of each label), and coordinates it keeps at most.
+#: Labelled rows that the fit reads at most (about half of each label).
 MAX_ROWS = 12_000
-MAX_COORDINATES = 1 << 20
+#: Features are hashed to 2**SLOT_BITS slots; their counters travel in chunks.
+SLOT_BITS, CHUNK_BITS = 24, 18
 #: Training rows that must have a feature.
 LEAST_ROWS = 3
 SHARDS, ROUNDS = 8, 5
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 1.0, 0.1
-GATE_BITS = 22
 
 
 @dataclass
 class Model:
-    """Sorted feature hashes, their weights, and the intercept."""
+    """Sorted slots of features, their weights, and the intercept."""
 
     keys: np.ndarray
     weights: np.ndarray
     intercept: float
 
+    def gate(self) -> np.ndarray:
+        """Whether each slot has a weight."""
+        out = np.zeros(1 << SLOT_BITS, dtype=bool)
+        out[self.keys] = True
+        return out
 
-def block_features(block: words.Block, usual: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row number within the block and hash of every feature, shape by shape; pairs of ``usual`` words only."""
+
+def block_slots(block: words.Block, usual: np.ndarray | None, live: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row number within the block, slot of a feature), in order.
+
+    usual: the slots of the words that pairs are made of, all words if None; live: the slots wanted, all if None.
+    """
     row = np.repeat(np.arange(len(block.counts)), block.counts)
-    known = None
+    known, got = None, []
     for shape in SHAPES:
-        found = words.grams(block.hashes, shape)
-        inside = row[: len(found)] == row[shape[-1] : shape[-1] + len(found)]
-        if usual is not None and known is None:
-            known = among(found, usual) >= 0
-        if known is not None:
+        slot = (words.grams(block.hashes, shape) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        inside = row[: len(slot)] == row[shape[-1] : shape[-1] + len(slot)]
+        if usual is not None:
+            if known is None:
+                known = usual[slot]
             for p in shape:
-                inside = inside & known[p : p + len(found)]
-        yield row[: len(found)][inside], found[inside]
+                inside &= known[p : p + len(slot)]
+        if live is not None:
+            inside &= live[slot]
+        got.append((row[: len(slot)][inside] << SLOT_BITS) | slot[inside])
+    both = np.unique(np.concatenate(got))
+    return both >> SLOT_BITS, both & ((1 << SLOT_BITS) - 1)
 
 
-def among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The place of each value in the sorted keys, or -1."""
-    if not len(keys):
-        return np.full(len(values), -1)
-    at = np.searchsorted(keys, values)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == values, at, -1)
+def word_slots(block: words.Block) -> tuple[np.ndarray, np.ndarray]:
+    """As block_slots, of words alone."""
+    row = np.repeat(np.arange(len(block.counts)), block.counts)
+    slot = (words.grams(block.hashes, SHAPES[0]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    both = np.unique((row << SLOT_BITS) | slot)
+    return both >> SLOT_BITS, both & ((1 << SLOT_BITS) - 1)
 
 
-def example_rows(batches: Iterable[pa.RecordBatch], usual: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """The features of each row; its words alone while the usual words are not known."""
+def counted(batches: Iterable[pa.RecordBatch], usual) -> Iterator[pa.RecordBatch]:
+    """How many rows of the partition fill each slot, up to LEAST_ROWS, in compressed chunks."""
+    total = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+    pairs_of = None if usual is None else unpacked(usual.value)
     for batch in batches:
         for block in words.blocks(batch.column("text"), words.LETTERS, lower=True):
-            shapes = block_features(block, usual)
-            row, found = (np.concatenate(x) for x in zip(*([next(shapes)] if usual is None else shapes)))
-            order = np.argsort(row, kind="stable")
-            edges = np.searchsorted(row[order], np.arange(len(block.counts) + 1))
-            own = [np.unique(found[order[a:b]]) for a, b in zip(edges, edges[1:])]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "toxic": batch.column("toxic").slice(block.lo, block.hi - block.lo),
-                    "deal": batch.column("deal").slice(block.lo, block.hi - block.lo),
-                    "features": pa.array([words.as_signed(f) for f in own], pa.list_(pa.int64())),
-                }
-            )
-
-
-def frequent(examples: DataFrame) -> np.ndarray:
-    """Sorted features of at least ``LEAST_ROWS`` rows, the most frequent ``MAX_COORDINATES`` if there are more."""
-    known = examples.select(F.explode("features").alias("key")).groupBy("key").count().where(f"count >= {LEAST_ROWS}")
-    known = known.orderBy(F.desc("count"), "key").limit(MAX_COORDINATES).select("key").toArrow()
-    return np.sort(known["key"].to_numpy().astype(np.int64).view(np.uint64))
+            _, slot = word_slots(block) if usual is None else block_slots(block, pairs_of, None)
+            slot, times = np.unique(slot, return_counts=True)
+            total[slot] = np.minimum(total[slot] + times, LEAST_ROWS)
+    yield from chunk_rows({i: c for i, c in enumerate(np.split(total, 1 << (SLOT_BITS - CHUNK_BITS))) if c.any()})
+
+
+def chunk_rows(chunks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for i, c in chunks.items():
+        data = zlib.compress(c.tobytes(), 1)
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array([i], pa.int32()), "data": pa.array([data], pa.binary())})
+
+
+def filled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of the slots whose counters add up to LEAST_ROWS."""
+    chunks: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, data in zip(batch.column("chunk").to_pylist(), batch.column("data").to_pylist()):
+            c = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
+            chunks[i] = np.minimum(chunks[i] + c, LEAST_ROWS) if i in chunks else c
+    yield from chunk_rows({i: np.packbits(c >= LEAST_ROWS) for i, c in chunks.items()})
+
+
+def frequent(texts: DataFrame, usual=None) -> np.ndarray:
+    """A bitmap of the slots that at least LEAST_ROWS rows fill: 2 MB, whatever the texts."""
+    schema = "chunk int, data binary"
+    part = texts.select("text").mapInArrow(lambda it: counted(it, usual), schema)
+    out = np.zeros(1 << (SLOT_BITS - 3), dtype=np.uint8)
+    step = 1 << (CHUNK_BITS - 3)
+    for row in part.repartition(SHARDS, "chunk").mapInArrow(filled, schema).collect():
+        out[row.chunk * step : (row.chunk + 1) * step] = np.frombuffer(zlib.decompress(row.data), np.uint8)
+    return out
+
+
+def unpacked(bitmap: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bitmap).view(bool)
 
 
 def labelled_sample(labels: DataFrame, max_rows: int) -> tuple[DataFrame, dict[int, tuple[int, float]]]:
@@ -129,53 +162,66 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     sample, share = labelled_sample(labels, max_rows)
     if len(share) < 2:
         n, positive = sum(c for c, _ in share.values()), share.get(1, (0, 0))[0]
-        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((positive + 0.5) / (n - positive + 0.5))))
+        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log((positive + 0.5) / (n - positive + 0.5))))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     # the sample has max_rows short rows at most
     texts = texts.join(F.broadcast(stored(sample, "sample")), "doc_id").select("text", "toxic", "deal")
-    schema = "toxic int, deal long, features array<long>"
+    texts = texts.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(SHARDS)))
+    texts = stored(texts.repartition(SHARDS, "shard"), "texts")
     # a pair of words is no more frequent than either, so pairs are looked for among frequent words only
-    usual = spark.sparkContext.broadcast(frequent(texts.mapInArrow(lambda it: example_rows(it, None), schema)))
-    examples = stored(texts.mapInArrow(lambda it: example_rows(it, usual.value), schema), "examples")
-    keys = frequent(examples)
-    shared = spark.sparkContext.broadcast(keys)
+    usual = spark.sparkContext.broadcast(frequent(texts))
+    live = spark.sparkContext.broadcast(frequent(texts, usual))
 
     def coordinates(batches):
+        pairs_of, wanted = unpacked(usual.value), unpacked(live.value)
+        rank = np.cumsum(wanted, dtype=np.int32) - 1
         for batch in batches:
-            lists = []
-            for f in batch.column("features"):
-                f = np.asarray(f.values.to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64)
-                at = among(f, shared.value)
-                lists.append(at[at >= 0])
-            yield pa.RecordBatch.from_pydict(
-                {"toxic": batch.column("toxic"), "deal": batch.column("deal"), "at": pa.array(lists, pa.list_(pa.int32()))}
-            )
-
-    rows = examples.mapInArrow(coordinates, "toxic int, deal long, at array<int>")
-    rows = stored(rows.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(SHARDS))), "rows")
-    discard(examples)
-
-    z, n, bias = np.zeros(len(keys)), np.zeros(len(keys)), [0.0, 0.0]
+            for block in words.blocks(batch.column("text"), words.LETTERS, lower=True):
+                row, slot = block_slots(block, pairs_of, wanted)
+                edges = np.searchsorted(row, np.arange(len(block.counts) + 1))
+                at = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(rank[slot], pa.int32()))
+                same = [batch.column(c).slice(block.lo, block.hi - block.lo) for c in ("shard", "deal", "toxic")]
+                yield pa.RecordBatch.from_arrays([*same, at], names=["shard", "deal", "toxic", "at"])
+
+    # a file for each shard, read again in every round without a shuffle
+    rows = stored(texts.mapInArrow(coordinates, "shard long, deal long, toxic int, at array<int>"), "rows")
+    keys = np.flatnonzero(unpacked(live.value))
+    discard(texts)
+    for shared in (usual, live):
+        shared.destroy()
+
+    z, n, bias = np.zeros(len(keys), np.float32), np.zeros(len(keys), np.float32), [0.0, 0.0]
     for _ in range(ROUNDS):
         state = spark.sparkContext.broadcast((z, n, bias))
 
-        def one_pass(table):
+        def one_pass(batches):
+            shards = defaultdict(list)
+            for batch in batches:
+                at, deal, toxic = batch.column("at"), batch.column("deal").to_pylist(), batch.column("toxic").to_pylist()
+                own = np.split(at.values.to_numpy(), at.offsets.to_numpy()[1:-1])
+                for i, shard in enumerate(batch.column("shard").to_pylist()):
+                    shards[shard].append((deal[i], toxic[i], own[i]))
             z0, n0, b0 = state.value
-            z1, n1, b1 = z0.copy(), n0.copy(), list(b0)
-            table = table.sort_by([("deal", "ascending")])
-            ftrl(list(zip(table["toxic"].to_pylist(), (np.array(a, np.int64) for a in table["at"].to_pylist()))), z1, n1, b1)
-            at = np.flatnonzero((z1 != z0) | (n1 != n0))
-            parts = (at.astype(np.int32), (z1 - z0)[at].astype(np.float32), (n1 - n0)[at].astype(np.float32))
-            row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("at", "dz", "dn"), parts)}
-            return pa.table(row | {k: pa.array([b1[i] - b0[i]], pa.float64()) for i, k in enumerate(("bz", "bn"))})
+            for own in shards.values():
+                z1, n1, b1 = z0.copy(), n0.copy(), list(b0)
+                own.sort(key=lambda r: (*r[:2], r[2].tobytes()))
+                ftrl([r[1:] for r in own], z1, n1, b1)
+                at = np.flatnonzero((z1 != z0) | (n1 != n0))
+                parts = (at.astype(np.int32), (z1 - z0)[at], (n1 - n0)[at])
+                row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("at", "dz", "dn"), parts)}
+                row |= {k: pa.array([b1[i] - b0[i]], pa.float64()) for i, k in enumerate(("bz", "bn"))}
+                yield pa.RecordBatch.from_pydict(row)
 
         # a row for each shard, with 12 bytes for each coordinate that its rows have
+        changes = rows.mapInArrow(one_pass, "at binary, dz binary, dn binary, bz double, bn double").collect()
+        state.destroy()
         z, n, bias = z.copy(), n.copy(), list(bias)
-        for row in rows.groupBy("shard").applyInArrow(one_pass, "at binary, dz binary, dn binary, bz double, bn double").collect():
+        for row in changes:
             at = np.frombuffer(row["at"], np.int32)
-            z[at] += np.frombuffer(row["dz"], np.float32) / SHARDS
-            n[at] += np.frombuffer(row["dn"], np.float32) / SHARDS
-            bias = [bias[0] + row["bz"] / SHARDS, bias[1] + row["bn"] / SHARDS]
+            z[at] += np.frombuffer(row["dz"], np.float32) / len(changes)
+            n[at] += np.frombuffer(row["dn"], np.float32) / len(changes)
+            bias = [bias[0] + row["bz"] / len(changes), bias[1] + row["bn"] / len(changes)]
+    discard(rows)
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
     intercept = -bias[0] / ((BETA + bias[1] ** 0.5) / ALPHA)
     intercept += float(np.log(share[0][1] / share[1][1]))  # the sample has more of the rare label than the corpus
@@ -185,17 +231,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
 
 def score_batch(text, model: Model, gate: np.ndarray) -> np.ndarray:
     out = []
-    low = np.uint64((1 << GATE_BITS) - 1)
     for block in words.blocks(text, words.LETTERS, lower=True):
         total = np.full(len(block.counts), model.intercept)
-        rows, found = [], []
-        for row, feature in block_features(block):
-            hit = np.flatnonzero(gate[(feature & low).astype(np.int64)])
-            at = among(feature[hit], model.keys)
-            rows.append(row[hit][at >= 0])
-            found.append(at[at >= 0])
-        pairs = np.unique(np.stack([np.concatenate(rows), np.concatenate(found)], axis=1), axis=0)
-        np.add.at(total, pairs[:, 0], model.weights[pairs[:, 1]])
+        row, slot = block_slots(block, None, gate)
+        np.add.at(total, row, model.weights[np.searchsorted(model.keys, slot)])
         out.append(total)
     return 1 / (1 + np.exp(-np.concatenate(out))) if out else np.zeros(0)
 
@@ -208,8 +247,7 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        gate = np.zeros(1 << GATE_BITS, dtype=bool)
-        gate[(shared.value.keys & np.uint64((1 << GATE_BITS) - 1)).astype(np.int64)] = True
+        gate = shared.value.gate()
         for batch in batches:
             values = score_batch(batch.column("text"), shared.value, gate)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*batch.schema.names, name])
