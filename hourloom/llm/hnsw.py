@@ -8,8 +8,9 @@ A sample of queries is audited against all vectors of the shard, and the beam is
 itself is no link, and the sample grows until it has ``ENOUGH`` links or all queries. A beam as wide as the shard
 compares with all of it, so nothing is out of reach. Found pairs are verified by cosine in double precision.
 
-A pair of shards is searched once, in one direction, and counts for both sides; of its links only the counts by node
-and a spanning forest leave the task, so a large group never becomes pairs of rows.
+Every pair of shards is a group of its own, however many a label has. It is searched once, in one direction, and counts
+for both sides; of its links only the counts by node and a spanning forest leave the task, so a large group never becomes
+pairs of rows.
 
 Defined cases: a null, empty or zero vector, one with null or non-finite components, a null label or a null id links
 with nothing and is its own component; vectors of different length don't link; equal vectors link, repeated rows
@@ -270,12 +271,15 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def search_rows(threshold: float):
+    kinds = {"node": pa.int64(), "other": pa.int64(), "links": pa.int64(), "beam": pa.int32()}
+
     def search(key, table):
         dim = key[1].as_py()
-        row = table.to_pylist()[0]
-        names = ("nodes", "counts", "vectors", "layers")
-        one = Graph({k: row[k] for k in names}, dim)
-        two = one if row["shard"] == row["shard_b"] else Graph({k: row[f"{k}_b"] for k in names}, dim)
+        ends = sorted(table.to_pylist(), key=lambda row: row["shard"])
+        if ends[0]["low"] < ends[0]["high"] and len(ends) == 1:  # no vector fell to the other shard
+            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+        graphs = [Graph({k: row[k] for k in ("nodes", "counts", "vectors", "layers")}, dim) for row in ends]
+        one, two = graphs[0], graphs[-1]
         least = threshold - SLACK
         beam = two.audited_beam(one.vectors, least, one is two)
         u, v = two.near(one.vectors, beam, least)
@@ -323,10 +327,13 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, shard:
     dealt = nodes.join(total, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")))
     kind = dict(rows.dtypes)["label"]
     schema = f"label {kind}, dim int, shard long, nodes binary, counts binary, vectors binary, layers binary"
+    # dealt anew by the whole key: the join's partitioning by label would put all shards of a label into one task
+    dealt = dealt.repartition("label", "dim", "shard")
     graphs = stored(dealt.groupBy("label", "dim", "shard").applyInArrow(build_rows, schema), "graphs")
-    other = graphs.select("label", "dim", *(F.col(c).alias(f"{c}_b") for c in graphs.columns[2:]))
-    pairs = graphs.join(other, ["label", "dim"]).where("shard <= shard_b")
-    found = pairs.groupBy("label", "dim", "shard", "shard_b").applyInArrow(
+    ends = graphs.join(total, ["label", "dim"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    ends = ends.withColumns({"low": F.least("shard", "other"), "high": F.greatest("shard", "other")}).drop("other", "shards")
+    ends = ends.repartition("label", "dim", "low", "high")
+    found = ends.groupBy("label", "dim", "low", "high").applyInArrow(
         search_rows(threshold), "node long, other long, links long, beam int"
     )
     found = stored(found, "found")

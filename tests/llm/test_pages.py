@@ -348,8 +348,8 @@ def test_sparse_links_of_a_full_shard_are_found():
     w[lost[:20]] = v[lost[:20]] + rng.normal(size=(20, 32)) * 0.05
     one, two = shard(0, v), shard(1, w)
     for other, want in ((one, 20), (two, 40)):  # a shard with itself, and two shards
-        pair = one | {f"{k}_b": x for k, x in other.items()}
-        found = hnsw.search_rows(0.98)((pa.scalar(0), pa.scalar(32)), pa.table({k: [x] for k, x in pair.items()}))
+        ends = [row | {"low": 0, "high": other["shard"]} for row in ([one] if other is one else [other, one])]
+        found = hnsw.search_rows(0.98)((pa.scalar(0), pa.scalar(32)), pa.Table.from_pylist(ends))
         assert sum(found["links"].to_pylist()) == 2 * want
 
 
