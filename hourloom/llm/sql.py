@@ -25,7 +25,7 @@ _TESTS = ", ".join(f"('{m}', {float(c)}::DOUBLE)" for m, grid in q.GRID.items()
 _MEASURE = "CASE measure " + " ".join(f"WHEN '{m}' THEN {m}" for m in q.MEASURES) + " END"
 _EACH = f"({q.RISK}::DOUBLE / {len(q.MEASURES)})"
 
-#: The exact binomial tail as a plain sum; every cutoff in every stratum is one test.
+#: The exact binomial tail as a plain sum; the level is divided by the measures of all strata.
 QUALITY = f"""WITH
 texts AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 words AS MATERIALIZED (SELECT doc_id, lang, t, regexp_extract_all(t, '{WORDS}') AS w,
@@ -49,7 +49,7 @@ counts AS MATERIALIZED (SELECT lang, measure, cutoff, count(*) AS n, count(*) FI
 chances AS (SELECT *, CASE WHEN k < n * {_EACH} THEN (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
   + i * ln({_EACH}) + (n - i) * ln(1 - {_EACH}))) FROM range(0, k + 1) v(i)) ELSE 1 END AS chance FROM counts),
 limits AS (SELECT lang, measure, min(cutoff) AS cutoff FROM chances
-  WHERE chance * (SELECT count(*) FROM counts) <= {q.LEVEL} GROUP BY ALL),
+  WHERE chance * (SELECT count(*) FROM (SELECT DISTINCT lang, measure FROM counts)) <= {q.LEVEL} GROUP BY ALL),
 rejected AS (SELECT DISTINCT doc_id FROM measured m JOIN limits l ON m.lang IS NOT DISTINCT FROM l.lang WHERE {_MEASURE} > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept FROM measured"""
