@@ -12,8 +12,9 @@ one vertex first. Rounds then compare each vertex with random leaders of its pre
 of near copies by few pairs; at last every pair that is left between different components is looked at.
 
 Defined cases: null or empty text, or text without words, has an empty set and links with nothing; fewer words than n
-are one shingle; rows with a null id are classed by their text but never name a class; rows are compared by text, a
-repeated id is no link; an empty table gives no rows; other columns are not read. Shingles are 64-bit hashes, so
+are one shingle; rows with a null id are classed by their text but never name a class; rows are compared by text, so an
+id that is repeated with another text links nothing, and may name a class twice; ids are whole numbers, or text that reads
+as one; an empty table gives no rows; other columns are not read. Shingles are 64-bit hashes, so
 different shingles are taken as equal with a chance of 2**-64 a pair.
 """
 
@@ -137,7 +138,7 @@ def prefix_rows(batches: Iterable[pa.RecordBatch], sketch, n: int, percent: int)
 
         def flush():
             rows = out.pop("row")
-            columns = {"doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64()))}
+            columns = {c: batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "text_hash")}
             kinds = {"n": pa.int64(), "f1": pa.int64(), "f2": pa.int64(), "k": pa.int32(), "prefix": pa.list_(pa.int64())}
             return pa.RecordBatch.from_pydict(columns | {c: pa.array(out[c], t) for c, t in kinds.items()})
 
@@ -273,9 +274,9 @@ class Join:
         counts = frequencies(self.docs, n)
         # what unrelated shingles add to a counter, and the text itself
         sketch = spark.sparkContext.broadcast((counts, float(np.median(counts)) + 1))
-        rows = self.docs.mapInArrow(
+        rows = self.docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
             lambda it: prefix_rows(it, sketch, n, percent),
-            "doc_id long, n long, f1 long, f2 long, k int, prefix array<long>",
+            "doc_id long, text_hash long, n long, f1 long, f2 long, k int, prefix array<long>",
         )
         prefixes = stored(rows, "prefixes")
         self.signed = stored(prefixes.drop("k", "prefix"), "signed")
@@ -303,9 +304,9 @@ class Join:
         """The lists that span components, each row with its component; a closed list never opens again."""
         rows = self.lists
         if self.classes is not None:
-            rows = rows.join(self.classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            rows = rows.join(self.classes, "f1", "left").withColumn("component", F.coalesce("component", "f1"))
         else:
-            rows = rows.withColumn("component", F.col("id"))
+            rows = rows.withColumn("component", F.col("f1"))
         span = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         rows = stored(rows.join(span.where("lo < hi").select("token"), "token"), "open")
         self.lists = rows.drop("component")
@@ -372,13 +373,14 @@ class Join:
         both = pairs.join(sets.withColumnRenamed("shingles", "a"), ["id", "f1"])
         both = both.join(sets.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
         same = F.size(F.array_intersect("a", "b"))
-        both = both.select("id", "id_b", same.alias("same"), (F.size("a") + F.size("b") - same).alias("either"))
+        both = both.select("f1", "f1_b", same.alias("same"), (F.size("a") + F.size("b") - same).alias("either"))
         linked = both.where(F.col("same") * 100 >= F.col("either") * self.percent)
-        linked = stored(linked.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct(), "links")
+        linked = stored(linked.select(F.col("f1").alias("a"), F.col("f1_b").alias("b")).distinct(), "links")
         found = linked.count()
         if found:
             self.links.append(linked)
-            self.classes = components(reduce(DataFrame.union, self.links))
+            # vertices are told apart by their fingerprint, as ids may be repeated
+            self.classes = components(reduce(DataFrame.union, self.links)).withColumnRenamed("id", "f1")
         return found
 
     def run(self) -> DataFrame:
@@ -391,15 +393,29 @@ class Join:
         self.verify(self.rest_pairs())
         discard(self.sets)
         own = self.vertices.select("f1", "f2", "n", "id")
+        own = own.withColumns({"class": F.col("f1"), "component_id": F.col("id")})
         if self.classes is not None:
-            own = own.join(self.classes, "id", "left")
-        else:
-            own = own.withColumn("component", F.col("id"))
-        own = own.select("f1", "f2", "n", F.coalesce("component", "id").alias("component_id"))
-        out = self.signed.join(own, ["f1", "f2", "n"], "left")
-        return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+            own = own.join(self.classes, "f1", "left").withColumn("class", F.coalesce("component", "f1"))
+            own = stored(own.drop("component", "component_id"), "own")
+            # only classes of several vertices have another name than their vertex
+            least = own.where("class <> f1").select("class").distinct().join(own, "class")
+            least = least.groupBy("class").agg(F.min("id").alias("least"))
+            own = own.join(least, "class", "left").withColumn("component_id", F.coalesce("least", "id"))
+        out = self.signed.join(own.select("f1", "f2", "n", "class", "component_id"), ["f1", "f2", "n"], "left")
+        return out.select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+            "text_hash",
+            F.coalesce("class", "f1").alias("class"),
+        )
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id that links reach) for every row of (doc_id, text)."""
+    return row_classes(docs, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def row_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """Besides, text_hash (xxhash64 of the row's text), and class, which tells classes apart where ids are repeated."""
     return Join(docs, n, percent).run()

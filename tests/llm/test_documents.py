@@ -62,10 +62,10 @@ def test_rest_pairs_count_both_orders_of_a_pair(spark):
     """Two half-joined groups: each list has another largest component, and the pair needs both lists."""
     join = ngram_join.Join.__new__(ngram_join.Join)
     lists = [(1, 7), (1, 8), (1, 3), (2, 7), (2, 3), (2, 4)]
-    join.lists = spark.createDataFrame([(i, 0, t, 20, 2) for t, i in lists], "id long, f1 long, token long, n long, k int")
+    join.lists = spark.createDataFrame([(i, i, t, 20, 2) for t, i in lists], "id long, f1 long, token long, n long, k int")
     bits = "".join(f", b{i} long" for i in range(ngram_join.WORDS))
-    join.sets = spark.createDataFrame([(i, 0, *[7] * ngram_join.WORDS) for i in (3, 4, 7, 8)], f"id long, f1 long{bits}")
-    join.classes = spark.createDataFrame([(3, 3), (4, 3), (7, 7), (8, 7)], "id long, component long")
+    join.sets = spark.createDataFrame([(i, i, *[7] * ngram_join.WORDS) for i in (3, 4, 7, 8)], f"id long, f1 long{bits}")
+    join.classes = spark.createDataFrame([(3, 3), (4, 3), (7, 7), (8, 7)], "f1 long, component long")
     join.percent = 80
     got = sorted((r["id"], r["id_b"]) for r in join.rest_pairs().collect())
     # (3, 7) by lists 1 and 2; every other pair across the groups has one list
