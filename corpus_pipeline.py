@@ -19,25 +19,37 @@ TOXIC = 0.7
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_scores(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+    (score,) = quality_rules.unused(docs, "toxicity")
+    return toxicity.with_scores(docs, model, score).where(F.col(score) < TOXIC).drop(score)
 
 
 def low_quality_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    features = stored(quality_rules.with_features(docs), "features")
-    return quality_rules.judged(features, table(spark, sf_dir, "labels")).where("_kept").select(*docs.columns)
+    name, kept = quality_rules.unused(docs, "measures", "kept")
+    features = stored(quality_rules.with_features(docs, name=name), "features")
+    judged = quality_rules.judged(features, table(spark, sf_dir, "labels"), name=name, kept=kept)
+    return judged.where(kept).select(*docs.columns)
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each class stays, once; texts without words are no copies of each other."""
-    classes = stored(ngram_join.near_duplicates(docs, n=5, percent=80), "classes")
-    gone = stored(classes.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = classes.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-    again = stored(again.select("doc_id"), "again")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    """One row of each class stays: of the smallest id, null last, then of one text; texts without words are no copies.
+
+    Rows are told apart by id and text, so an id that is repeated with another text loses neither to the other's class.
+    """
+    classes = stored(ngram_join.row_classes(docs, n=5, percent=80), "classes").where("n_shingles > 0")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    stays = classes.groupBy("class").agg(F.min(row).alias("row")).select("row.*")
+    rows = classes.groupBy("doc_id", "text_hash").count()
+    same = lambda x, y: x["doc_id"].eqNullSafe(y["doc_id"]) & (x["text_hash"] == y["text_hash"])
+    gone = stored(rows.join(stays, same(rows, stays), "left_anti").select("doc_id", "text_hash"), "gone")
+    again = stored(rows.where("count > 1").join(stays, same(rows, stays), "left_semi").select("doc_id", "text_hash"), "again")
+    keys = quality_rules.unused(docs, "id", "hash")
+    keyed = docs.withColumns(dict(zip(keys, (F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))))))
+    listed = lambda rows: F.col(keys[0]).eqNullSafe(rows["doc_id"]) & (F.col(keys[1]) == rows["text_hash"])
+    kept = keyed.join(gone, listed(gone), "left_anti")
+    if not again.isEmpty():
+        once = kept.join(again, listed(again), "left_semi").dropDuplicates(keys)
+        kept = kept.join(again, listed(again), "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
