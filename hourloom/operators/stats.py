@@ -305,17 +305,20 @@ def time_range(df: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation of the rows that have both values; NaN where one of them does not vary (``F.corr`` divides
+    by zero there, which is an error in ANSI mode), NULL without such rows."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_pop(x, y), spread))
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations as (a, b, corr), both triangles and the diagonal."""
 
-    def pair(a, b):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x = F.when(both, F.col(a).cast("double"))
-        y = F.when(both, F.col(b).cast("double"))
-        return F.corr(x, y)
-
     pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
-    wide = df.agg(*[pair(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[correlation(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for left, right in {(a, b), (b, a)}:
@@ -324,7 +327,7 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def corr_with_target(df: DataFrame, columns: list[str], target: str) -> DataFrame:
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in columns])
+    wide = df.agg(*[correlation(c, target).alias(c) for c in columns])
     return wide.unpivot([], columns, "column", "corr")
 
 

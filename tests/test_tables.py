@@ -138,3 +138,13 @@ def test_first_last_needs_both_halves(spark, series):
     assert [(r.station_id, r.change, r.direction, r.volatility) for r in got] == [
         ("a", 24.0, "Worsening", "Same Variability")
     ]
+
+
+def test_correlation_with_a_constant_column(spark):
+    """A column that does not vary has no correlation (NaN, as in the SQL), which is no error; without pairs it is NULL."""
+    rows = [(float(i), 100.0, 2.0 * i, None) for i in range(50)] + [(None, 7.0, None, 1.0)]
+    df = spark.createDataFrame(rows, "x double, flat double, y double, none double")
+    got = {r["column"]: r["corr"] for r in stats.corr_with_target(df, ["flat", "y", "none"], "x").collect()}
+    assert np.isnan(got["flat"]) and got["y"] == pytest.approx(1.0) and got["none"] is None
+    pairs = {(r["a"], r["b"]): r["corr"] for r in stats.corr_matrix(df, ["x", "flat", "y"]).collect()}
+    assert np.isnan(pairs["flat", "x"]) and pairs["y", "x"] == pytest.approx(1.0) and pairs["flat", "flat"] == pytest.approx(1.0)
