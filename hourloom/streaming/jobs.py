@@ -127,59 +127,58 @@ CURRENT_SCHEMA = "station_id STRING, ts TIMESTAMP, value DOUBLE"
 TTL_SCHEMA = "station_id STRING, part INT, ts TIMESTAMP, event_id BIGINT, value DOUBLE, expired BOOLEAN"
 
 
-def current_values_with_ttl(readings: DataFrame, ttl_hours: int = 48, parts: int = 16) -> DataFrame:
+def _newest_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    """The last row of every station; a NULL event number comes before all others."""
+    rows = rows.sort_values(["ts", "event_id"], na_position="first")
+    return rows.drop_duplicates("station_id", keep="last")
+
+
+def current_values_with_ttl(readings: DataFrame, ttl_hours: int = 48, parts: int = 256) -> DataFrame:
     """The same with an expiry: state that is ``ttl_hours`` of event time behind the newest reading of all is
     reported as expired and dropped. The watermark lies as far back, so the rows it drops as late are those
     that have expired already, and the order in which files land does not matter.
 
-    A station is spread over ``parts`` groups by event, so a station with much of the traffic is
-    not one task. ``live_values`` reads the table: a station lives as long as one of its parts.
+    Stations are dealt over ``parts`` groups, each with the live rows of its stations as its state: the function is
+    called once for a group of stations, not for each of them. Rows are cut down to the last one of each station
+    before they are shuffled, so a station with much of the traffic is no large task. Rows without a time are left out.
     """
-    def row(key: tuple, best: tuple, expired: bool) -> pd.DataFrame:
-        at, event, value = best
-        return pd.DataFrame(
-            {
-                "station_id": [key[0]],
-                "part": [key[1]],
-                "ts": [at],
-                "event_id": [event],
-                "value": pd.array([value], dtype="Float64"),
-                "expired": [expired],
-            }
-        )
+
+    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield _newest_rows(rows)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            best = state.get
+        columns = ["station_id", "ts", "event_id", "value"]
+        seen = [] if state.hasTimedOut else [rows[columns] for rows in batches]
+        touched = {s for rows in seen for s in rows["station_id"].tolist()}
+        if state.exists:
+            stored = pd.DataFrame(dict(zip(columns, map(list, state.get))), columns=columns)
+            seen.append(stored.astype({"ts": "datetime64[us]", "event_id": "Int64", "value": "Float64"}))
+        kinds = {"station_id": "object", "ts": "datetime64[us]", "event_id": "Int64", "value": "Float64"}
+        best = _newest_rows(pd.concat([rows.astype(kinds) for rows in seen], ignore_index=True))
+        at = best["ts"].astype("int64") // 1000
+        expired = at <= state.getCurrentWatermarkMs()
+        live = best[~expired]
+        if len(live):
+            cells = live.astype("object").where(live.notna(), None)
+            times = [t.to_pydatetime() for t in live["ts"]]
+            state.update((cells["station_id"].tolist(), times, cells["event_id"].tolist(), cells["value"].tolist()))
+            state.setTimeoutTimestamp(int(at[~expired].min()))
+        elif state.exists:
             state.remove()
-            yield row(key, best, True)
-            return
-        best = state.get if state.exists else None
-        for rows in batches:
-            last = rows.sort_values(["ts", "event_id"]).iloc[-1]
-            found = (last["ts"].to_pydatetime(), int(last["event_id"]))
-            if best is None or found > (pd.Timestamp(best[0]).to_pydatetime(), best[1]):
-                best = (*found, None if pd.isna(last["value"]) else float(last["value"]))
-        if best is None:
-            return
-        at = int(pd.Timestamp(best[0]).timestamp() * 1000)
-        if at > state.getCurrentWatermarkMs():
-            state.update(best)
-            state.setTimeoutTimestamp(at)
-            yield row(key, best, False)
-        else:  # so late that it has expired already
-            if state.exists:
-                state.remove()
-            yield row(key, best, True)
+        told = best.assign(part=key[0], expired=expired)[expired | best["station_id"].isin(touched)]
+        yield told[["station_id", "part", "ts", "event_id", "value", "expired"]]
 
     return (
-        readings.withWatermark("ts", f"{ttl_hours} hours")
-        .withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int"))
-        .groupBy("station_id", "part")
+        readings.where(F.col("ts").isNotNull())
+        .mapInPandas(reduced, readings.schema)
+        .withWatermark("ts", f"{ttl_hours} hours")
+        .withColumn("part", F.pmod(F.xxhash64("station_id"), F.lit(parts)).cast("int"))
+        .groupBy("part")
         .applyInPandasWithState(
             step,
             TTL_SCHEMA,
-            "ts TIMESTAMP, event_id BIGINT, value DOUBLE",
+            "station_id ARRAY<STRING>, ts ARRAY<TIMESTAMP>, event_id ARRAY<BIGINT>, value ARRAY<DOUBLE>",
             "update",
             GroupStateTimeout.EventTimeTimeout,
         )
@@ -187,8 +186,7 @@ def current_values_with_ttl(readings: DataFrame, ttl_hours: int = 48, parts: int
 
 
 def live_values(table: DataFrame) -> DataFrame:
-    """The newest value of every station that has a live part: of each part the last row counts, be it a mark
-    of expiry or a value."""
+    """The newest value of every live station: of each station the last row counts, be it a mark of expiry or a value."""
     last = table.groupBy("station_id", "part").agg(
         F.max_by(F.struct("ts", "event_id", "value", "expired"), F.struct("batch", "expired", "ts", "event_id")).alias("l")
     )

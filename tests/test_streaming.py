@@ -140,3 +140,17 @@ def test_refresh_policy(spark):
     seen = df.withColumn("ts", F.timestamp_seconds(F.unix_timestamp(now) - F.col("age"))).drop("age")
     got = [(r.collect_, r.forecast) for r in jobs.refresh_due(seen, now).withColumnRenamed("collect", "collect_").collect()]
     assert got == [(False, False), (True, False), (True, True)]
+
+
+def test_expiry_is_kept_for_groups_of_stations(spark, landed):
+    """A group holds many stations, and a busy station or one without values gives one row a micro-batch."""
+    key = F.when(F.col("event_id") % 2 == 0, F.lit("busy")).when(F.col("event_id") % 5 > 0, F.col("event_id").cast("string"))
+    source = jobs.reading_stream(spark, landed, "*.parquet", 1, key)
+    source = source.withColumn("value", F.when(F.col("event_id") % 7 > 0, F.col("value")))
+    table = jobs.run_to_table(jobs.current_values_with_ttl(source, ttl_hours=6, parts=2), jobs.TTL_SCHEMA)
+    assert table.groupBy("station_id", "batch").count().where("count > 1").isEmpty()
+    assert table.select("part").distinct().count() == 2 and table.select("station_id").distinct().count() == 162
+    last = batch(spark, landed).agg(F.max("ts")).first()[0]
+    every = batch(spark, landed).withColumn("station_id", key).withColumn("value", F.when(F.col("event_id") % 7 > 0, F.col("value")))
+    want = jobs.current_values(every).where(F.col("ts") > last - timedelta(hours=6))
+    assert {tuple(r) for r in jobs.live_values(table).collect()} == {tuple(r) for r in want.collect()}
