@@ -26,6 +26,7 @@ RANKED, BUCKETS = 1 << 16, 1 << 12
 def long_form(df: DataFrame, columns: list[str], keys=()) -> DataFrame:
     """(keys, column, value) with the NULLs left out."""
     wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    wide = wide.where(F.coalesce(*columns).isNotNull())  # rows without a value, before they are copied for every column
     return wide.unpivot(list(keys), list(columns), "column", "value").where(F.col("value").isNotNull())
 
 
