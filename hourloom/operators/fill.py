@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +14,13 @@ from hourloom.operators.layout import KEYS, LEN, POS, TIME
 
 
 def with_neighbours(
-    df: DataFrame, columns: list[str], keys=KEYS, ts: str = TIME, rows: int = layout.BLOCK_ROWS, cell_seconds: int = layout.CELL_SECONDS
+    df: DataFrame,
+    columns: list[str],
+    keys=KEYS,
+    ts: str = TIME,
+    rows: int = layout.BLOCK_ROWS,
+    cell_seconds: int = layout.CELL_SECONDS,
+    of_series: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_prev_c`` and ``_next_c``: the nearest non-null (position, value) at or before /
     at or after each row, and the row position where it is still missing.
@@ -20,6 +29,7 @@ def with_neighbours(
     Inside a block this is a window. Across blocks, each block reports its row count and
     its first and last value per column (one row per block), which are carried along the
     series and joined back by (series, block). The rows themselves are shuffled once.
+    ``of_series`` (keys, ...) travels with the blocks, so that its columns reach the rows without a shuffle of their own.
     """
     placed = POS in df.columns
     if placed:
@@ -30,6 +40,9 @@ def with_neighbours(
         celled = df.where(F.col(ts).isNotNull()).withColumn("_block", cell)
         ranked = celled.withColumn("_rank", F.row_number().over(in_cell).cast("bigint"))
 
+    # the join below drops NULL keys; dropped here, both of its sides read one shuffle of the rows
+    ranked = ranked.where(reduce(and_, [F.col(c).isNotNull() for c in (*keys, "_block")]))
+
     def known(c):
         return F.when(F.col(c).isNotNull(), F.struct(F.col("_rank").alias("pos"), F.col(c).alias("value")))
 
@@ -61,6 +74,8 @@ def with_neighbours(
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns],
         *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns],
     )
+    if of_series is not None:
+        carried = carried.join(of_series, list(keys), "left")
     inside = Window.partitionBy(*keys, "_block")
     so_far = (Window.unboundedPreceding, 0)
     upto = inside.orderBy("_rank").rowsBetween(*so_far)
@@ -145,12 +160,15 @@ def gap_fill_policy(df: DataFrame, keys=KEYS, ts: str = TIME, skip=(), cell_seco
     linear = [c for c in fixed.INTERPOLATED if c in present]
     middle = [c for c in fixed.MEDIAN_FILLED if c in present]
     out = df
-    if middle:
+    if middle and not (keys and (carry or linear)):
         out = stats.fill_median(out, middle, keys)
     if carry or linear:
-        out = with_neighbours(out, carry + linear, keys, ts, cell_seconds=cell_seconds)
+        medians = stats.quantiles_wide(df, middle, [0.5], keys) if middle and keys else None
+        out = with_neighbours(out, carry + linear, keys, ts, cell_seconds=cell_seconds, of_series=medians)
         values = {c: filled(c) for c in carry} | {c: interpolated(c) for c in linear}
-        out = drop_neighbours(out.withColumns(values), carry + linear)
+        if medians is not None:
+            values |= {c: F.coalesce(F.col(c), F.col(f"{c}_q50")) for c in middle}
+        out = drop_neighbours(out.withColumns(values), carry + linear).drop(*[f"{c}_q50" for c in middle])
         if POS not in df.columns:
             out = out.drop(POS, LEN)
     out = refill_derived(out, ts)

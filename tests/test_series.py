@@ -1,6 +1,6 @@
 import math
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hourloom.operators import fill, layout, rolling, running, splits, upsert
+from hourloom.operators import fill, layout, rolling, running, splits, stats, upsert
 from hourloom.plans import features, training
 from tests.conftest import START
 
@@ -211,3 +211,47 @@ def test_windows_from_running_sums_equal_sliding_frames(spark):
                 near = 1e-6 * max(1.0, abs(value))
                 assert math.isclose(own, value, abs_tol=near), (key, name, own, value, plain[key])
     assert all(r["steps_6_std"] in (None, 0.0) or r["steps_6_std"] > 1e-3 for r in a.values())
+
+
+def test_hourly_grid_equals_the_plain_join(spark):
+    """Gaps over many spans, single rows, a NULL station and a row without a time."""
+    from hourloom.sources import frames
+
+    t0 = datetime(2024, 1, 1, 5)
+    hours = {"a": [0, 1, 2, 9, 40, 41, 120], "b": [7], "c": [0, 19], None: [3, 6]}
+    rows = [(s, t0 + timedelta(hours=h), float(h) if h != 9 else None, h) for s, all_hours in hours.items() for h in all_hours]
+    seen = spark.createDataFrame([*rows, ("a", None, 1.0, 1), ("d", None, 1.0, 1)], "station_id string, ts timestamp, v double, k int")
+    ends = seen.groupBy("station_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    grid = ends.select("station_id", F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("ts"))
+    want = {tuple(r) for r in grid.join(seen, ["station_id", "ts"], "left").collect()}
+    for cell_seconds in (10 * 3600, 30 * 24 * 3600):
+        got = [tuple(r) for r in frames.on_hourly_grid(seen, cell_seconds).collect()]
+        assert len(got) == len(set(got)) == 121 + 1 + 20 + 4 and set(got) == want
+
+
+def test_policy_shuffles_its_rows_once(spark, series):
+    """Medians travel with the blocks, so rows are joined with the edges of their block only; values are as before."""
+    values = [None, 3.0, None, None, 8.0, None, 1.0]
+    df = series(values, column="pm2_5").unionByName(series(values[::-1], "b", "pm2_5"))
+    df = df.withColumns({"pressure": F.col("pm2_5") * 2, "temperature": F.col("pm2_5")})
+    out = fill.gap_fill_policy(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and plan.index("Join Inner") < plan.index("Join LeftOuter")
+    first = stats.fill_median(df, ["pressure"], ["station_id"])
+    both = fill.interpolate_linear(fill.ffill_bfill(first, ["pm2_5"]), ["temperature"])
+    names = ["station_id", "ts", "pm2_5", "pressure", "temperature"]
+    assert {tuple(r) for r in out.select(names).collect()} == {tuple(r) for r in both.select(names).collect()}
+    alone = fill.gap_fill_policy(df.select("station_id", "ts", "pressure"))
+    assert alone.where("pressure is null").isEmpty() and alone.columns == ["station_id", "ts", "pressure"]
+
+
+def test_figures_of_features_are_no_copies_of_rows(spark):
+    """A row is not projected once for each of its features; names and counts are those of the columns."""
+    from hourloom.catalog.series import summed
+
+    df = spark.createDataFrame([("s", 1.0, None), ("s", 2.5, 4.0), (None, None, 1.0)], "station_id string, x double, y double")
+    out = summed(df, ["x", "y"])
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in out.collect()} == {("s", "x", 2, 3.5, 1.0, 2.5), ("s", "y", 1, 4.0, 4.0, 4.0), (None, "y", 1, 1.0, 1.0, 1.0)}
