@@ -12,16 +12,18 @@ empty blocks are left out, and blocks are joined by line feeds.
 
 Defined cases: null or empty html gives the empty text; a null url belongs to the empty host; a host with fewer than
 ``LEAST`` groups of texts has no template; pages cut off anywhere are read as far as they go; of very long lists of
-child elements (over ``CELLS`` pairs) that differ, the middle is aligned in order of first fit; elements nested deeper
-than ``DEEP`` count as text of their ancestor, but what is left out stays left out; repeated rows give equal texts; an empty table gives no rows.
+child elements (over ``CELLS`` pairs) that differ, the best matching is the same, found by whole rows of cells of which few
+are kept; elements may be nested as deep as they are; repeated rows give equal texts; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ LEAST, SHARE = 3, 0.8
 #: Estimated Jaccard similarity of the word pairs of near-equal texts, by minima of so many bands of so many hashes.
 ALIKE, BANDS, BAND = 0.8, 12, 5
 _SEEDS = words.scrambled(BANDS * BAND, 71)
-CELLS, DEEP = 250_000, 200
+CELLS = 250_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)>?", re.S
@@ -92,7 +94,6 @@ def parse(source: str) -> Page:
     page = Page()
     stack: list[tuple[str, int]] = [("#", 0)]
     places: dict[str, list[int]] = {}  # where a tag is open on the stack
-    beyond: set[int] = set()  # left-out elements below the depth limit
     at = 0
 
     def text(chunk: str) -> None:
@@ -150,12 +151,6 @@ def parse(source: str) -> Page:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
             at = end.end() if end else len(source)
         elif not m[3].endswith("/"):
-            up = stack[-1][1]
-            if len(stack) >= DEEP:  # its text is its ancestor's, unless it is left out
-                if up not in beyond and left_out(page, node, bool(places.get("article") or places.get("main"))):
-                    beyond.add(node)
-                else:
-                    node = up
             places.setdefault(tag, []).append(len(stack))
             stack.append((tag, node))
 
@@ -164,6 +159,7 @@ class Matcher:
     """Simple tree matching. Trees of one shape are one number, and weights of pairs of shapes are remembered."""
 
     def __init__(self):
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 1_000_000))  # a level of a tree is a call or two
         self.shapes: dict[tuple, int] = {}
         self.parts: list[tuple[str, tuple[int, ...]]] = []
         self.weights: dict[tuple[int, int], int] = {}
@@ -186,7 +182,12 @@ class Matcher:
         found = self.weights.get(key)
         if found is None:
             (label, left), (other, right) = self.parts[a], self.parts[b]
-            found = 0 if label != other else 1 + sum(self.weight(left[i], right[j]) for i, j in self.pairs(left, right))
+            found = int(label == other)
+            if found and left and right:
+                for i, j in self.pairs(left, right):
+                    found += self.weight(left[i], right[j])
+            if len(self.weights) > 2_000_000:
+                self.weights.clear()
             self.weights[key] = found
         return found
 
@@ -203,13 +204,7 @@ class Matcher:
         if not a or not b:
             return out
         if len(a) * len(b) > CELLS:
-            j = 0
-            for i, shape in enumerate(a):
-                k = next((k for k in range(j, min(j + 50, len(b))) if self.parts[b[k]][0] == self.parts[shape][0]), None)
-                if k is not None:
-                    out.append((lo + i, lo + k))
-                    j = k + 1
-            return out
+            return out + [(lo + i, lo + j) for i, j in self.long_pairs(a, b)]
         best = [[0] * (len(b) + 1)]
         for x in a:
             above, row = best[-1], [0]
@@ -227,6 +222,57 @@ class Matcher:
                 out.append((lo + i, lo + j))
         return out
 
+    def best_rows(self, a: tuple[int, ...], b: np.ndarray, row: np.ndarray) -> Iterator[np.ndarray]:
+        """The rows of the table of best weights that follow the given one, a whole row at a time."""
+        distinct, places = np.unique(b, return_inverse=True)
+        kinds = {}
+        for k, shape in enumerate(distinct.tolist()):
+            label, children = self.parts[shape]
+            same, nested = kinds.setdefault(label, ([], []))
+            same.append(k)
+            if children:
+                nested.append((k, shape))
+        last, weights = None, None
+        for x in a:
+            if x != last:
+                label, children = self.parts[x]
+                same, nested = kinds.get(label, ((), ()))
+                found = np.zeros(len(distinct), np.int64)
+                found[list(same)] = 1
+                if children:
+                    for k, shape in nested:
+                        found[k] = self.weight(x, shape)
+                last, weights = x, found[places]
+            below = np.zeros_like(row)
+            np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights), out=below[1:])
+            row = below
+            yield row
+
+    def long_pairs(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[tuple[int, int]]:
+        """The same matching of two long lists. Of n rows the square root of n are kept, and those between are made again
+        on the way back."""
+        wide, step = np.asarray(b), isqrt(len(a)) + 1
+        row = np.zeros(len(b) + 1, np.int64)
+        kept = [row]
+        for i, row in enumerate(self.best_rows(a, wide, row), 1):
+            if i % step == 0:
+                kept.append(row)
+        out, i, j = [], len(a), len(b)
+        while i and j:
+            start = (i - 1) // step * step
+            first = kept[start // step][: j + 1]
+            best = [first, *self.best_rows(a[start:i], wide[:j], first)]
+            while i > start and j:
+                here, above = best[i - start], best[i - start - 1]
+                if here[j] == above[j]:
+                    i -= 1
+                elif here[j] == here[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((i, j))
+        return out
+
     def align(self, page: Page, shapes: list[int], other: Page, other_shapes: list[int]) -> dict[int, int]:
         """Nodes of the page to nodes of the other."""
         out, open_pairs = {}, [(0, 0)]

@@ -361,3 +361,32 @@ def test_spent_tables_are_removed(spark):
     assert os.path.isdir(folder)
     discard(table)
     assert not os.path.exists(folder)
+
+
+def test_long_lists_are_matched_as_short_ones_are(monkeypatch):
+    """The best matching, whatever the number of cells: long lists only take another way to it."""
+    rnd = np.random.default_rng(5)
+    kinds = ["<p>x</p>", "<div><b>x</b><i>y</i></div>", "<div><i>y</i><b>x</b></div>", "<div><b>x</b></div>", "<ul><li>1<li>2</ul>", "<div></div>"]
+    for n, m in [(1, 7), (9, 4), (40, 55), (60, 31)]:
+        page, other = (page_text.parse("<body>" + "".join(kinds[k] for k in rnd.integers(0, len(kinds), size)) + "</body>") for size in (n, m))
+        found = []
+        for cells in (10**9, 0):
+            monkeypatch.setattr(page_text, "CELLS", cells)
+            matcher = page_text.Matcher()
+            found.append(matcher.align(page, matcher.shaped(page), other, matcher.shaped(other)))
+        assert found[0] == found[1] and len(found[0]) > 2
+
+
+def test_wrapper_of_long_and_of_deep_pages(spark):
+    """More than 500 x 500 children that differ, and more than 200 levels: template is found as on small pages."""
+    rows = []
+    for i in range(6):
+        lead = "<b>0</b>" + "<i>1</i>" * (60 + i)  # matches nothing in first-fit order beyond 50 places
+        marks = "".join(f"<em>{words(2, 1000 * i + k)}</em>" if k % 2 else "<u>same</u>" for k in range(600))
+        rows.append((i, f"http://long.org/{i}", f"<body>{lead if i % 2 else ''}{marks}<s>{words(3, 90 + i)}</s></body>"))
+        deep = "<div>" * 300 + f"Frame<div>{words(9, i)}</div>"
+        rows.append((10 + i, f"http://deep.org/{i}", f"<body>{deep}</body>"))
+    got = texts(spark, rows)
+    for i in range(6):
+        assert "same" not in got[i] and words(3, 90 + i) in got[i]
+        assert got[10 + i] == words(9, i)
