@@ -440,5 +440,5 @@ def main_texts(pages: DataFrame) -> DataFrame:
     first = F.min_by("html", F.struct(F.xxhash64("html"), F.length("html")))
     references = stored(pages.where("html <> ''").groupBy("host").agg(first.alias("reference")), "references")
     fixed = stored(templates(pages.join(references, "host")), "templates")
-    known = references.join(fixed, "host")
+    known = stored(references.join(fixed, "host"), "known")  # its true size lets Spark send it to the pages if it is small
     return pages.join(known, "host", "left").mapInArrow(text_rows, f"page_id {kind}, url string, text string")
