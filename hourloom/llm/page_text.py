@@ -56,6 +56,8 @@ BLOCK = frozenset(
 )
 #: Opening one of these ends an open paragraph.
 ENDS_P = BLOCK - {"br", "body", "head", "html", "option", "title", "legend", "td", "th", "tr", "tbody", "thead", "tfoot"}
+#: Unless one of these but itself stands between.
+KEEPS_P = {t: {"table", "td", "th", "button", "body", "div", "li", "section", "article"} - {t} for t in ENDS_P}
 #: Opening the key ends an open one of the first group, unless one of the second stands between.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -68,6 +70,7 @@ ENDS = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
 }
+RAW_END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW}
 ASIDE = RAW | frozenset("head nav footer aside form button select svg canvas object dialog menu audio video math".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 NAMES = re.compile(
@@ -125,10 +128,16 @@ def parse(source: str) -> Page:
         if not tag:
             continue
         if m[1]:
-            close({tag})
+            if stack[-1][0] == tag:
+                if tag in BLOCK:
+                    page.texts.append(None)
+                places[tag].pop()
+                stack.pop()
+            else:
+                close({tag})
             continue
-        if tag in ENDS_P:
-            close({"p"}, {"table", "td", "th", "button", "body", "div", "li", "section", "article"} - {tag})
+        if tag in ENDS_P and places.get("p"):
+            close({"p"}, KEEPS_P[tag])
         if tag in ENDS:
             wanted, barrier = ENDS[tag]
             while stack[-1][0] != "#" and top(wanted):
@@ -141,14 +150,14 @@ def parse(source: str) -> Page:
         if tag in VOID:
             continue
         node = len(page.labels)
-        named = " ".join(g[1] or g[2] or g[3] for g in (a.groups("") for a in ATTRIBUTE.finditer(" " + m[3])) for g in [("", *g[1:])])
+        named = " ".join(a[2] or a[3] or a[4] or "" for a in ATTRIBUTE.finditer(" " + m[3])) if m[3] else ""
         page.labels.append(tag)
         page.parents.append(stack[-1][1])
         page.children.append([])
         page.names.append(named)
         page.children[stack[-1][1]].append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
+            end = RAW_END[tag].search(source, at)
             at = end.end() if end else len(source)
         elif not m[3].endswith("/"):
             places.setdefault(tag, []).append(len(stack))
@@ -349,16 +358,18 @@ class Host:
         return page, self.matcher.align(page, self.matcher.shaped(page), *self.known[reference])
 
 
-def signature(text: str) -> list[int] | None:
-    """The least hashes of the text's word pairs; None without words."""
-    low = None
-    for block in words.blocks(pa.array([text], pa.string()), words.LETTERS, lower=True):
+def signatures(texts: list[str]) -> list[list[int] | None]:
+    """The least hashes of each text's word pairs; None without words."""
+    out: list[list[int] | None] = []
+    for block in words.blocks(pa.array(texts, pa.large_string()), words.LETTERS, lower=True):
         for _, own in block.rows():
-            pairs = words.shingle_set(block.hashes[own], 2)
-            for i in range(0, len(pairs), 4096):
-                part = words.mix(pairs[i : i + 4096, None] ^ _SEEDS).min(axis=0)
+            hashes, low = block.hashes[own], None
+            pairs = words.grams(hashes, tuple(range(min(2, len(hashes))))) if len(hashes) else hashes
+            for i in range(0, len(pairs), 512):
+                part = words.mix(pairs[i : i + 512, None] ^ _SEEDS).min(axis=0)
                 low = part if low is None else np.minimum(low, part)
-    return None if low is None else (low & np.uint64(0x7FFFFFFF)).astype(np.int32).tolist()
+            out.append(None if low is None else (low & np.uint64(0x7FFFFFFF)).astype(np.int32).tolist())
+    return out
 
 
 def slot_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,19 +377,25 @@ def slot_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     signature comes in a row without a slot."""
     hosts = Host()
     for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("host", "slot", "text", "variant", "signature")}
+        out: dict[str, list] = {k: [] for k in ("host", "slot", "text", "variant")}
+        mains: dict[tuple, str] = {}
         for host, source, reference in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "reference"))):
             page, to = hosts.aligned(source, reference)
             main = main_text(page, set())
             variant = digest(main)
-            rows = [(host, to[n], digest(t), variant, None) for n, t in own_texts(page).items() if n in to]
-            if rows and (low := signature(main)):
-                rows.append((host, None, None, variant, low))
+            rows = [(host, to[n], digest(t), variant) for n, t in own_texts(page).items() if n in to]
+            if rows:
+                mains[host, variant] = main
             for row in rows:
                 for k, v in zip(out, row):
                     out[k].append(v)
+        signed = [(*key, low) for key, low in zip(mains, signatures(list(mains.values()))) if low]
+        filler = [None] * len(signed)
+        columns = [out["host"] + [r[0] for r in signed], out["slot"] + filler, out["text"] + filler]
+        columns += [out["variant"] + [r[1] for r in signed], [None] * len(out["host"]) + [r[2] for r in signed]]
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+        names = ["host", "slot", "text", "variant", "signature"]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds)], names=names)
 
 
 def text_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

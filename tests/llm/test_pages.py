@@ -4,6 +4,7 @@ import hashlib
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hourloom.llm import chat_trees, components, hnsw, page_text, queries, url_filters
@@ -390,3 +391,19 @@ def test_wrapper_of_long_and_of_deep_pages(spark):
     for i in range(6):
         assert "same" not in got[i] and words(3, 90 + i) in got[i]
         assert got[10 + i] == words(9, i)
+
+
+def test_main_texts_of_a_batch_are_signed_together(monkeypatch):
+    pages = [f"<body><p>{words(40, 300 + i)}</p><p>{words(9, 5)}</p></body>" for i in range(30)]
+    batch = pa.RecordBatch.from_pydict({"host": ["h"] * 30, "html": pages, "reference": [pages[0]] * 30})
+    calls, blocks = [], page_text.words.blocks
+    monkeypatch.setattr(page_text.words, "blocks", lambda *a, **k: (calls.append(1), blocks(*a, **k))[1])
+    (out,) = page_text.slot_rows(iter([batch]))
+    signed = [r for r in out.to_pylist() if r["slot"] is None]
+    assert len(calls) == 1 and len({r["variant"] for r in signed}) == 30
+    for row, html in zip(signed, pages):
+        text = page_text.main_text(page_text.parse(html), set())
+        (block,) = blocks(pa.array([text]), page_text.words.LETTERS, lower=True)
+        pairs = page_text.words.shingle_set(block.hashes, 2)
+        low = page_text.words.mix(pairs[:, None] ^ page_text._SEEDS).min(axis=0) & np.uint64(0x7FFFFFFF)
+        assert row["signature"] == low.tolist() and row["variant"] == page_text.digest(text)
