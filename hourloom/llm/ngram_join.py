@@ -26,6 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,8 +47,8 @@ ROUNDS, WORTH = 6, 0.2
 #: Leaders of a long list, the length from which it is one, and leaders that a vertex is compared with in a round.
 LEADERS, LONG, TRIED = 8, 16, 16
 
-#: Words of the bitmap of buckets that a set occupies.
-WORDS = 8
+#: Words of the bitmap of buckets that a set occupies, and of the narrow one that it is folded to for short lists.
+WORDS, NARROW = 32, 8
 #: A pair of vertices: the smallest id of equal texts, and a fingerprint of their set.
 PAIR = ("id", "f1", "n", "id_b", "f1_b", "n_b")
 
@@ -279,6 +280,7 @@ class Join:
             "doc_id long, text_hash long, n long, f1 long, f2 long, k int, prefix array<long>",
         )
         prefixes = stored(rows, "prefixes")
+        sketch.destroy()
         self.signed = stored(prefixes.drop("k", "prefix"), "signed")
         sets = prefixes.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n")
         least = sets.agg(F.min("doc_id").alias("id"), F.first("k").alias("k"))
@@ -294,6 +296,7 @@ class Join:
         schema = "id long, f1 long, counts binary, shingles array<long>" + "".join(f", b{i} long" for i in range(WORDS))
         sets = texts.mapInArrow(lambda it: set_rows(it, wanted, n), schema)
         self.sets = stored(sets, "sets")
+        wanted.destroy()
         self.links: list[DataFrame] = []
         self.classes: DataFrame | None = None
 
@@ -301,15 +304,15 @@ class Join:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
 
     def open_lists(self) -> DataFrame:
-        """The lists that span components, each row with its component; a closed list never opens again."""
+        """The lists that span components, each row with its component and its list's size; a closed list never opens again."""
         rows = self.lists
         if self.classes is not None:
             rows = rows.join(self.classes, "f1", "left").withColumn("component", F.coalesce("component", "f1"))
         else:
             rows = rows.withColumn("component", F.col("f1"))
-        span = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        rows = stored(rows.join(span.where("lo < hi").select("token"), "token"), "open")
-        self.lists = rows.drop("component")
+        span = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
+        rows = stored(rows.join(span.where("lo < hi").select("token", "size"), "token"), "open")
+        self.lists = rows.drop("component", "size")
         return rows
 
     def leader_pairs(self, seed: int) -> DataFrame:
@@ -319,9 +322,10 @@ class Join:
             F.min(F.struct(F.xxhash64("id", F.lit(seed * LEADERS + i)), "id", "f1", "n", "component")).alias(f"l{i}")
             for i in range(LEADERS)
         ]
-        first = rows.groupBy("token").agg(F.count("*").alias("size"), *drawn)
-        few, many = F.array("l0"), F.array(*(f"l{i}" for i in range(LEADERS)))
-        first = first.select("token", F.when(F.col("size") > LONG, many).otherwise(few).alias("leaders"))
+        # most lists are short and have one leader
+        first = rows.where(F.col("size") <= LONG).groupBy("token").agg(drawn[0]).select("token", F.array("l0").alias("leaders"))
+        many = rows.where(F.col("size") > LONG).groupBy("token").agg(*drawn)
+        first = first.union(many.select("token", F.array(*(f"l{i}" for i in range(LEADERS)))))
         pairs = rows.join(first, "token").withColumn("l", F.explode("leaders")).drop("leaders")
         pairs = pairs.where("component <> l.component").where(self.size_fits("n", "l.n"))
         leader = [F.col(f"l.{c}").alias(f"{c}_b") for c in ("id", "f1", "n")]
@@ -332,50 +336,75 @@ class Join:
     def rest_pairs(self) -> DataFrame:
         """All pairs across components that share enough: one side is outside its list's largest component.
 
-        Pairs are dropped on the way if their bitmaps say so: a bucket that only one set occupies holds a shingle
-        that the other lacks.
+        Pairs are dropped before they are made if their bitmaps say so: a bucket that only one set occupies holds a
+        shingle that the other lacks. The texts of a family meet on many long lists with nearly the same members. Long lists
+        with one leader are therefore joined as one, each text once with all its shingles on them, and with a wider bitmap.
         """
         rows = self.open_lists()
-        bits = [f"b{i}" for i in range(WORDS)]
-        rows = rows.join(self.sets.select("id", "f1", *bits).dropDuplicates(["id", "f1"]), ["id", "f1"])
-        sizes = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
-        major = sizes.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("major"))
-        rows = rows.join(major, "token")
-        names = ("id", "f1", "n", "k", "component", *bits)
-        minor = rows.where("component <> major").select("token", *(F.col(c).alias(f"{c}_b") for c in names))
-        pairs = minor.join(rows, "token").where("component_b <> component")
-        pairs = pairs.where("component = major or (id_b, f1_b) < (id, f1)").where(self.size_fits("n", "n_b"))
-        lack = lambda x, y: "+".join(f"bit_count({b}{x} & ~{b}{y})" for b in bits)
-        same = F.least(F.expr(f"n - ({lack('', '_b')})"), F.expr(f"n_b - ({lack('_b', '')})"))
-        pairs = pairs.where(same * 100 >= (F.col("n") + F.col("n_b") - same) * self.percent)
+        narrow = [F.expr("|".join(f"b{j}" for j in range(i, WORDS, NARROW))).alias(f"b{i}") for i in range(NARROW)]
+        wide = F.array(*(f"b{i}" for i in range(WORDS))).alias("wide")
+        sets = self.sets.select("id", "f1", *narrow, wide).dropDuplicates(["id", "f1"])
+        short = rows.where(F.col("size") <= LONG).drop("size").join(sets.drop("wide"), ["id", "f1"])
+        short = self.across(short, "token").withColumn("shared", F.lit(1))
+        long = rows.where(F.col("size") > LONG).drop("size")
+        drawn = F.min(F.struct(F.xxhash64("id"), F.col("f1"))).getField("f1")
+        long = long.join(long.groupBy("token").agg(drawn.alias("lead")), "token")
+        long = long.groupBy("lead", "id", "f1", "n", "k", "component")
+        long = self.across(long.agg(F.collect_list("token").alias("tokens")).join(sets, ["id", "f1"]), "lead")
+        lack = lambda x, y: f"aggregate(zip_with(wide{x}, wide{y}, (v, w) -> bit_count(v & ~w)), 0, (t, v) -> t + v)"
+        long = self.may_link(long, lack).withColumn("shared", F.size(F.array_intersect("tokens", "tokens_b")))
         # the largest component differs from list to list, so one pair comes in both orders; it is counted in one
         ends = [F.struct(*(F.col(f"{c}{side}").alias(c) for c in ("id", "f1", "n"))) for side in ("", "_b")]
-        pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"), F.least("k", "k_b").alias("k"))
-        pairs = pairs.select(*(F.col(f"{e}.{c}").alias(f"{c}{s}") for e, s in (("a", ""), ("b", "_b")) for c in ("id", "f1", "n")), "k")
-        pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("shared"), F.min("k").alias("k"))
+        ends = (F.least(*ends).alias("a"), F.greatest(*ends).alias("b"), F.least("k", "k_b").alias("k"), F.col("shared"))
+        pairs = short.select(*ends).union(long.where("shared > 0").select(*ends))
+        named = [F.col(f"{e}.{c}").alias(f"{c}{s}") for e, s in (("a", ""), ("b", "_b")) for c in ("id", "f1", "n")]
+        pairs = pairs.select(*named, "k", "shared").groupBy(*PAIR).agg(F.sum("shared").alias("shared"), F.min("k").alias("k"))
         return pairs.where("shared >= k").select(*PAIR)
 
+    def across(self, rows: DataFrame, key: str) -> DataFrame:
+        """The pairs across components of the rows of each key that sizes and bitmaps do not rule out."""
+        sizes = rows.groupBy(key, "component").agg(F.count("*").alias("size"))
+        major = sizes.groupBy(key).agg(F.max_by("component", F.struct("size", "component")).alias("major"))
+        rows = rows.join(major, key)
+        names = [c for c in rows.columns if c not in (key, "major")]
+        minor = rows.where("component <> major").select(key, *(F.col(c).alias(f"{c}_b") for c in names))
+        pairs = minor.join(rows, key).where("component_b <> component")
+        pairs = pairs.where("component = major or (id_b, f1_b) < (id, f1)").where(self.size_fits("n", "n_b"))
+        return self.may_link(pairs, lambda x, y: "+".join(f"bit_count(b{i}{x} & ~b{i}{y})" for i in range(NARROW)))
+
+    def may_link(self, pairs: DataFrame, lack) -> DataFrame:
+        """``lack``: an expression of how many shingles of one side the other lacks at least."""
+        same = F.least(F.expr(f"n - ({lack('', '_b')})"), F.expr(f"n_b - ({lack('_b', '')})"))
+        return pairs.where(same * 100 >= (F.col("n") + F.col("n_b") - same) * self.percent)
+
+    def sets_of(self, pairs: DataFrame, column) -> tuple[DataFrame, Broadcast]:
+        """(id, f1, column) of few more sets than those of the pairs, and the filter that tells them."""
+        ends = pairs.select("id", "f1").union(pairs.select("id_b", "f1_b"))
+        wanted = pairs.sparkSession.sparkContext.broadcast(filter_bits(ends))
+        sets = self.sets.select("id", "f1", column)
+        return sets.mapInArrow(lambda it: hit_rows(it, wanted), sets.schema), wanted
+
     def verify(self, pairs: DataFrame) -> int:
         """Compare whole sets; returns how many pairs link."""
-        counts = self.sets.select("id", "f1", F.col("counts").alias("a"))
+        pairs = stored(pairs, "near")
+        counts, wanted = self.sets_of(pairs, F.col("counts").alias("a"))
         both = pairs.join(counts, ["id", "f1"]).join(counts.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
         percent = self.percent
         pairs = both.select(*PAIR, "a", "b").mapInArrow(
             lambda it: possible_rows(it, percent), "id long, f1 long, id_b long, f1_b long"
         )
         pairs = stored(pairs.distinct(), "pairs")
+        wanted.destroy()
         if pairs.isEmpty():
             return 0
-        ends = pairs.select("id", "f1").union(pairs.select("id_b", "f1_b"))
-        wanted = pairs.sparkSession.sparkContext.broadcast(filter_bits(ends))
-        sets = self.sets.select("id", "f1", "shingles")
-        sets = sets.mapInArrow(lambda it: hit_rows(it, wanted), sets.schema)
-        both = pairs.join(sets.withColumnRenamed("shingles", "a"), ["id", "f1"])
+        sets, wanted = self.sets_of(pairs, F.col("shingles").alias("a"))
+        both = pairs.join(sets, ["id", "f1"])
         both = both.join(sets.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
         same = F.size(F.array_intersect("a", "b"))
         both = both.select("f1", "f1_b", same.alias("same"), (F.size("a") + F.size("b") - same).alias("either"))
         linked = both.where(F.col("same") * 100 >= F.col("either") * self.percent)
         linked = stored(linked.select(F.col("f1").alias("a"), F.col("f1_b").alias("b")).distinct(), "links")
+        wanted.destroy()
         found = linked.count()
         if found:
             self.links.append(linked)

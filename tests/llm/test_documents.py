@@ -1,5 +1,6 @@
 """Operators on documents against plain versions."""
 
+import random
 import re
 import zlib
 
@@ -72,6 +73,45 @@ def test_rest_pairs_count_both_orders_of_a_pair(spark):
     assert got == [(3, 7)]
 
 
+def family(size):
+    """Texts of one base, of which any two differ by about a fifth of their shingles."""
+    base, out = words(300, 21).split(), []
+    for i in range(size):
+        own = list(base)
+        for j in random.Random(i).sample(range(300), 8):
+            own[j] = f"edit{i}x{j}"
+        out.append((i + 1, " ".join(own)))
+    return out
+
+
+def test_a_family_below_the_threshold_makes_few_pairs(spark):
+    rows = family(60)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ngram_join.Join(frame, 4, 85).rest_pairs().count() < len(rows)
+    # links on the edge of the threshold are not lost among them
+    near = [(100 + i, t.rsplit(" ", 12 * i)[0] + f" end{i}" * (i > 0)) for i, (_, t) in enumerate(rows[:5])]
+    rows += near
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=4, percent=85)
+    plain = plain_classes(rows, 4, 85)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(plain)
+
+
+def test_the_join_leaves_no_broadcast_behind(spark, monkeypatch):
+    made = []
+    make = type(spark.sparkContext).broadcast
+
+    def recorded(self, value):
+        made.append(make(self, value))
+        monkeypatch.setattr(made[-1], "destroy", lambda b=made[-1]: (gone.append(b), type(b).destroy(b)), raising=False)
+        return made[-1]
+
+    gone = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", recorded)
+    frame = spark.createDataFrame(family(20) + [(50, family(1)[0][1] + " end")], "doc_id long, text string")
+    ngram_join.near_duplicates(frame, n=4, percent=85).collect()
+    assert made and len(gone) == len(made)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], DOC_SCHEMA)).collect() == []
 
