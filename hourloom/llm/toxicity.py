@@ -174,12 +174,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
 
     def coordinates(batches):
         pairs_of, wanted = unpacked(usual.value), unpacked(live.value)
-        rank = np.cumsum(wanted, dtype=np.int32) - 1
+        known = np.flatnonzero(wanted)
         for batch in batches:
             for block in words.blocks(batch.column("text"), words.LETTERS, lower=True):
                 row, slot = block_slots(block, pairs_of, wanted)
                 edges = np.searchsorted(row, np.arange(len(block.counts) + 1))
-                at = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(rank[slot], pa.int32()))
+                at = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.searchsorted(known, slot), pa.int32()))
                 same = [batch.column(c).slice(block.lo, block.hi - block.lo) for c in ("shard", "deal", "toxic")]
                 yield pa.RecordBatch.from_arrays([*same, at], names=["shard", "deal", "toxic", "at"])
 
