@@ -4,7 +4,8 @@ A text is the set of its words, word pairs and pairs with one or two words betwe
 punctuation, each hashed to one of 2**24 slots. Coordinates are the slots that at least three rows of the sample fill, counted
 by counters of fixed size; no number of them is kept or cut beyond that. The fit uses a bounded sample of labelled rows, dealt to
 shards; in every round each shard runs FTRL (per-coordinate rates, L1) over its rows from the shared state, and the changes are
-averaged. L1 leaves few weights, which are broadcast; scoring reads every whole text once.
+averaged; the driver holds the state and the changes of one task at a time. L1 leaves few weights, which are broadcast;
+scoring reads every whole text once.
 
 Defined cases: null or empty text scores the intercept; rows without a label or with a null label do not train;
 an id with several labels counts as 1 if any is 1; without both labels the score is the smoothed share of label 1;
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -210,17 +212,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 parts = (at.astype(np.int32), (z1 - z0)[at], (n1 - n0)[at])
                 row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("at", "dz", "dn"), parts)}
                 row |= {k: pa.array([b1[i] - b0[i]], pa.float64()) for i, k in enumerate(("bz", "bn"))}
+                row |= {"task": pa.array([TaskContext.get().partitionId()], pa.int32())}
                 yield pa.RecordBatch.from_pydict(row)
 
         # a row for each shard, with 12 bytes for each coordinate that its rows have
-        changes = rows.mapInArrow(one_pass, "at binary, dz binary, dn binary, bz double, bn double").collect()
+        schema = "at binary, dz binary, dn binary, bz double, bn double, task int"
+        changes = stored(rows.mapInArrow(one_pass, schema), "changes")
         state.destroy()
         z, n, bias = z.copy(), n.copy(), list(bias)
-        for row in changes:
-            at = np.frombuffer(row["at"], np.int32)
-            z[at] += np.frombuffer(row["dz"], np.float32) / len(changes)
-            n[at] += np.frombuffer(row["dn"], np.float32) / len(changes)
-            bias = [bias[0] + row["bz"] / len(changes), bias[1] + row["bn"] / len(changes)]
+        made = {r["task"]: r["count"] for r in changes.groupBy("task").count().collect()}
+        shards = sum(made.values())
+        for task in sorted(made):  # in one order, as sums of floats depend on it
+            for row in changes.where(F.col("task") == task).collect():
+                at = np.frombuffer(row["at"], np.int32)
+                z[at] += np.frombuffer(row["dz"], np.float32) / shards
+                n[at] += np.frombuffer(row["dn"], np.float32) / shards
+                bias = [bias[0] + row["bz"] / shards, bias[1] + row["bn"] / shards]
+        discard(changes)
     discard(rows)
     w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
     intercept = -bias[0] / ((BETA + bias[1] ** 0.5) / ALPHA)
