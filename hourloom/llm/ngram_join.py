@@ -5,7 +5,8 @@ global order, rare first, from a count sketch of fixed size. If two sets link, t
 ``size - ceil(percent * size) + k`` shingles share k of them. Every text picks the k, and so the length of its
 prefix, that costs least by the estimated number of candidates; a pair is verified if it shares the smaller k of the
 two in its prefixes. Verification first bounds the overlap by the sets' counts per hash bucket, a byte for each, and
-compares the whole sets of the pairs that may still link.
+compares the whole sets of the pairs that may still link. Both are made from the texts of these pairs when they are
+needed; of the other texts on shared lists only a bitmap is kept.
 
 Only classes are asked for, so a pair inside one known component needs no verification. Texts with equal sets become
 one vertex first. Rounds then compare each vertex with random leaders of its prefix lists, which joins large groups
@@ -26,7 +27,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +40,10 @@ CHUNK_BITS = 18
 FULL = (1 << 16) - 1
 #: Longest multi-match that a text may choose.
 DEEPEST = 6
-#: Bits of the filter that tells which texts a verification reads.
-FILTER_BITS = 22
+#: Partial sketches that are added before the rest of them is.
+ADDED = 16
+#: Bits of each half of the filter that tells which texts a verification reads: by id, and by id and set.
+FILTER_BITS = 24
 #: Rounds of leaders at most; they end when one links less than this share of what the first did.
 ROUNDS, WORTH = 6, 0.2
 #: Leaders of a long list, the length from which it is one, and leaders that a vertex is compared with in a round.
@@ -110,7 +112,7 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     schema = "chunk int, data binary"
     part = docs.select("text").mapInArrow(lambda it: counted(it, n), schema)
     lanes = 1 << (SKETCH_BITS - CHUNK_BITS)
-    part = part.withColumn("lane", F.spark_partition_id() % 32).repartition(lanes, "chunk", "lane")
+    part = part.withColumn("lane", F.floor(F.spark_partition_id() / ADDED)).repartition(lanes, "chunk", "lane")
     whole = part.select("chunk", "data").mapInArrow(summed, schema).repartition(lanes, "chunk").mapInArrow(summed, schema)
     out = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
     for row in whole.collect():
@@ -118,6 +120,15 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     return out
 
 
+def median(counts: np.ndarray) -> float:
+    """Of an even number of counters, without a copy of them."""
+    held = np.zeros(FULL + 1, dtype=np.int64)
+    for part in np.split(counts, 1 << (SKETCH_BITS - CHUNK_BITS)):
+        held += np.bincount(part, minlength=FULL + 1)
+    half = len(counts) // 2
+    return float(np.searchsorted(np.cumsum(held), (half, half + 1)).mean())
+
+
 def adaptive_prefix(s: np.ndarray, counts: np.ndarray, noise: float, percent: int) -> tuple[int, np.ndarray]:
     """How many prefix shingles a partner must share, and the prefix."""
     load = counts[slots(s)]
@@ -134,23 +145,23 @@ def adaptive_prefix(s: np.ndarray, counts: np.ndarray, noise: float, percent: in
 
 def prefix_rows(batches: Iterable[pa.RecordBatch], sketch, n: int, percent: int) -> Iterator[pa.RecordBatch]:
     counts, noise = sketch.value
+    kinds = {"n": pa.int64(), "f1": pa.int64(), "f2": pa.int64(), "k": pa.int32(), "prefix": pa.list_(pa.int64())}
     for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("row", "n", "f1", "f2", "k", "prefix")}
+        rows: list[tuple] = []
 
         def flush():
-            rows = out.pop("row")
-            columns = {c: batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "text_hash")}
-            kinds = {"n": pa.int64(), "f1": pa.int64(), "f2": pa.int64(), "k": pa.int32(), "prefix": pa.list_(pa.int64())}
-            return pa.RecordBatch.from_pydict(columns | {c: pa.array(out[c], t) for c, t in kinds.items()})
+            at, *values, there = zip(*rows)
+            out = {c: batch.column(c).take(pa.array(at, pa.int64())) for c in ("doc_id", "text_hash")}
+            out |= {c: pa.array(v, t) for (c, t), v in zip(kinds.items(), values)}
+            return pa.RecordBatch.from_pydict(out | {f"b{i}": pa.array(v) for i, v in enumerate(np.stack(there, axis=1))})
 
         for row, s in text_sets(batch, n):
             k, prefix = adaptive_prefix(s, counts, noise, percent) if len(s) else (0, s)
-            for c, v in zip(out, (row, len(s), *fingerprint(s), k, words.as_signed(prefix))):
-                out[c].append(v)
-            if len(out["row"]) == 1024:
+            rows.append((row, len(s), *fingerprint(s), k, words.as_signed(prefix), presence(s)))
+            if len(rows) == 1024:
                 yield flush()
-                out = {k: [] for k in ("row", "n", "f1", "f2", "k", "prefix")}
-        if out["row"]:
+                rows = []
+        if rows:
             yield flush()
 
 
@@ -180,17 +191,26 @@ def vertex_slots(ids: np.ndarray, f1: np.ndarray) -> np.ndarray:
     return (hashed & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) + 1
 
 
+def id_slots(ids: np.ndarray) -> np.ndarray:
+    """The half after that of vertices."""
+    return vertex_slots(ids, np.zeros_like(ids)) + (1 << FILTER_BITS)
+
+
+def inside(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[(slots - 1) >> 3] >> ((slots - 1) & 7)) & 1 > 0
+
+
 def bucket_counts(s: np.ndarray) -> bytes:
     """How many shingles fall into each bucket, for at least as many buckets as shingles; 255 counts as unbounded."""
     bits = max(3, int(len(s) - 1).bit_length())
     return np.minimum(np.bincount((s & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
-def presence(s: np.ndarray) -> list[int]:
+def presence(s: np.ndarray) -> np.ndarray:
     """Which of ``64 * WORDS`` buckets the set occupies, as signed words."""
     there = np.zeros(64 * WORDS, dtype=bool)
     there[((s >> np.uint64(20)) % np.uint64(64 * WORDS)).astype(np.int64)] = True
-    return np.packbits(there, bitorder="little").view(np.int64).tolist()
+    return np.packbits(there, bitorder="little").view(np.int64)
 
 
 def overlap_bound(a: bytes, b: bytes) -> int:
@@ -205,23 +225,24 @@ def overlap_bound(a: bytes, b: bytes) -> int:
     return int(np.minimum(x, y).sum())
 
 
-def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int) -> Iterator[pa.RecordBatch]:
-    bits = np.unpackbits(wanted.value, bitorder="little").view(bool)
-    kinds = {"id": pa.int64(), "f1": pa.int64(), "counts": pa.binary(), "shingles": pa.list_(pa.int64())}
-    kinds |= {f"b{i}": pa.int64() for i in range(WORDS)}
+def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int, of, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """``of`` the sets of the vertices in the filter; no text is hashed whose id is not in it."""
+    bits = wanted.value
     for batch in batches:
+        batch = batch.filter(pa.array(inside(bits, id_slots(batch.column("doc_id").to_numpy()))))
         ids = batch.column("doc_id").to_numpy()
         rows: list[tuple] = []
 
         def flush():
-            return pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, t), v in zip(kinds.items(), zip(*rows))})
+            columns = zip(("id", "f1", "a"), zip(*rows), (pa.int64(), pa.int64(), kind))
+            return pa.RecordBatch.from_pydict({c: pa.array(v, t) for c, v, t in columns})
 
         for row, s in text_sets(batch, n):
             if not len(s):
                 continue
             f = fingerprint(s)[0]
-            if bits[vertex_slots(ids[row : row + 1], np.array([f]))[0] - 1]:
-                rows.append((ids[row], f, bucket_counts(s), words.as_signed(s), *presence(s)))
+            if inside(bits, vertex_slots(ids[row : row + 1], np.array([f])))[0]:
+                rows.append((ids[row], f, of(s)))
             if len(rows) == 256:
                 yield flush()
                 rows = []
@@ -231,15 +252,16 @@ def set_rows(batches: Iterable[pa.RecordBatch], wanted, n: int) -> Iterator[pa.R
 
 def slot_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = vertex_slots(batch.column("id").to_numpy(), batch.column("f1").to_numpy())
-        yield pa.RecordBatch.from_pydict({"slot": pa.array(got, pa.int64())})
+        ids, f1 = batch.column("id").to_numpy(), batch.column("f1").to_numpy()
+        for got in (vertex_slots(ids, f1), id_slots(ids)):
+            yield pa.RecordBatch.from_pydict({"slot": pa.array(got, pa.int64())})
 
 
-def hit_rows(batches: Iterable[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
-    bits = np.unpackbits(wanted.value, bitorder="little").view(bool)
+def hit_rows(batches: Iterable[pa.RecordBatch], wanted, hit: bool = True) -> Iterator[pa.RecordBatch]:
+    """The rows whose vertex is in the filter, or those whose vertex is not."""
     for batch in batches:
         slots = vertex_slots(batch.column("id").to_numpy(), batch.column("f1").to_numpy())
-        yield batch.filter(pa.array(bits[slots - 1]))
+        yield batch.filter(pa.array(inside(wanted.value, slots) == hit))
 
 
 def possible_rows(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -257,7 +279,7 @@ def filter_bits(vertices: DataFrame) -> np.ndarray:
     rows = slot.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    out = np.zeros(1 << (FILTER_BITS - 2), dtype=np.uint8)
     for row in rows.collect():
         lo = (row.bucket - 1) * 4096
         out[lo : lo + 4096] = np.frombuffer(bytes(row.bits), np.uint8)
@@ -274,32 +296,45 @@ class Join:
         spark = docs.sparkSession
         counts = frequencies(self.docs, n)
         # what unrelated shingles add to a counter, and the text itself
-        sketch = spark.sparkContext.broadcast((counts, float(np.median(counts)) + 1))
+        sketch = spark.sparkContext.broadcast((counts, median(counts) + 1))
+        del counts
+        bits = [f"b{i}" for i in range(WORDS)]
         rows = self.docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
             lambda it: prefix_rows(it, sketch, n, percent),
-            "doc_id long, text_hash long, n long, f1 long, f2 long, k int, prefix array<long>",
+            "doc_id long, text_hash long, n long, f1 long, f2 long, k int, prefix array<long>" + "".join(f", {b} long" for b in bits),
         )
         prefixes = stored(rows, "prefixes")
         sketch.destroy()
-        self.signed = stored(prefixes.drop("k", "prefix"), "signed")
-        sets = prefixes.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n")
-        least = sets.agg(F.min("doc_id").alias("id"), F.first("k").alias("k"))
+        self.signed = stored(prefixes.drop("k", "prefix", *bits), "signed")
+        rows = prefixes.where("n > 0 and doc_id is not null")
+        least = rows.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.first("k").alias("k"), F.count("*").alias("copies"))
         self.vertices = stored(least, "vertices")
-        entries = sets.agg(F.min("doc_id").alias("id"), F.first("prefix").alias("prefix"))
-        entries = entries.select("id", "f1", F.explode("prefix").alias("token"))
-        entries = entries.repartition("token").sortWithinPartitions("token")
-        shared = stored(entries.mapInArrow(shared_lists, entries.schema), "shared")
-        self.lists = stored(shared.join(self.vertices.select("id", "f1", "n", "k"), ["id", "f1"]), "lists")
-        discard(prefixes, shared)
+        shared = self.shared_entries(rows.select(F.lit(0).cast("long").alias("id"), "f1", "f2", "n", "prefix"))
+        self.lists = stored(shared.join(self.vertices.select("id", "f1", "n", "k"), "f1"), "lists")
+        discard(shared)
         wanted = spark.sparkContext.broadcast(filter_bits(self.lists))
-        texts = self.docs.where("doc_id is not null")
-        schema = "id long, f1 long, counts binary, shingles array<long>" + "".join(f", b{i} long" for i in range(WORDS))
-        sets = texts.mapInArrow(lambda it: set_rows(it, wanted, n), schema)
-        self.sets = stored(sets, "sets")
+        sets = rows.select(F.col("doc_id").alias("id"), "f1", *bits)
+        self.sets = stored(sets.mapInArrow(lambda it: hit_rows(it, wanted), sets.schema), "sets")
         wanted.destroy()
+        discard(prefixes)
         self.links: list[DataFrame] = []
         self.classes: DataFrame | None = None
 
+    def shared_entries(self, rows: DataFrame) -> DataFrame:
+        """(f1, token) of the prefixes, each set once, where another set has the token; id is no part of what is told apart."""
+        copied = filter_bits(self.vertices.where("copies > 1").select(F.lit(0).cast("long").alias("id"), "f1"))
+        copied = rows.sparkSession.sparkContext.broadcast(copied)
+        # only sets that several rows may have are shuffled to be made one
+        alone = rows.mapInArrow(lambda it: hit_rows(it, copied, False), rows.schema)
+        several = rows.mapInArrow(lambda it: hit_rows(it, copied), rows.schema)
+        several = several.groupBy("f1", "f2", "n").agg(F.first("prefix").alias("prefix"))
+        entries = alone.select("f1", "prefix").union(several.select("f1", "prefix"))
+        entries = entries.select("f1", F.explode("prefix").alias("token"))
+        entries = entries.repartition("token").sortWithinPartitions("token")
+        shared = stored(entries.mapInArrow(shared_lists, entries.schema), "shared")
+        copied.destroy()
+        return shared
+
     def size_fits(self, a: str, b: str):
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
 
@@ -311,13 +346,16 @@ class Join:
         else:
             rows = rows.withColumn("component", F.col("f1"))
         span = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        rows = stored(rows.join(span.where("lo < hi").select("token", "size"), "token"), "open")
+        before, rows = self.lists, stored(rows.join(span.where("lo < hi").select("token", "size"), "token"), "open")
+        discard(before)
         self.lists = rows.drop("component", "size")
         return rows
 
     def leader_pairs(self, seed: int) -> DataFrame:
         """Each vertex with the leaders of other components that it shares most lists with."""
         rows = self.open_lists()
+        if seed:  # the one pair of a list of two was tried in the first round, or is among the rest
+            rows = rows.where("size > 2")
         drawn = [
             F.min(F.struct(F.xxhash64("id", F.lit(seed * LEADERS + i)), "id", "f1", "n", "component")).alias(f"l{i}")
             for i in range(LEADERS)
@@ -377,34 +415,39 @@ class Join:
         same = F.least(F.expr(f"n - ({lack('', '_b')})"), F.expr(f"n_b - ({lack('_b', '')})"))
         return pairs.where(same * 100 >= (F.col("n") + F.col("n_b") - same) * self.percent)
 
-    def sets_of(self, pairs: DataFrame, column) -> tuple[DataFrame, Broadcast]:
-        """(id, f1, column) of few more sets than those of the pairs, and the filter that tells them."""
+    def sets_of(self, pairs: DataFrame, of, kind: pa.DataType, name: str) -> DataFrame:
+        """(id, f1, a) of few more sets than those of the pairs, made from their texts."""
         ends = pairs.select("id", "f1").union(pairs.select("id_b", "f1_b"))
         wanted = pairs.sparkSession.sparkContext.broadcast(filter_bits(ends))
-        sets = self.sets.select("id", "f1", column)
-        return sets.mapInArrow(lambda it: hit_rows(it, wanted), sets.schema), wanted
+        texts, n = self.docs.where("doc_id is not null"), self.n
+        sets = texts.mapInArrow(lambda it: set_rows(it, wanted, n, of, kind), f"id long, f1 long, a {name}")
+        sets = stored(sets, "ends")
+        wanted.destroy()
+        return sets
 
     def verify(self, pairs: DataFrame) -> int:
         """Compare whole sets; returns how many pairs link."""
-        pairs = stored(pairs, "near")
-        counts, wanted = self.sets_of(pairs, F.col("counts").alias("a"))
-        both = pairs.join(counts, ["id", "f1"]).join(counts.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
+        near = stored(pairs, "near")
+        if near.isEmpty():
+            return 0
+        counts = self.sets_of(near, bucket_counts, pa.binary(), "binary")
+        both = near.join(counts, ["id", "f1"]).join(counts.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
         percent = self.percent
         pairs = both.select(*PAIR, "a", "b").mapInArrow(
             lambda it: possible_rows(it, percent), "id long, f1 long, id_b long, f1_b long"
         )
         pairs = stored(pairs.distinct(), "pairs")
-        wanted.destroy()
+        discard(near, counts)
         if pairs.isEmpty():
             return 0
-        sets, wanted = self.sets_of(pairs, F.col("shingles").alias("a"))
+        sets = self.sets_of(pairs, words.as_signed, pa.list_(pa.int64()), "array<long>")
         both = pairs.join(sets, ["id", "f1"])
         both = both.join(sets.toDF("id_b", "f1_b", "b"), ["id_b", "f1_b"])
         same = F.size(F.array_intersect("a", "b"))
         both = both.select("f1", "f1_b", same.alias("same"), (F.size("a") + F.size("b") - same).alias("either"))
         linked = both.where(F.col("same") * 100 >= F.col("either") * self.percent)
         linked = stored(linked.select(F.col("f1").alias("a"), F.col("f1_b").alias("b")).distinct(), "links")
-        wanted.destroy()
+        discard(pairs, sets)
         found = linked.count()
         if found:
             self.links.append(linked)
@@ -420,7 +463,7 @@ class Join:
             if found <= WORTH * most:
                 break
         self.verify(self.rest_pairs())
-        discard(self.sets)
+        discard(self.sets, self.lists)
         own = self.vertices.select("f1", "f2", "n", "id")
         own = own.withColumns({"class": F.col("f1"), "component_id": F.col("id")})
         if self.classes is not None:

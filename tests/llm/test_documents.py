@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from hourloom.llm import ngram_join, packing, quality_rules, queries, toxicity
+from hourloom.llm.storage import stored
 from tests.llm.helpers import DOC_SCHEMA, awkward, document_frame, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -112,6 +113,33 @@ def test_the_join_leaves_no_broadcast_behind(spark, monkeypatch):
     assert made and len(gone) == len(made)
 
 
+def test_only_texts_of_pairs_are_made_whole(spark, monkeypatch):
+    """Texts that share a rare passage, but no more, are kept as bitmaps; whole sets are stored for the pairs alone."""
+    tables = {}
+
+    def recorded(df, label):
+        out = stored(df, label)
+        tables.setdefault(label, []).append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", recorded)
+    passage = words(8, 77)
+    rows = [(i, words(100, 900 + i) + " " + passage) for i in range(40)]
+    rows += [(50, rows[0][1] + " end"), (51, rows[0][1])]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=4, percent=85)
+    assert in_order(tuple(r) for r in got.collect()) == in_order(plain_classes(rows, 4, 85))
+    assert all(set(columns) == {"id", "f1", *(f"b{i}" for i in range(ngram_join.WORDS))} for columns, _ in tables["sets"])
+    # once the counts and once the sets of the ends of a round's pairs: (0, 50), where 0 stands for its copy 51 as well
+    assert tables["ends"][-1][1] < 10
+
+
+def test_the_median_of_counters():
+    rng = np.random.default_rng(3)
+    for top in (1, 2, 7, ngram_join.FULL + 1):
+        counts = rng.integers(0, top, 1 << ngram_join.SKETCH_BITS).astype(np.uint16)
+        assert ngram_join.median(counts) == np.median(counts)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], DOC_SCHEMA)).collect() == []
 
@@ -233,6 +261,23 @@ def test_toxicity_learns_and_stands_awkward_rows(spark):
         toxicity.with_scores(docs, model, "score")
 
 
+def test_a_round_sends_the_changes_of_one_task_at_a_time(spark, monkeypatch):
+    sent = []
+    collect = type(spark.range(1)).collect
+
+    def recorded(self):
+        rows = collect(self)
+        if "dz" in self.columns:
+            sent.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", recorded)
+    docs, labels = toxic_frame(spark, 400)
+    toxicity.fit(docs, labels)
+    # several tasks share the shards of a round
+    assert sum(sent) == toxicity.SHARDS * toxicity.ROUNDS and max(sent) < toxicity.SHARDS
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_frame(spark, 20)
     model = toxicity.fit(docs, labels.where("false"))
