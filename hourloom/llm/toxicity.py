@@ -4,8 +4,8 @@ A text is the set of its words, word pairs and pairs with one or two words betwe
 punctuation, each hashed to one of 2**24 slots. Coordinates are the slots that at least three rows of the sample fill, counted
 by counters of fixed size; no number of them is kept or cut beyond that. The fit uses a bounded sample of labelled rows, dealt to
 shards; in every round each shard runs FTRL (per-coordinate rates, L1) over its rows from the shared state, and the changes are
-averaged; the driver holds the state and the changes of one task at a time. L1 leaves few weights, which are broadcast;
-scoring reads every whole text once.
+shuffled by parts of the state and averaged there; the driver holds the state and the average change of one part at a time.
+L1 leaves few weights, which are broadcast; scoring reads every whole text once.
 
 Defined cases: null or empty text scores the intercept; rows without a label or with a null label do not train;
 an id with several labels counts as 1 if any is 1; without both labels the score is the smoothed share of label 1;
@@ -157,6 +157,10 @@ def ftrl(rows: list[tuple[int, np.ndarray]], z: np.ndarray, n: np.ndarray, bias:
         bias[1] += g * g
 
 
+def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Learn from labels (doc_id, toxic) on docs (doc_id, text)."""
     spark = docs.sparkSession
@@ -187,12 +191,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
 
     # a file for each shard, read again in every round without a shuffle
     rows = stored(texts.mapInArrow(coordinates, "shard long, deal long, toxic int, at array<int>"), "rows")
-    keys = np.flatnonzero(unpacked(live.value))
+    wanted = live.value
+    size = int(unpacked(wanted).sum())
     discard(texts)
     for shared in (usual, live):
         shared.destroy()
 
-    z, n, bias = np.zeros(len(keys), np.float32), np.zeros(len(keys), np.float32), [0.0, 0.0]
+    # the coordinates of each part of the state, of which there are as many as shards
+    edges = [size * i // SHARDS for i in range(SHARDS + 1)]
+    z, n, bias = np.zeros(size, np.float32), np.zeros(size, np.float32), [0.0, 0.0]
     for _ in range(ROUNDS):
         state = spark.sparkContext.broadcast((z, n, bias))
 
@@ -204,37 +211,57 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 for i, shard in enumerate(batch.column("shard").to_pylist()):
                     shards[shard].append((deal[i], toxic[i], own[i]))
             z0, n0, b0 = state.value
-            for own in shards.values():
+            for place, own in enumerate(shards.values()):
                 z1, n1, b1 = z0.copy(), n0.copy(), list(b0)
                 own.sort(key=lambda r: (*r[:2], r[2].tobytes()))
                 ftrl([r[1:] for r in own], z1, n1, b1)
-                at = np.flatnonzero((z1 != z0) | (n1 != n0))
-                parts = (at.astype(np.int32), (z1 - z0)[at], (n1 - n0)[at])
-                row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("at", "dz", "dn"), parts)}
-                row |= {k: pa.array([b1[i] - b0[i]], pa.float64()) for i, k in enumerate(("bz", "bn"))}
-                row |= {"task": pa.array([TaskContext.get().partitionId()], pa.int32())}
+                moved = (z1 != z0) | (n1 != n0)
+                for part, (lo, hi) in enumerate(zip(edges, edges[1:])):
+                    at = moved[lo:hi]
+                    parts = (np.packbits(at), (z1[lo:hi] - z0[lo:hi])[at], (n1[lo:hi] - n0[lo:hi])[at])
+                    row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("at", "dz", "dn"), parts)}
+                    row |= {k: pa.array([b1[i] - b0[i]], pa.float64()) for i, k in enumerate(("bz", "bn"))}
+                    order = (("part", part), ("task", TaskContext.get().partitionId()), ("place", place))
+                    yield pa.RecordBatch.from_pydict(row | {k: pa.array([v], pa.int32()) for k, v in order})
+
+        def averaged(batches):
+            parts = defaultdict(list)
+            for batch in batches:
+                for row in batch.to_pylist():
+                    parts[row["part"]].append(row)
+            z0, n0, b0 = state.value
+            for part, own in parts.items():
+                lo, hi = edges[part], edges[part + 1]
+                z1, n1, b1 = z0[lo:hi].copy(), n0[lo:hi].copy(), list(b0)
+                for row in sorted(own, key=lambda r: (r["task"], r["place"])):  # sums of floats depend on the order
+                    at = np.unpackbits(np.frombuffer(row["at"], np.uint8), count=hi - lo).view(bool)
+                    z1[at] += np.frombuffer(row["dz"], np.float32) / len(own)
+                    n1[at] += np.frombuffer(row["dn"], np.float32) / len(own)
+                    b1 = [b1[0] + row["bz"] / len(own), b1[1] + row["bn"] / len(own)]
+                # in doubles, the difference added to the old state gives the new one exactly
+                sums = (np.subtract(v, u[lo:hi], dtype=np.float64) for v, u in ((z1, z0), (n1, n0)))
+                row = {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("dz", "dn"), sums)}
+                row |= {"part": pa.array([part], pa.int32()), "bias": pa.array([b1], pa.list_(pa.float64()))}
                 yield pa.RecordBatch.from_pydict(row)
 
-        # a row for each shard, with 12 bytes for each coordinate that its rows have
-        schema = "at binary, dz binary, dn binary, bz double, bn double, task int"
-        changes = stored(rows.mapInArrow(one_pass, schema), "changes")
+        # every shard has a row for each part, with 8 bytes for each coordinate that its rows have
+        schema = "at binary, dz binary, dn binary, bz double, bn double, part int, task int, place int"
+        changes = rows.mapInArrow(one_pass, schema).repartition(SHARDS, "part")
+        # a row for each part, however many the shards
+        changes = stored(changes.mapInArrow(averaged, "dz binary, dn binary, part int, bias array<double>"), "changes")
         state.destroy()
-        z, n, bias = z.copy(), n.copy(), list(bias)
-        made = {r["task"]: r["count"] for r in changes.groupBy("task").count().collect()}
-        shards = sum(made.values())
-        for task in sorted(made):  # in one order, as sums of floats depend on it
-            for row in changes.where(F.col("task") == task).collect():
-                at = np.frombuffer(row["at"], np.int32)
-                z[at] += np.frombuffer(row["dz"], np.float32) / shards
-                n[at] += np.frombuffer(row["dn"], np.float32) / shards
-                bias = [bias[0] + row["bz"] / shards, bias[1] + row["bn"] / shards]
+        for part, (lo, hi) in enumerate(zip(edges, edges[1:])):
+            for row in changes.where(F.col("part") == part).collect():
+                z[lo:hi] += np.frombuffer(row["dz"], np.float64)
+                n[lo:hi] += np.frombuffer(row["dn"], np.float64)
+                bias = list(row["bias"])
         discard(changes)
     discard(rows)
-    w = np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+    w = np.concatenate([weights(z[lo:hi], n[lo:hi]) for lo, hi in zip(edges, edges[1:])])
     intercept = -bias[0] / ((BETA + bias[1] ** 0.5) / ALPHA)
     intercept += float(np.log(share[0][1] / share[1][1]))  # the sample has more of the rare label than the corpus
     kept = np.flatnonzero(w)
-    return Model(keys[kept], w[kept], float(intercept))
+    return Model(np.flatnonzero(unpacked(wanted))[kept], w[kept], float(intercept))
 
 
 def score_batch(text, model: Model, gate: np.ndarray) -> np.ndarray:

@@ -278,6 +278,37 @@ def test_a_round_sends_the_changes_of_one_task_at_a_time(spark, monkeypatch):
     assert sum(sent) == toxicity.SHARDS * toxicity.ROUNDS and max(sent) < toxicity.SHARDS
 
 
+def test_a_round_sends_one_change_a_coordinate_however_many_shards_have_it(spark, monkeypatch):
+    sent, made = [], []
+    collect, discard = type(spark.range(1)).collect, toxicity.discard
+
+    def recorded(self):
+        rows = collect(self)
+        if "dz" in self.columns:
+            sent.append(sum(len(r["dz"]) + len(r["dn"]) for r in rows))
+        return rows
+
+    def seen(*tables):
+        made.extend(r["at"] for t in tables if "at" in t.columns for r in collect(t.select("at")))
+        discard(*tables)
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", recorded)
+    monkeypatch.setattr(toxicity, "discard", seen)
+    rows = [(i, words(50, 1) + (" bad" if i % 2 else ""), "en") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.fit(document_frame(spark, rows), labels)
+    size = 1 + max(max(at) for at in made)
+    assert size > 4 * 45 and len(model.keys)
+    assert sum(sent) == toxicity.ROUNDS * size * 2 * 8
+
+
+def test_toxicity_fits_without_coordinates(spark):
+    docs = document_frame(spark, [(i, words(5, i) if i else None, "en") for i in range(10)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert len(model.keys) == 0 and np.isfinite(model.intercept)
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_frame(spark, 20)
     model = toxicity.fit(docs, labels.where("false"))
